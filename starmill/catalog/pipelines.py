@@ -273,7 +273,7 @@ SELECT local_code AS port, name, municipality, iso_country AS country, elevation
 FROM airports WHERE iso_country = 'US'
 """)
 def immigration_port(t):
-    return immigration.port_dim(_augmented(t)[0], derived.airports(t)).drop("port_id")
+    return immigration.port_dim(derived.airports(t)).drop("port_id")
 
 
 @query(_ARRIVALS + "SELECT DISTINCT visapost AS name FROM arrivals")
@@ -315,7 +315,8 @@ def _build(t: Tables):
 @query(_ARRIVALS + ", " + derived.AIRPORTS_SQL + """
 SELECT cic_id, city, state AS state_code, expiration_time, admission_id, arrdate, depdate,
        transport_no, visapost AS visa_issuer,
-       i94port IN (SELECT local_code FROM airports WHERE iso_country = 'US') AS at_airport,
+       i94port IN (SELECT local_code FROM airports
+                   WHERE iso_country = 'US' AND local_code IS NOT NULL) AS at_airport,
        i94_year, i94_month
 FROM arrivals
 """)
@@ -368,7 +369,7 @@ GROUP BY 1
 def immigration_months_of_one_nation(t):
     augmented, codes = _augmented(t)
     tables = {"city": immigration.city_dim(augmented, derived.demographics(t), derived.temperatures(t))}
-    tables["port"] = immigration.port_dim(augmented, derived.airports(t))
+    tables["port"] = immigration.port_dim(derived.airports(t))
     tables["visa_issuer"] = immigration.visa_issuer_dim(augmented)
     tables["logistics"] = immigration.logistics_dim(augmented)
     facts = immigration.immigrations_fact(augmented, tables)

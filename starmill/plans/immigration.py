@@ -142,17 +142,14 @@ def immigration_time_dim(augmented: DataFrame) -> DataFrame:
     return time_dim(augmented, days, "sun1", since=since, name="time")
 
 
-def port_dim(augmented: DataFrame, airports: DataFrame) -> DataFrame:
+def port_dim(airports: DataFrame) -> DataFrame:
     """Airports of the home country, whether or not anybody entered there.
 
-    Ports of entry that are no airport have no country and fall out again, so the planner
-    reduces the outer join to its airport side.
+    Joining them to the ports of entry, all rows of both sides kept, would add only rows without
+    a country, which the filter on the country takes out again. So arrivals are not read.
     """
-    seen = augmented.select(F.col("i94port").alias("local_code")).distinct()
-    joined = airports.join(seen, "local_code", "full_outer").filter(
-        F.col("iso_country") == HOME_COUNTRY_CODE
-    )
-    rows = joined.select(
+    at_home = airports.filter(F.col("iso_country") == HOME_COUNTRY_CODE)
+    rows = at_home.select(
         F.col("local_code").alias("port"),
         "name",
         "municipality",
@@ -285,7 +282,7 @@ SPECS: dict[str, TableSpec] = {
 def build_dims(augmented: DataFrame, inputs: Inputs) -> dict[str, DataFrame]:
     return {
         "time": immigration_time_dim(augmented),
-        "port": port_dim(augmented, inputs.airports),
+        "port": port_dim(inputs.airports),
         "visa_issuer": visa_issuer_dim(augmented),
         "alien": alien_dim(augmented, inputs.codes),
         "logistics": logistics_dim(augmented),

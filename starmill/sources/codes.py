@@ -42,7 +42,8 @@ def read_code_tables(
 
     Lines are read as splittable text. A line's place is its file, the start of its split, and
     its position there, so even one huge file is parsed by many tasks. Places are staged, since
-    several steps compare them.
+    several steps compare them, and so is the result, whose measured size then decides how it is
+    joined.
     """
     lines = stage(spark.read.text(path).select("value", *arrival()), "code-lines")
     headed = lines.withColumn(
@@ -67,7 +68,7 @@ def read_code_tables(
     )
     city, state = _city_state(F.col("label"), strict)
     is_port = F.col("field") == PORT_FIELD
-    return last.select(
+    tables = last.select(
         "field",
         "code",
         "numeric",
@@ -75,6 +76,7 @@ def read_code_tables(
         F.when(is_port, city).alias("city"),
         F.when(is_port, state).alias("state"),
     )
+    return stage(tables, "codes")
 
 
 def _entries(carried: DataFrame, strict: bool) -> DataFrame:
