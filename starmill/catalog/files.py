@@ -136,7 +136,7 @@ def layout_bucketed_join(t):
     for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
         path = t.path(name)
         table = "starmill_" + path.rsplit("-", 1)[1]
-        load.save_bucketed(getattr(t, name), table, 8, [key], [key], path)
+        load.save_bucketed(getattr(t, name), table, 8, [key], path)
         names[name] = t.spark.table(table)
     joined = names["orders"].join(names["lineitem"], F.col("o_orderkey") == F.col("l_orderkey"))
     return joined.groupBy("o_orderkey", "o_custkey").agg(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmill.functions import calendar_parts, hash_key
-from starmill.operators.keyed import any_per_key, first_per_key, last_per_key
+from starmill.operators.keyed import any_per_key, first_per_key, first_ranked, last_per_key
 from starmill.session import stage
 
 # Rows a task may number under one partition id of monotonically_increasing_id.
@@ -85,7 +85,8 @@ def argmax_by_group(
     remaining columns.
     """
     if ties == "one":
-        return first_per_key(df, by, [F.col(value).desc(), *order])
+        rest = [*order, *[c for c in df.columns if c not in {*by, *order, value}]]
+        return first_ranked(df, by, [F.col(value).desc(), *[F.col(c) for c in rest]])
     best = df.groupBy(*by).agg(F.max(value).alias(value))
     return df.join(best, [*by, value], "inner").select(*df.columns)
 

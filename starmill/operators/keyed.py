@@ -1,8 +1,7 @@
 """One row per key, counts per key, and values carried down ordered rows.
 
-None of these hands all rows of a key to one task. ``row_number() ... = 1`` is cut to one row
-per key and map task before the shuffle (the plan shows a partial ``WindowGroupLimit``), and
-counts are aggregated map-side first.
+None of these hands all rows of a key to one task: the least or greatest row of a key is an
+aggregate that is computed map-side before the shuffle, and so are counts.
 """
 
 from __future__ import annotations
@@ -12,30 +11,43 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-Order = Sequence[Column | str]
-
 _RANK = "__rank"
 
 
-def total_order(df: DataFrame, order: Order = (), skip: Sequence[str] = ()) -> list[Column]:
-    """``order`` followed by all other columns, so that no tie is left to chance."""
-    named = [F.col(c) if isinstance(c, str) else c for c in order]
-    given = {c for c in order if isinstance(c, str)} | set(skip)
-    return named + [F.col(c) for c in df.columns if c not in given]
+def _extreme_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str], pick) -> DataFrame:
+    """The row whose values, compared in ``order`` and then in column order, are extreme."""
+    skip = {*key, *order}
+    fields = [c for c in order if c not in key] + [c for c in df.columns if c not in skip]
+    if not fields:
+        return df.select(*df.columns).distinct()
+    rows = df.groupBy(*key).agg(pick(F.struct(*fields)).alias("__row"))
+    return rows.select(
+        *[F.col(c) if c in key else F.col(f"__row.{c}").alias(c) for c in df.columns]
+    )
+
 
+def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """The first row of each key by ``order``, nulls first; ties go by the remaining columns.
 
-def first_per_key(df: DataFrame, key: Sequence[str], order: Order = ()) -> DataFrame:
-    """The first row of each key by ``order``; ties go by the remaining columns."""
-    w = Window.partitionBy(*key).orderBy(*total_order(df, order, skip=key))
-    return df.withColumn(_RANK, F.row_number().over(w)).filter(F.col(_RANK) == 1).drop(_RANK)
+    Found as the least of structs of all columns. Compared with numbering sorted rows this
+    sorts by the key only, and sends one row per key and task to the shuffle.
+    """
+    return _extreme_per_key(df, key, order, F.min)
 
 
-def last_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+def last_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """The last row of each key by ``order``; ties go by the remaining columns, also last."""
-    backwards = [F.col(c).desc() for c in order]
-    rest = [F.col(c).desc() for c in df.columns if c not in {*order, *key}]
-    w = Window.partitionBy(*key).orderBy(*backwards, *rest)
-    return df.withColumn(_RANK, F.row_number().over(w)).filter(F.col(_RANK) == 1).drop(_RANK)
+    return _extreme_per_key(df, key, order, F.max)
+
+
+def first_ranked(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row of each key for orders of mixed direction.
+
+    Numbers sorted rows; each task passes on the first row of a key only (the plan shows a
+    partial ``WindowGroupLimit``).
+    """
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
+    return df.withColumn(_RANK, rank).filter(F.col(_RANK) == 1).drop(_RANK)
 
 
 def any_per_key(df: DataFrame, key: Sequence[str]) -> DataFrame:

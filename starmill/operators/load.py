@@ -135,13 +135,9 @@ def upsert(
     ``key`` is expected to be free of nulls, as a primary key is.
     """
     kept = [c for c in existing.columns if c not in {*key, *update}]
-    turn = F.struct(*order, *[c for c in incoming.columns if c not in order])
-    firsts = F.min_by(F.struct(F.lit(True).alias("__any"), *kept), turn)
-    lasts = F.max_by(F.struct(F.lit(True).alias("__any"), *update), turn)
-    arrived = incoming.groupBy(*key).agg(firsts.alias("__first"), lasts.alias("__last"))
-    known = existing.select(
-        *key, F.struct(F.lit(True).alias("__any"), *kept, *update).alias("__old")
-    )
+    turn = F.struct(*order, *[c for c in incoming.columns if c not in {*order, *key}])
+    arrived = incoming.groupBy(*key).agg(F.min(turn).alias("__first"), F.max(turn).alias("__last"))
+    known = existing.select(*key, F.struct(*kept, *update).alias("__old"))
     merged = known.join(arrived, list(key), "full_outer")
     is_known, has_arrived = F.col("__old").isNotNull(), F.col("__last").isNotNull()
 
@@ -212,18 +208,29 @@ def clustered(
 
 
 def save_bucketed(
-    df: DataFrame, table: str, buckets: int, key: Sequence[str], sort: Sequence[str], path: str
-) -> None:
+    df: DataFrame,
+    table: str,
+    buckets: int,
+    key: Sequence[str],
+    path: str,
+    sort: Sequence[str] = (),
+    tolerance: float = 4.0,
+) -> bool:
     """A table bucketed by ``key``: two such tables join on it without a shuffle.
 
-    One task writes a bucket share of one input partition, so a frequent key is spread over
-    the tasks; its bucket gets several files.
+    A bucket is read by one task, so buckets are counted first. If one has more than
+    ``tolerance`` times its share, as a frequent key makes it, the table is laid out by ranges
+    of the key instead; joins then shuffle, and the planner can split the frequent key. Returns
+    whether the table is bucketed.
     """
-    (
-        df.write.mode("overwrite")
-        .format("parquet")
-        .bucketBy(buckets, *key)
-        .sortBy(*(sort or key))
-        .option("path", path)
-        .saveAsTable(table)
-    )
+    by = list(sort or key)
+    sizes = df.groupBy(F.pmod(F.hash(*key), F.lit(buckets)).alias("bucket")).count()
+    largest, rows = sizes.agg(F.max("count"), F.sum("count")).first()
+    even = rows is None or largest * buckets <= tolerance * rows
+    if even:
+        shuffled = df.hint("rebalance", buckets, *[F.col(c) for c in key])
+        writer = shuffled.write.bucketBy(buckets, *key).sortBy(*by)
+    else:
+        writer = clustered(df, key, [c for c in by if c not in key]).write
+    writer.mode("overwrite").format("parquet").option("path", path).saveAsTable(table)
+    return even

@@ -15,7 +15,13 @@ from starmill.operators.dims import (
     time_dim,
 )
 from starmill.operators.facts import DimJoin, equi_join, fact, lookup_one, with_labels
-from starmill.operators.keyed import carry_down, first_per_key, last_per_key, with_group_count
+from starmill.operators.keyed import (
+    carry_down,
+    first_per_key,
+    first_ranked,
+    last_per_key,
+    with_group_count,
+)
 from starmill.operators.profile import column_profile, greatest_deviation, group_sum, rows_with_nulls
 from starmill.operators.quality import CheckSpec, check_table, coverage, enforce, null_report, run_checks
 from starmill.operators.reports import count_by_dim, top_n_by_dim
@@ -39,8 +45,24 @@ def test_first_and_last_per_key(spark):
 
 def test_first_per_key_is_cut_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
-    plan = first_per_key(df, ["k"], ["id"])._jdf.queryExecution().executedPlan().toString()
-    assert "row_number(), 1, Partial" in plan
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min(struct(id" in plan(first_per_key(df, ["k"], ["id"]))
+    assert "row_number(), 1, Partial" in plan(first_ranked(df, ["k"], [F.col("id").desc()]))
+
+
+def test_first_ranked_agrees_with_first_per_key(spark):
+    df = spark.createDataFrame(
+        [(i % 7, None if i % 5 == 0 else i % 3, i) for i in range(60)], "k int, a int, b int"
+    )
+    order = [F.col("a"), F.col("b")]
+    assert rows(first_ranked(df, ["k"], order)) == rows(first_per_key(df, ["k"], ["a", "b"]))
+    backwards = [c.desc() for c in order]
+    assert rows(first_ranked(df, ["k"], backwards)) == rows(last_per_key(df, ["k"], ["a", "b"]))
+
+
+def test_key_only_rows(spark):
+    df = spark.createDataFrame([(1,), (1,), (None,)], "k int")
+    assert rows(first_per_key(df, ["k"])) == [(None,), (1,)]
 
 
 def test_group_count(spark):
@@ -337,3 +359,41 @@ def test_counts_over_a_dimension(spark):
     assert rows(count_by_dim(facts, dim, on, "state")) == [(None, 1), ("CA", 1), ("FL", 2)]
     top = top_n_by_dim(facts, dim, on, "state", 1)
     assert [tuple(r) for r in top.collect()] == [("FL", 2)]
+
+
+# -- layouts ---------------------------------------------------------------------------------
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, conf, tmp_path):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    df = spark.range(1000).select("id", (F.col("id") % 10).alias("v"))
+    for name in ("bucketed_a", "bucketed_b"):
+        assert load.save_bucketed(df, name, 4, ["id"], str(tmp_path / name))
+    joined = spark.table("bucketed_a").join(spark.table("bucketed_b").drop("v"), "id")
+    assert joined.count() == 1000
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    for name in ("bucketed_a", "bucketed_b"):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_frequent_key_is_not_bucketed(spark, tmp_path):
+    df = spark.range(1000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
+    assert not load.save_bucketed(df, "uneven", 32, ["k"], str(tmp_path / "uneven"))
+    assert rows(spark.table("uneven")) == rows(df)
+    spark.sql("DROP TABLE uneven")
+
+
+def test_clustered_layout_splits_a_frequent_key(spark, conf):
+    conf(spark__sql__shuffle__partitions="6", spark__sql__adaptive__coalescePartitions__enabled="false")
+    df = spark.range(6000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    out = load.clustered(df, ["k"], ["id"]).withColumn("part", F.spark_partition_id())
+    assert out.filter("k = 7").select("part").distinct().count() > 1
+    assert rows(out.drop("part")) == rows(df)
+
+
+def test_rebalanced_writes_keep_all_rows(spark, tmp_path):
+    df = spark.range(1000).select((F.col("id") % 3).alias("p"), "id")
+    load.overwrite(df, str(tmp_path / "t"), ["p"])
+    load.append(df.filter("p = 1"), str(tmp_path / "t"), ["p"])
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1333
+    assert spark.read.parquet(str(tmp_path / "t/p=1")).count() == 666
