@@ -85,22 +85,21 @@ def lookup_one_song(t):
 
 
 @query("""
-WITH prices AS (SELECT o_custkey, avg(o_totalprice) AS mean_price FROM orders
+WITH prices AS (SELECT o_custkey, round(avg(o_totalprice), 8) AS mean_price FROM orders
                 WHERE o_orderstatus = 'F' GROUP BY o_custkey)
-SELECT c_custkey, c_name, round(mean_price, 4) AS mean_price
+SELECT c_custkey, c_name, mean_price
 FROM customer LEFT JOIN prices ON c_custkey = o_custkey
 """)
 def join_left_dim(t):
     prices = t.orders.filter("o_orderstatus = 'F'").groupBy("o_custkey").agg(
-        F.avg("o_totalprice").alias("mean_price")
+        F.round(F.avg("o_totalprice"), 8).alias("mean_price")
     )
-    joined = equi_join(
+    return equi_join(
         t.customer.select("c_custkey", "c_name"),
         prices,
         {"c_custkey": "o_custkey"},
         {"mean_price": "mean_price"},
     )
-    return joined.withColumn("mean_price", F.round("mean_price", 4))
 
 
 _OUTER_SQL = """

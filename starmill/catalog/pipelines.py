@@ -216,9 +216,8 @@ def history_user_listens(t):
 _ARRIVALS = "WITH " + derived.ARRIVALS_SQL
 
 
-def _augmented(t: Tables):
-    codes = derived.codes(t)
-    return immigration.augment(derived.arrivals(t), codes), codes
+def _decoded(t: Tables):
+    return immigration.decode(derived.arrivals(t))
 
 
 @query(_ARRIVALS + """
@@ -227,7 +226,7 @@ SELECT cic_id, arrdate::DATE AS arrdate, depdate::DATE AS depdate,
 FROM arrivals
 """)
 def immigration_augmented(t):
-    return _augmented(t)[0].select(
+    return immigration.augment(derived.arrivals(t), derived.codes(t)).select(
         "cic_id", "arrdate", "depdate", "expiration_date", "transport_no", "city", "state"
     )
 
@@ -241,7 +240,7 @@ SELECT time, hour(time)::INTEGER AS hour, day(time)::INTEGER AS day, week(time):
 FROM times WHERE time >= TIMESTAMP '2015-01-01'
 """)
 def immigration_time(t):
-    return immigration.immigration_time_dim(_augmented(t)[0])
+    return immigration.immigration_time_dim(_decoded(t))
 
 
 @query(_ARRIVALS + ", " + derived.DEMOGRAPHICS_SQL + ", " + derived.TEMPERATURES_SQL + """,
@@ -258,13 +257,14 @@ known AS (SELECT cities.* EXCLUDE (city, race, count), race AS most_common_race,
 entered AS (SELECT DISTINCT state AS state_code, city AS name FROM arrivals)
 SELECT state_code, name, state, median_age, male_population, female_population,
        total_population, number_of_veterans, foreign_born, average_household_size,
-       most_common_race, country, round(avg_temp, 6) AS avg_temp
+       most_common_race, country, round(avg_temp, 9) AS avg_temp
 FROM known FULL JOIN entered USING (state_code, name)
 """)
 def immigration_city(t):
-    augmented, _ = _augmented(t)
-    city = immigration.city_dim(augmented, derived.demographics(t), derived.temperatures(t))
-    return city.drop("city_id").withColumn("avg_temp", F.round("avg_temp", 6))
+    city = immigration.city_dim(
+        _decoded(t), derived.codes(t), derived.demographics(t), derived.temperatures(t)
+    )
+    return city.drop("city_id").withColumn("avg_temp", F.round("avg_temp", 9))
 
 
 @query("WITH " + derived.AIRPORTS_SQL + """
@@ -278,7 +278,7 @@ def immigration_port(t):
 
 @query(_ARRIVALS + "SELECT DISTINCT visapost AS name FROM arrivals")
 def immigration_visa_issuer(t):
-    return immigration.visa_issuer_dim(_augmented(t)[0]).drop("visa_issuer_id")
+    return immigration.visa_issuer_dim(_decoded(t)).drop("visa_issuer_id")
 
 
 _ALIENS = _ARRIVALS + ", " + derived.LABELS_SQL + """, aliens AS (
@@ -297,7 +297,7 @@ SELECT admission_id, citizenship_origin, residency_origin, gender, age, visatype
 FROM aliens
 """)
 def immigration_alien(t):
-    return immigration.alien_dim(*_augmented(t))
+    return immigration.alien_dim(_decoded(t), derived.codes(t))
 
 
 @query(_ARRIVALS + """
@@ -305,7 +305,7 @@ SELECT transport_no, airline AS company, kind::DOUBLE AS mode FROM arrivals
 QUALIFY row_number() OVER (PARTITION BY transport_no ORDER BY sas_arrdate, cic_id) = 1
 """)
 def immigration_logistics(t):
-    return immigration.logistics_dim(_augmented(t)[0]).drop("transport_id")
+    return immigration.logistics_dim(_decoded(t)).drop("transport_id")
 
 
 def _build(t: Tables):
@@ -367,15 +367,11 @@ FROM arrivals WHERE admission_id IN (SELECT admission_id FROM aliens WHERE citiz
 GROUP BY 1
 """)
 def immigration_months_of_one_nation(t):
-    augmented, codes = _augmented(t)
-    tables = {"city": immigration.city_dim(augmented, derived.demographics(t), derived.temperatures(t))}
-    tables["port"] = immigration.port_dim(derived.airports(t))
-    tables["visa_issuer"] = immigration.visa_issuer_dim(augmented)
-    tables["logistics"] = immigration.logistics_dim(augmented)
-    facts = immigration.immigrations_fact(augmented, tables)
-    return immigration.arrivals_per_month_from(
-        facts, immigration.immigration_time_dim(augmented), immigration.alien_dim(augmented, codes), "NATION_6"
-    )
+    inputs = derived.immigration_inputs(t)
+    decoded = immigration.decode(inputs.immigration)
+    dims = immigration.build_dims(decoded, inputs)
+    facts = immigration.immigrations_fact(decoded, inputs.codes, dims)
+    return immigration.arrivals_per_month_from(facts, dims["time"], dims["alien"], "NATION_6")
 
 
 # -- exploration -----------------------------------------------------------------------------

@@ -13,6 +13,7 @@ from starmill.operators.reports import (
     filtered_counts,
     lookup_rows,
     most_frequent_first,
+    preview,
     top_n_by_dim,
 )
 
@@ -112,3 +113,9 @@ FROM supplier
 def supplier_counts(t):
     conditions = {"in_debt": F.col("s_acctbal") < 0, "from_three": F.col("s_nationkey") == 3}
     return filtered_counts(t.supplier, conditions)
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 5")
+def preview_of_orders(t):
+    dearest = t.orders.select("o_orderkey", "o_totalprice", (-F.col("o_totalprice")).alias("rank"))
+    return preview(dearest, 5, ["rank", "o_orderkey"]).drop("rank")

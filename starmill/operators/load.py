@@ -109,9 +109,7 @@ def new_rows(
     Both sides of the anti join have at most one row per key, so no key is heavy.
     """
     arrived = first_per_key(incoming, key, order).select(*existing.columns)
-    return arrived.join(existing.select(*key).distinct(), list(key), "left_anti").select(
-        *existing.columns
-    )
+    return arrived.join(existing.select(*key), list(key), "left_anti")
 
 
 def insert_ignore(

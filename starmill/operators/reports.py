@@ -51,3 +51,8 @@ def lookup_rows(
         df = df.filter(F.col(name) == F.lit(value))
     rows = df.orderBy(*order) if order else df
     return rows.select(*select)
+
+
+def preview(df: DataFrame, n: int = 5, order: Sequence[str] = ()) -> DataFrame:
+    """The first rows; without an order, any ``n`` rows, for which only a few files are read."""
+    return (df.orderBy(*order) if order else df).limit(n)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,7 @@ from starmill.schemas import (
     VISA_ISSUER,
     TableSpec,
 )
+from starmill.session import together
 from starmill.sources import read_code_tables, read_delimited, read_format, render_path
 
 # Labels of unknown codes, the country reported on, and the earliest date kept.
@@ -87,13 +89,13 @@ def read_inputs(
     )
 
 
-def augment(immigration: DataFrame, codes: DataFrame, strict: bool = False) -> DataFrame:
-    """Decode dates, name the transport, and add city and state of the port of entry.
+def decode(immigration: DataFrame, strict: bool = False) -> DataFrame:
+    """Decode dates and name the transport; records without an admission number are dropped.
 
-    Records without an admission number are dropped. Nothing here shuffles, and tables built
-    from the result read only the columns they use, so it is not stored in between.
+    Only projections, so each table built from the result scans just its own columns, and there
+    is nothing worth storing in between.
     """
-    decoded = immigration.na.drop(subset=["admnum"]).withColumns(
+    return immigration.na.drop(subset=["admnum"]).withColumns(
         {
             "arrdate": sas_day_to_date("sas_arrdate"),
             "depdate": sas_day_to_date("sas_depdate"),
@@ -101,15 +103,25 @@ def augment(immigration: DataFrame, codes: DataFrame, strict: bool = False) -> D
             "transport_no": fallback_identifier("fltno", "airline", "i94mode", strict),
         }
     )
+
+
+def with_entry_city(decoded: DataFrame, codes: DataFrame) -> DataFrame:
+    """Add city and state of the port of entry."""
     ports = codes.filter(~F.col("numeric"))
     labels = {"city": ("city", NO_PORT), "state": ("state", "")}
     return with_labels(decoded, ports, "I94PORT", "i94port", labels)
 
 
+def augment(immigration: DataFrame, codes: DataFrame, strict: bool = False) -> DataFrame:
+    return with_entry_city(decode(immigration, strict), codes)
+
+
 # -- dimensions ------------------------------------------------------------------------------
 
 
-def city_dim(augmented: DataFrame, demographics: DataFrame, temperatures: DataFrame) -> DataFrame:
+def city_dim(
+    decoded: DataFrame, codes: DataFrame, demographics: DataFrame, temperatures: DataFrame
+) -> DataFrame:
     """Cities known from demographics or as ports of entry, one row per (state code, name).
 
     Demographics come with a row per race; the row of the most frequent one is kept.
@@ -129,17 +141,18 @@ def city_dim(augmented: DataFrame, demographics: DataFrame, temperatures: DataFr
         .agg(F.avg("average_temperature").alias("avg_temp"))
     )
     with_warmth = cities.join(warmth, "name", "left")
-    entered = augmented.select(F.col("state").alias("state_code"), F.col("city").alias("name"))
+    ports = with_entry_city(decoded.select("i94port").distinct(), codes)
+    entered = ports.select(F.col("state").alias("state_code"), F.col("city").alias("name"))
     joined = with_warmth.join(entered.distinct(), ["state_code", "name"], "full_outer")
     keyed = surrogate_key(joined, ["state_code", "name"], "city_id")
     return load.conform(keyed, CITY)
 
 
-def immigration_time_dim(augmented: DataFrame) -> DataFrame:
+def immigration_time_dim(decoded: DataFrame) -> DataFrame:
     """Days of arrival, departure and expiry, since 2015."""
     days = ["arrdate", "depdate", "expiration_date"]
     since = F.lit(EARLIEST).cast("timestamp")
-    return time_dim(augmented, days, "sun1", since=since, name="time")
+    return time_dim(decoded, days, "sun1", since=since, name="time")
 
 
 def port_dim(airports: DataFrame) -> DataFrame:
@@ -164,15 +177,15 @@ def port_dim(airports: DataFrame) -> DataFrame:
     return load.conform(rows, PORT)
 
 
-def visa_issuer_dim(augmented: DataFrame) -> DataFrame:
-    names = augmented.select(F.col("visapost").alias("name")).distinct()
+def visa_issuer_dim(decoded: DataFrame) -> DataFrame:
+    names = decoded.select(F.col("visapost").alias("name")).distinct()
     return surrogate_key(names, ["name"], "visa_issuer_id")
 
 
-def alien_dim(augmented: DataFrame, codes: DataFrame) -> DataFrame:
+def alien_dim(decoded: DataFrame, codes: DataFrame) -> DataFrame:
     """Persons by admission number, as recorded at their first arrival."""
     people = dimension(
-        augmented,
+        decoded,
         {
             "admission_id": as_long("admnum", zero_is_null=True),
             "i94cit": "i94cit",
@@ -198,9 +211,9 @@ def alien_dim(augmented: DataFrame, codes: DataFrame) -> DataFrame:
     return load.conform(people, ALIEN)
 
 
-def logistics_dim(augmented: DataFrame) -> DataFrame:
+def logistics_dim(decoded: DataFrame) -> DataFrame:
     rows = dimension(
-        augmented,
+        decoded,
         {"transport_no": "transport_no", "company": "airline", "mode": "i94mode"},
         ["transport_no"],
         order=["sas_arrdate", "cic_id"],
@@ -212,12 +225,16 @@ def logistics_dim(augmented: DataFrame) -> DataFrame:
 
 
 def immigrations_fact(
-    augmented: DataFrame, dims: Mapping[str, DataFrame], verify: bool = False
+    decoded: DataFrame, codes: DataFrame, dims: Mapping[str, DataFrame], verify: bool = False
 ) -> DataFrame:
     """One row per record. A port code shared by several airports counts as the first of them
     by id, so no record is repeated."""
     rows = lookup_one(
-        augmented, dims["port"], {"i94port": "port"}, {"port_id": "port_id"}, ["port_id"]
+        with_entry_city(decoded, codes),
+        dims["port"],
+        {"i94port": "port"},
+        {"port_id": "port_id"},
+        ["port_id"],
     )
     joins = [
         DimJoin(
@@ -279,36 +296,42 @@ SPECS: dict[str, TableSpec] = {
 }
 
 
-def build_dims(augmented: DataFrame, inputs: Inputs) -> dict[str, DataFrame]:
+def build_dims(decoded: DataFrame, inputs: Inputs) -> dict[str, DataFrame]:
     return {
-        "time": immigration_time_dim(augmented),
+        "time": immigration_time_dim(decoded),
         "port": port_dim(inputs.airports),
-        "visa_issuer": visa_issuer_dim(augmented),
-        "alien": alien_dim(augmented, inputs.codes),
-        "logistics": logistics_dim(augmented),
-        "city": city_dim(augmented, inputs.demographics, inputs.temperatures),
+        "visa_issuer": visa_issuer_dim(decoded),
+        "alien": alien_dim(decoded, inputs.codes),
+        "logistics": logistics_dim(decoded),
+        "city": city_dim(decoded, inputs.codes, inputs.demographics, inputs.temperatures),
     }
 
 
 def build_immigration(
     spark: SparkSession, inputs: Inputs, out: str, strict: bool = False
 ) -> dict[str, DataFrame]:
-    """Dimensions, then the fact from the saved dimensions, then the checks; all under ``out``.
+    """Dimensions, their checks, then the fact from the saved dimensions; all under ``out``.
 
     Saving first means that the keys in the fact are the keys in the files, and that joins see
-    the written sizes.
+    the written sizes. The checks include that ids are unique, and as an id is computed from the
+    columns the fact is joined on, that no join repeats a record.
     """
-    augmented = augment(inputs.immigration, inputs.codes, strict)
 
     def save(name: str, df: DataFrame) -> DataFrame:
         spec = SPECS[name]
         load.overwrite(df, f"{out}/{name}", spec.partition_by)
         return spark.read.schema(spec.schema).parquet(f"{out}/{name}")
 
-    tables = {name: save(name, df) for name, df in build_dims(augmented, inputs).items()}
-    facts = immigrations_fact(augmented, tables, verify=True)
+    def check(names) -> None:
+        enforce(run_checks({name: (tables[name], CheckSpec.of(SPECS[name])) for name in names}))
+
+    decoded = decode(inputs.immigration, strict)
+    dims = build_dims(decoded, inputs)
+    tables = together(spark, {name: partial(save, name, df) for name, df in dims.items()})
+    check(tables)
+    facts = immigrations_fact(decoded, inputs.codes, tables)
     tables["immigrations"] = save("immigrations", facts)
-    enforce(run_checks({name: (tables[name], CheckSpec.of(SPECS[name])) for name in SPECS}))
+    check(["immigrations"])
     return tables
 
 

@@ -7,6 +7,7 @@ repeated dimension rows are settled, and how times are decoded (``StarRules``).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,9 @@ from starmill.schemas import (
     STAGING_SONGS,
     TIME,
     USERS,
+    TableSpec,
 )
+from starmill.session import together
 from starmill.sources import read_json, read_json_mapped, render_path
 
 # Fixed value: the page of a log record that is a song play.
@@ -173,8 +176,12 @@ def build_lake(
     """Raw JSON to five parquet tables under ``out``; returns the tables read back."""
     star = build_star(read_log(spark, log_path), read_songs(spark, song_path), rules)
     specs = {spec.name: spec for spec in STAR}
-    for name, df in star.items():
-        load.overwrite(load.conform(df, specs[name]), f"{out}/{name}", specs[name].partition_by)
+
+    def save(spec: TableSpec) -> None:
+        rows = load.conform(star[spec.name], spec)
+        load.overwrite(rows, f"{out}/{spec.name}", spec.partition_by)
+
+    together(spark, {spec.name: partial(save, spec) for spec in STAR})
     return {
         name: spark.read.schema(spec.schema).parquet(f"{out}/{name}")
         for name, spec in specs.items()
@@ -189,8 +196,14 @@ def stage_inputs(
     songs = read_json(
         spark, render_path(song_path, **context), STAGING_SONGS.schema, recursive=True
     )
-    load.load_table(log, f"{database}.{STAGING_EVENTS.name}", "overwrite")
-    load.load_table(songs, f"{database}.{STAGING_SONGS.name}", "overwrite")
+    staged = {STAGING_EVENTS.name: log, STAGING_SONGS.name: songs}
+    together(
+        spark,
+        {
+            name: partial(load.load_table, df, f"{database}.{name}", "overwrite")
+            for name, df in staged.items()
+        },
+    )
 
 
 def _warehouse_specs():
@@ -214,10 +227,13 @@ def load_warehouse(
         spark.table(f"{database}.{STAGING_SONGS.name}"),
         rules,
     )
-    for spec in STAR:
+
+    def insert(spec: TableSpec) -> None:
         rows = load.conform(star[spec.name], spec)
         load.insert_columns(rows, f"{database}.{spec.name}", rows.columns)
 
+    together(spark, {spec.name: partial(insert, spec) for spec in STAR})
+
 
 # The columns that the scheduled run requires to be filled.
 REQUIRED = {
@@ -265,8 +281,15 @@ def run_scheduled(
         "time": time_dim(loaded, ["start_time"], rules.weekday),
     }
     specs = {spec.name: spec for spec in STAR}
-    for name, df in dims.items():
-        load.load_table(load.conform(df, specs[name]), f"{database}.{name}", "overwrite")
+    together(
+        spark,
+        {
+            name: partial(
+                load.load_table, load.conform(df, specs[name]), f"{database}.{name}", "overwrite"
+            )
+            for name, df in dims.items()
+        },
+    )
 
     report = run_checks(
         {

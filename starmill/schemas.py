@@ -39,14 +39,19 @@ class TableSpec:
     def schema(self) -> T.StructType:
         return struct(self.columns)
 
+    def _sql_type(self, field: T.StructField) -> str:
+        length = self.max_length.get(field.name)
+        return f"VARCHAR({length})" if length else field.dataType.simpleString()
+
     def unpartitioned(self) -> TableSpec:
         return replace(self, partition_by=())
 
     def create_statement(self, table: str, location: str) -> str:
-        """DDL of a parquet table; Spark wants partition columns last, so layout follows."""
+        """DDL of a parquet table. Texts of limited length become VARCHAR, for which Spark
+        refuses longer values on insert; columns that partition the table come last."""
         plain = [f for f in self.schema.fields if f.name not in self.partition_by]
         parts = [self.schema[c] for c in self.partition_by]
-        listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*plain, *parts])
+        listed = ", ".join(f"`{f.name}` {self._sql_type(f)}" for f in [*plain, *parts])
         by = ", ".join(f"`{c}`" for c in self.partition_by)
         partitioned = f" PARTITIONED BY ({by})" if by else ""
         return (

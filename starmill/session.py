@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -60,3 +63,14 @@ def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     path = path or new_path(spark, label)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def together(
+    spark: SparkSession, jobs: Mapping[str, Callable[[], object]], at_once: int = 4
+) -> dict:
+    """Start independent Spark jobs side by side, so that the last tasks of one do not leave
+    executors idle; returns their results by name."""
+    in_thread = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(at_once) as pool:
+        started = {name: pool.submit(in_thread(job)) for name, job in jobs.items()}
+        return {name: result.result() for name, result in started.items()}

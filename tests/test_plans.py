@@ -14,6 +14,7 @@ from starmill.schemas import (
     STAGING_EVENTS,
     STAGING_SONGS,
     TEMPERATURES,
+    TableSpec,
 )
 from starmill.sources import read_code_tables
 
@@ -179,6 +180,15 @@ def test_staging_contracts(spark, music_files):
     assert check_table("songs", songs, CheckSpec.of(STAGING_SONGS)).filter("NOT passed").isEmpty()
 
 
+def test_long_texts_are_refused(spark, tmp_path, database):
+    spec = TableSpec("short", "name STRING, n INT", max_length={"name": 3})
+    load.create_tables(spark, [spec], str(tmp_path), database)
+    load.load_table(spark.createDataFrame([("abc", 1)], "name string, n int"), f"{database}.short")
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        load.load_table(spark.createDataFrame([("abcd", 1)], "name string, n int"), f"{database}.short")
+    assert rows(spark.table(f"{database}.short")) == [("abc", 1)]
+
+
 def test_reports_refuse_an_existing_target(spark, tmp_path):
     path = str(tmp_path / "report")
     load.save_report(spark.range(1), path)
