@@ -11,7 +11,9 @@ from starmill.operators import load
 from starmill.operators.dims import project
 from starmill.schemas import TableSpec
 
-ORDERS = TableSpec("orders_copy", "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE", ("o_orderkey",))
+ORDERS = TableSpec(
+    "orders_copy", "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE", ("o_orderkey",)
+)
 
 
 def _with_table(t: Tables, spec: TableSpec, fill):
@@ -36,7 +38,11 @@ FROM events GROUP BY user_id
 def user_dim_partial_upsert(t):
     """Users merged in two batches: the first value stays, the level follows the last event."""
     users = t.events.select(
-        "user_id", F.col("value").alias("first_value"), F.col("event_type").alias("level"), "ts", "event_id"
+        "user_id",
+        F.col("value").alias("first_value"),
+        F.col("event_type").alias("level"),
+        "ts",
+        "event_id",
     )
     early = F.col("ts") < F.lit("2024-01-10").cast("timestamp")
     none = users.select("user_id", "first_value", "level").limit(0)
@@ -72,8 +78,9 @@ FROM lineitem QUALIFY row_number() OVER (
     ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) = 1
 """)
 def last_write_wins(t):
-    columns = ["l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
-    return load.last_write_wins(t.lineitem.select(*columns), columns[:2], columns[2:])
+    key = ["l_orderkey", "l_linenumber"]
+    order = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    return load.last_write_wins(t.lineitem.select(*key, *order), key, order)
 
 
 @query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
@@ -128,11 +135,13 @@ QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, ev
 def keyed_reload(t):
     """Two batches written over one another at a path; rows of the same key are replaced."""
     spec = TableSpec(
-        "latest", "user_id BIGINT, event_type STRING, last_time TIMESTAMP, last_id BIGINT", ("user_id", "event_type")
+        "latest",
+        "user_id BIGINT, event_type STRING, last_time TIMESTAMP, last_id BIGINT",
+        ("user_id", "event_type"),
     )
     path = t.path("keyed")
-    rows = project(
-        t.events, {"user_id": "user_id", "event_type": "event_type", "last_time": "ts", "last_id": "event_id"}
+    rows = t.events.select(
+        *spec.key, F.col("ts").alias("last_time"), F.col("event_id").alias("last_id")
     )
     early = F.col("last_time") < F.lit("2024-01-10").cast("timestamp")
     for batch in (rows.filter(early), rows.filter(~early)):

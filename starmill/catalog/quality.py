@@ -101,7 +101,10 @@ FROM events GROUP BY ALL
 """)
 def group_sum_null_keys(t):
     events = t.events.select(
-        F.nullif("event_type", F.lit("error")).alias("kind"), "user_id", "value", F.col("event_id").alias("ids")
+        F.nullif("event_type", F.lit("error")).alias("kind"),
+        "user_id",
+        "value",
+        F.col("event_id").alias("ids"),
     )
     sums = group_sum(events, ["kind", "user_id"], ["value", "ids"])
     return sums.withColumn("value", F.round("value", 4))
