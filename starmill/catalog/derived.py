@@ -198,7 +198,8 @@ LABELS_SQL = """countries AS (
     SELECT n_nationkey AS code, CASE WHEN n_regionkey = 3 THEN 'No Country Code'
                                      ELSE n_name END AS label
     FROM nation WHERE n_regionkey < 4),
-visas AS (SELECT * FROM (VALUES (1, 'Business'), (2, 'Pleasure'), (3, 'Student')) v(code, label))"""
+visas AS (SELECT * FROM (VALUES (1, 'Business'), (2, 'Pleasure'), (3, 'Student')) v(code, label)),
+modes AS (SELECT * FROM (VALUES (1, 'Air'), (2, 'Sea'), (9, 'Not reported')) v(code, label))"""
 
 
 def write_codes(t: Tables) -> str:
@@ -218,18 +219,20 @@ def write_codes(t: Tables) -> str:
         F.col("n_name"), F.lit(", "), F.substring("r_name", 1, 2), F.lit("     '"),
     )
     visas = ["/* I94VISA - Visa categories:", "   1 = Business", "   2 = Pleasure", "   3 = Student"]
+    modes = ["/* I94MODE - Modes */", "\t1 = 'Air'", "\t2 = 'Sea'", "\t9 = 'Not reported' ;"]
+    fixed = visas + modes
     headers = t.region.filter("r_regionkey < 4").select(
         "r_regionkey",
         F.posexplode(
             F.array(
-                *[F.lit(v) for v in visas],
+                *[F.lit(line) for line in fixed],
                 F.lit("/* I94CIT & I94RES - valid and invalid codes */"),
                 F.lit("/* I94PORT - valid and invalid codes */"),
             )
         ).alias("section", "value"),
     ).select(
         "r_regionkey",
-        F.when(F.col("section") == 5, 200).otherwise(F.col("section")).alias("place"),
+        F.when(F.col("section") == len(fixed) + 1, 200).otherwise(F.col("section")).alias("place"),
         "value",
     )
     listed = nations.select(

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from starmill.catalog import derived
 from starmill.catalog.registry import Tables, query
+from starmill.functions import code_text
 from starmill.operators import load
-from starmill.operators.facts import equi_join
+from starmill.operators.facts import equi_join, with_labels
 from starmill.operators.profile import column_profile, greatest_deviation, group_sum
 from starmill.operators.quality import coverage
 from starmill.plans import exploration, immigration, listening, music
@@ -281,6 +282,29 @@ def immigration_visa_issuer(t):
     return immigration.visa_issuer_dim(_decoded(t)).drop("visa_issuer_id")
 
 
+@query(_ARRIVALS + ", " + derived.LABELS_SQL + """
+SELECT cic_id, coalesce(c.label, 'No Country Code') AS citizenship,
+       CASE WHEN city = 'No PORT Code' THEN city ELSE city || ', ' || state END AS port,
+       m.label AS travel_mode, v.label AS visa, city, state
+FROM arrivals LEFT JOIN countries c ON c.code = i94cit LEFT JOIN modes m ON m.code = kind
+LEFT JOIN visas v ON v.code = kind
+""")
+def immigration_labels(t):
+    """Every label of a record: country, port, travel mode and visa, city and state."""
+    codes = derived.codes(t)
+    numbered = codes.filter("numeric")
+    rows = immigration.with_entry_city(_decoded(t), codes)
+    no_port, no_country = immigration.NO_PORT, immigration.NO_COUNTRY
+    rows = with_labels(rows, codes, "I94PORT", "i94port", {"port": ("label", no_port)})
+    for field, code, out, default in (
+        ("I94CIT", "i94cit", "citizenship", no_country),
+        ("I94MODE", "i94mode", "travel_mode", None),
+        ("I94VISA", "i94visa", "visa", None),
+    ):
+        rows = with_labels(rows, numbered, field, code_text(code), {out: ("label", default)})
+    return rows.select("cic_id", "citizenship", "port", "travel_mode", "visa", "city", "state")
+
+
 _ALIENS = _ARRIVALS + ", " + derived.LABELS_SQL + """, aliens AS (
     SELECT a.*, coalesce(c.label, 'No Country Code') AS citizenship_origin,
            coalesce(r.label, 'No Country Code') AS residency_origin, v.label AS i94visa

@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from starmill.catalog.registry import query
-from starmill.operators.profile import column_profile, greatest_deviation, group_sum
+from starmill.operators.profile import (
+    column_profile,
+    column_stats,
+    greatest_deviation,
+    group_sum,
+)
 from starmill.operators.quality import CheckSpec, null_report, repeated_keys, run_checks
 
 
@@ -94,6 +99,19 @@ def column_profile_of_orders(t):
     return column_profile(orders, _PROFILED, 5)
 
 
+@query("""
+SELECT 'l_orderkey' AS column_name, count(*) AS row_count,
+       count(DISTINCT l_orderkey) AS distinct_values, 0::BIGINT AS null_count FROM lineitem
+UNION ALL SELECT 'l_shipdate', count(*), count(DISTINCT l_shipdate), 0 FROM lineitem
+UNION ALL SELECT 'l_returnflag', count(*), count(DISTINCT l_returnflag), 0 FROM lineitem
+UNION ALL SELECT 'returned', count(*), 2, count(*) FILTER (l_returnflag <> 'R') FROM lineitem
+""")
+def column_stats_of_lineitem(t):
+    returned = F.when(F.col("l_returnflag") == "R", True)
+    lines = t.lineitem.withColumn("returned", returned)
+    return column_stats(lines, ["l_orderkey", "l_shipdate", "l_returnflag", "returned"])
+
+
 @query("""
 SELECT nullif(event_type, 'error') AS kind, user_id,
        round(sum(value), 4) AS value, sum(event_id)::BIGINT AS ids

@@ -23,16 +23,52 @@ def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     )
 
 
+def _totals(counts: DataFrame) -> DataFrame:
+    nulls = F.when(F.col("value").isNull(), F.col("frequency"))
+    return counts.groupBy("column_name").agg(
+        F.sum("frequency").alias("row_count"),
+        F.count(F.lit(1)).alias("distinct_values"),
+        F.coalesce(F.sum(nulls), F.lit(0)).alias("null_count"),
+    )
+
+
+def column_stats(
+    df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False
+) -> DataFrame:
+    """Rows, distinct values (null counts as one) and nulls of each column.
+
+    Exact counts shuffle each distinct value once. ``approximate`` estimates them (within a few
+    percent) in a single aggregate that shuffles only sketches, for columns of billions of values.
+    """
+    columns = list(columns or df.columns)
+    if not approximate:
+        return _totals(value_counts(df, columns))
+    has_null = [F.max(F.col(c).isNull().cast("long")) for c in columns]
+    measured = df.agg(
+        F.count(F.lit(1)).alias("__rows"),
+        *[
+            (F.approx_count_distinct(c) + F.coalesce(null, F.lit(0))).alias(f"__d{i}")
+            for i, (c, null) in enumerate(zip(columns, has_null))
+        ],
+        *[F.count_if(F.col(c).isNull()).alias(f"__n{i}") for i, c in enumerate(columns)],
+    )
+    entries = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.col("__rows").alias("row_count"),
+            F.col(f"__d{i}").alias("distinct_values"),
+            F.col(f"__n{i}").alias("null_count"),
+        )
+        for i, c in enumerate(columns)
+    ]
+    return measured.select(F.inline(F.array(*entries)))
+
+
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None, n: int = 10) -> DataFrame:
     """For each column its rows, distinct values (null counts as one), nulls, and the ``n``
     most frequent values, one per row; equally frequent values in value order, null last."""
     counts = value_counts(df, columns)
-    is_null = F.col("value").isNull()
-    totals = counts.groupBy("column_name").agg(
-        F.sum("frequency").alias("row_count"),
-        F.count(F.lit(1)).alias("distinct_values"),
-        F.coalesce(F.sum(F.when(is_null, F.col("frequency"))), F.lit(0)).alias("null_count"),
-    )
+    totals = _totals(counts)
     # Only the first n rows per column and task are shuffled for the ranking.
     rank = F.row_number().over(
         Window.partitionBy("column_name").orderBy(

@@ -22,7 +22,13 @@ from starmill.operators.keyed import (
     last_per_key,
     with_group_count,
 )
-from starmill.operators.profile import column_profile, greatest_deviation, group_sum, rows_with_nulls
+from starmill.operators.profile import (
+    column_profile,
+    column_stats,
+    greatest_deviation,
+    group_sum,
+    rows_with_nulls,
+)
 from starmill.operators.quality import CheckSpec, check_table, coverage, enforce, null_report, run_checks
 from starmill.operators.reports import count_by_dim, top_n_by_dim
 
@@ -334,6 +340,14 @@ def test_profile_of_every_value(gaps):
     assert rows(names) == [(1, "a", 1), (2, "bbb", 1), (3, None, 1)]
 
 
+def test_column_stats(spark, gaps):
+    want = [("id", 3, 2, 0), ("name", 3, 3, 1), ("v", 3, 3, 1)]
+    assert rows(column_stats(gaps)) == rows(column_stats(gaps, approximate=True)) == want
+    many = spark.range(20000).select("id", (F.col("id") % 100).alias("few"))
+    about = {r.column_name: r.distinct_values for r in column_stats(many, approximate=True).collect()}
+    assert abs(about["id"] - 20000) < 3000 and abs(about["few"] - 100) < 15
+
+
 def test_rows_with_nulls(gaps):
     assert rows(rows_with_nulls(gaps), "id") == [(1,), (2,)]
     assert rows(rows_with_nulls(gaps, ["v"]), "id") == [(1,)]

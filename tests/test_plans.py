@@ -3,6 +3,7 @@ import json
 import pytest
 from conftest import rows
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from starmill.operators import load
 from starmill.operators.quality import CheckSpec, check_table
@@ -344,6 +345,20 @@ def test_immigration(spark, inputs, tmp_path):
     assert part.read_text() == "month,count\n4,2\n"
 
 
+def test_keys_of_the_fact_are_keys_of_the_dimensions(spark, inputs, tmp_path):
+    tables = immigration.build_immigration(spark, inputs, str(tmp_path / "out"))
+    for name, key, column in (
+        ("city", "city_id", "arrival_city"),
+        ("port", "port_id", "port_id"),
+        ("visa_issuer", "visa_issuer_id", "visa_issuer_id"),
+        ("logistics", "transport_id", "transport_id"),
+        ("alien", "admission_id", "admission_id"),
+        ("time", "time", "arrdate"),
+    ):
+        used = tables["immigrations"].select(F.col(column).alias(key)).na.drop()
+        assert used.join(tables[name], key, "left_anti").isEmpty(), name
+
+
 def test_keys_do_not_change_between_runs(spark, inputs, tmp_path):
     first = immigration.build_immigration(spark, inputs, str(tmp_path / "one"))
     second = immigration.build_immigration(spark, inputs, str(tmp_path / "two"))
