@@ -11,6 +11,7 @@ from starmill.catalog.registry import Tables, query
 from starmill.functions import code_text
 from starmill.operators import load
 from starmill.operators.facts import equi_join, with_labels
+from starmill.operators.nulls import drop_nulls
 from starmill.operators.profile import column_profile, greatest_deviation, group_sum
 from starmill.operators.quality import coverage
 from starmill.plans import exploration, immigration, listening, music
@@ -442,7 +443,7 @@ SELECT count(local_code) AS matched, count(*) AS total, count(local_code) / coun
 FROM arrivals LEFT JOIN seen ON i94port = local_code
 """)
 def explore_ports(t):
-    arrivals = derived.arrivals(t).na.drop(subset=["admnum"])
+    arrivals = drop_nulls(derived.arrivals(t), ["admnum"])
     return coverage(arrivals, derived.airports(t), ("i94port", "local_code"))
 
 

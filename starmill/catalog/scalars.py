@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from starmill import functions as S
 from starmill.catalog.registry import query
-from starmill.operators.profile import rows_with_nulls
+from starmill.operators.nulls import drop_nulls, rows_with_nulls
 
 
 @query("""
@@ -44,13 +44,13 @@ def null_fill(t):
 
 @query(_NULLS_SQL + "SELECT * FROM missing WHERE status IS NOT NULL")
 def null_drop_subset(t):
-    return _with_nulls(t).na.drop(subset=["status"])
+    return drop_nulls(_with_nulls(t), ["status"])
 
 
 @query(_NULLS_SQL + """SELECT * FROM missing
 WHERE status IS NOT NULL AND price IS NOT NULL AND priority IS NOT NULL""")
 def null_drop_any(t):
-    return _with_nulls(t).na.drop("any")
+    return drop_nulls(_with_nulls(t))
 
 
 @query(_NULLS_SQL + "SELECT * FROM missing WHERE status IS NULL OR price IS NULL OR priority IS NULL")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill.operators.keyed import first_per_key
+from starmill.operators.nulls import drop_nulls
 
 
 @dataclass(frozen=True)
@@ -84,7 +85,7 @@ def fact(df: DataFrame, joins: Sequence[DimJoin], verify: bool = False) -> DataF
 
 def _refuse_repeated_keys(join: DimJoin) -> None:
     key = list(dict.fromkeys(join.on.values()))
-    rows = join.dim if join.null_safe else join.dim.na.drop(subset=key)
+    rows = join.dim if join.null_safe else drop_nulls(join.dim, key)
     repeated = rows.groupBy(*key).count().filter("count > 1").limit(1)
     if not repeated.isEmpty():
         raise ValueError(f"dimension is not unique by {', '.join(key)}")
@@ -104,7 +105,7 @@ def lookup_one(
     """
     key = list(dict.fromkeys(on.values()))
     wanted = list(dict.fromkeys([*key, *take.values(), *order]))
-    single = first_per_key(lookup.select(*wanted).na.drop(subset=key), key, order)
+    single = first_per_key(drop_nulls(lookup.select(*wanted), key), key, order)
     return equi_join(df, single, on, take, "left")
 
 

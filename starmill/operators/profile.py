@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -88,12 +87,6 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, n: int =
     )
 
 
-def rows_with_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows in which at least one of the columns is null."""
-    nulls = [F.col(c).isNull() for c in (columns or df.columns)]
-    return df.filter(reduce(lambda a, b: a | b, nulls))
-
-
 def group_sum(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Sums per group; null key values form groups of their own."""
     return df.groupBy(*keys).agg(*[F.sum(v).alias(v) for v in values])

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmill.operators.nulls import drop_nulls
+
 
 def count_by_dim(
     fact: DataFrame, dim: DataFrame, on: tuple[str, str], by: str, out: str = "count"
@@ -34,7 +36,7 @@ def top_n_by_dim(
     fact: DataFrame, dim: DataFrame, on: tuple[str, str], by: str, n: int, out: str = "count"
 ) -> DataFrame:
     """The ``n`` values of ``dim.by`` with the most fact rows; null values do not count."""
-    counts = count_by_dim(fact, dim.na.drop(subset=[by]), on, by, out)
+    counts = count_by_dim(fact, drop_nulls(dim, [by]), on, by, out)
     return most_frequent_first(counts, by, out).limit(n)
 
 

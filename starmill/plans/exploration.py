@@ -6,12 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.functions import parse_date
-from starmill.operators.profile import (
-    column_profile,
-    greatest_deviation,
-    group_sum,
-    rows_with_nulls,
-)
+from starmill.operators.nulls import rows_with_nulls
+from starmill.operators.profile import column_profile, greatest_deviation, group_sum
 from starmill.operators.quality import coverage
 from starmill.operators.reports import filtered_counts
 from starmill.plans.immigration import HOME_COUNTRY, HOME_COUNTRY_CODE

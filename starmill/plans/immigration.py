@@ -22,6 +22,7 @@ from starmill.functions import (
 from starmill.operators import load
 from starmill.operators.dims import argmax_by_group, dimension, surrogate_key, time_dim
 from starmill.operators.facts import DimJoin, equi_join, fact, lookup_one, with_labels
+from starmill.operators.nulls import drop_nulls
 from starmill.operators.quality import CheckSpec, enforce, run_checks
 from starmill.operators.reports import count_by_dim, most_frequent_first, top_n_by_dim
 from starmill.schemas import (
@@ -95,7 +96,7 @@ def decode(immigration: DataFrame, strict: bool = False) -> DataFrame:
     Only projections, so each table built from the result scans just its own columns, and there
     is nothing worth storing in between.
     """
-    return immigration.na.drop(subset=["admnum"]).withColumns(
+    return drop_nulls(immigration, ["admnum"]).withColumns(
         {
             "arrdate": sas_day_to_date("sas_arrdate"),
             "depdate": sas_day_to_date("sas_depdate"),
@@ -185,7 +186,7 @@ def visa_issuer_dim(decoded: DataFrame) -> DataFrame:
 def alien_dim(decoded: DataFrame, codes: DataFrame) -> DataFrame:
     """Persons by admission number, as recorded at their first arrival."""
     people = dimension(
-        decoded,
+        decoded.filter(as_long("admnum", zero_is_null=True).isNotNull()),
         {
             "admission_id": as_long("admnum", zero_is_null=True),
             "i94cit": "i94cit",
@@ -201,7 +202,7 @@ def alien_dim(decoded: DataFrame, codes: DataFrame) -> DataFrame:
         },
         ["admission_id"],
         order=["sas_arrdate", "cic_id"],
-    ).na.drop(subset=["admission_id"])
+    )
     numbered = codes.filter("numeric")
     for code, out in (("i94cit", "citizenship_origin"), ("i94res", "residency_origin")):
         labels = {out: ("label", NO_COUNTRY)}

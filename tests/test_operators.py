@@ -22,12 +22,12 @@ from starmill.operators.keyed import (
     last_per_key,
     with_group_count,
 )
+from starmill.operators.nulls import drop_nulls, rows_with_nulls
 from starmill.operators.profile import (
     column_profile,
     column_stats,
     greatest_deviation,
     group_sum,
-    rows_with_nulls,
 )
 from starmill.operators.quality import CheckSpec, check_table, coverage, enforce, null_report, run_checks
 from starmill.operators.reports import count_by_dim, top_n_by_dim
@@ -353,6 +353,19 @@ def test_rows_with_nulls(gaps):
     assert rows(rows_with_nulls(gaps, ["v"]), "id") == [(1,)]
 
 
+def test_drop_nulls_is_na_drop(spark, gaps):
+    nan = gaps.union(spark.createDataFrame([(3, "c", float("nan"))], gaps.schema))
+    for columns in (["v"], ["name"], ["id"], None):
+        assert rows(drop_nulls(nan, columns), "id") == rows(nan.na.drop(subset=columns), "id")
+    assert rows(rows_with_nulls(nan, ["v"]), "id") == [(1,), (3,)]
+
+
+def test_dropped_nulls_reach_the_scan(gaps, tmp_path, spark):
+    gaps.write.parquet(str(tmp_path / "t"))
+    df = drop_nulls(spark.read.parquet(str(tmp_path / "t")), ["name"])
+    assert "PushedFilters: [IsNotNull(name)]" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_group_sums_and_deviation(spark):
     df = spark.createDataFrame(
         [(None, 1, 5.0), (None, 2, 5.0), ("x", 3, 1.0)], "k string, n int, v double"
