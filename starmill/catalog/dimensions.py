@@ -119,7 +119,7 @@ def argmax_unique(t):
 @query("""
 SELECT user_id AS id FROM events UNION SELECT c_custkey FROM customer
 UNION SELECT s_suppkey FROM supplier
-""")
+""", name="distinct_union")
 def distinct_union_ids(t):
     return distinct_union(
         project(t.events, {"id": "user_id"}),

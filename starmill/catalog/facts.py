@@ -74,7 +74,7 @@ songs AS (SELECT p_name AS title, name, min(p_partkey) AS song_id
           FROM part JOIN artists ON p_brand = artist_id GROUP BY ALL)
 SELECT l_orderkey, l_linenumber, song, artist, song_id
 FROM plays LEFT JOIN songs ON song = title AND artist = name
-""")
+""", name="lookup_one")
 def lookup_one_song(t):
     """Songs joined to artists, and of those of the same title and artist only the first."""
     artists = project(t.part, {"artist_id": "p_brand", "name": "p_brand"}).distinct()

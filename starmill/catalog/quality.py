@@ -32,7 +32,7 @@ _GAPS_SQL = """WITH gaps AS (
 SELECT 'o_orderkey' AS column_name, count(*) AS row_count, count(*) - count(o_orderkey) AS null_count FROM gaps
 UNION ALL SELECT 'status', count(*), count(*) - count(status) FROM gaps
 UNION ALL SELECT 'price', count(*), count(*) - count(price) FROM gaps
-""")
+""", name="null_report")
 def null_report_of_orders(t):
     return null_report(_gaps(t))
 
@@ -62,6 +62,19 @@ def check_suite(t):
     )
 
 
+@query("""
+SELECT 'orders' AS table_name, count(*) = 0 AS is_empty FROM orders
+UNION ALL SELECT 'lineitem', count(*) = 0 FROM lineitem
+UNION ALL SELECT 'no events', count(*) = 0 FROM events WHERE event_type = 'none'
+""")
+def empty_check(t):
+    """Emptiness of tables, from the report of a check suite without other checks."""
+    none = t.events.filter("event_type = 'none'")
+    tables = {"orders": t.orders, "lineitem": t.lineitem, "no events": none}
+    report = run_checks({name: (df, CheckSpec()) for name, df in tables.items()})
+    return report.select("table_name", (~F.col("passed")).alias("is_empty"))
+
+
 @query("""
 SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem
 GROUP BY ALL HAVING count(*) > 1
@@ -92,7 +105,7 @@ SELECT column_name, row_count, distinct_values, null_count,
                           ORDER BY frequency DESC, value NULLS LAST)::INTEGER AS position,
        value, frequency
 FROM counts JOIN totals USING (column_name) QUALIFY position <= 5
-""")
+""", name="column_profile")
 def column_profile_of_orders(t):
     price = F.floor(F.round("o_totalprice").cast("long") / 1000)
     orders = t.orders.withColumn("price", F.when(F.col("o_totalprice") > 400000, price))

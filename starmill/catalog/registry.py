@@ -31,14 +31,14 @@ class Tables:
         return new_path(self.spark, label)
 
 
-def query(oracle: str | None = None):
-    """Register ``f(tables) -> DataFrame`` under its name."""
+def query(oracle: str, name: str | None = None):
+    """Register ``f(tables) -> DataFrame`` under its own or another name."""
 
     def register(f: Callable[[Tables], DataFrame]):
-        QUERIES[f.__name__] = lambda spark, folder: f(Tables(spark, folder))
-        QUERIES[f.__name__].__doc__ = f.__doc__
-        if oracle is not None:
-            ORACLES[f.__name__] = oracle
+        key = name or f.__name__
+        QUERIES[key] = lambda spark, folder: f(Tables(spark, folder))
+        QUERIES[key].__doc__ = f.__doc__
+        ORACLES[key] = oracle
         return f
 
     return register

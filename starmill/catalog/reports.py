@@ -94,7 +94,7 @@ SELECT count(*) FILTER (year(o_orderdate) = 1998) AS in_1998,
        count(*) FILTER (o_orderstatus = 'F') AS closed,
        max(year(o_orderdate))::INTEGER AS newest_year
 FROM orders
-""")
+""", name="filtered_counts")
 def filtered_counts_of_orders(t):
     in_1998, closed = F.year("o_orderdate") == 1998, F.col("o_orderstatus") == "F"
     return t.orders.agg(

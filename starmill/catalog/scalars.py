@@ -53,6 +53,12 @@ def null_drop_any(t):
     return drop_nulls(_with_nulls(t))
 
 
+@query(_NULLS_SQL + """SELECT o_orderkey, status, coalesce(price, 0) AS price, priority FROM missing
+WHERE status IS NOT NULL AND priority IS NOT NULL""")
+def null_fill_drop(t):
+    return drop_nulls(_with_nulls(t).na.fill(0, ["price"]))
+
+
 @query(_NULLS_SQL + "SELECT * FROM missing WHERE status IS NULL OR price IS NULL OR priority IS NULL")
 def null_rows_any(t):
     return rows_with_nulls(_with_nulls(t))

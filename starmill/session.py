@@ -27,6 +27,23 @@ def local_session(cpus: int | str = "*", app: str = "starmill", **conf: str) ->
     return use_utc(builder.getOrCreate())
 
 
+def cluster_settings(shuffle_bytes: int, per_task: int = 256 << 20) -> dict[str, str]:
+    """Session options for a job whose widest shuffle carries about ``shuffle_bytes``.
+
+    Shuffles start with partitions that a task can sort in memory; the adaptive planner merges
+    small ones, splits the ones that a frequent key fills, and broadcasts by measured size.
+    """
+    partitions = max(200, -(-shuffle_bytes // per_task))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(per_task),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(per_task),
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """Epoch decoding and calendar parts are defined in UTC, whatever the host's zone is."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -424,3 +424,14 @@ def test_rebalanced_writes_keep_all_rows(spark, tmp_path):
     load.append(df.filter("p = 1"), str(tmp_path / "t"), ["p"])
     assert spark.read.parquet(str(tmp_path / "t")).count() == 1333
     assert spark.read.parquet(str(tmp_path / "t/p=1")).count() == 666
+
+
+def test_empty_inputs(spark):
+    none = spark.createDataFrame([], "k string, n int")
+    assert surrogate_key(none, ["k"], "id", "dense").count() == 0
+    assert first_per_key(none, ["k"], ["n"]).count() == 0
+    assert with_group_count(none, "k").count() == 0
+    assert load.upsert(none, none, ["k"], ["n"], ["n"]).count() == 0
+    assert column_profile(none).count() == 0
+    assert rows(null_report(none)) == [("k", 0, 0), ("n", 0, 0)]
+    assert top_n_by_dim(none, none, ("k", "k"), "n", 3).count() == 0

@@ -5,6 +5,7 @@ from conftest import rows
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from starmill.__main__ import main
 from starmill.operators import load
 from starmill.operators.quality import CheckSpec, check_table
 from starmill.plans import exploration, immigration, listening, music
@@ -387,3 +388,44 @@ def test_exploration(spark, inputs):
     assert set(rows(report["figures that vary within a city"])[0]) == {0.0, None}
     ports = report["profile of immigration"].filter("column_name = 'i94port' AND position = 1")
     assert rows(ports, "value", "frequency", "distinct_values") == [("MIA", 3, 3)]
+
+
+# -- command line ----------------------------------------------------------------------------
+
+
+def test_music_jobs_from_the_command_line(spark, music_files, tmp_path, database):
+    songs, log = music_files
+    paths = ["--songs", songs, "--log", log]
+    main(["lake", *paths, "--out", str(tmp_path / "lake")])
+    assert spark.read.parquet(str(tmp_path / "lake/songs")).count() == 3
+    main(["increment", *paths, "--out", str(tmp_path / "inc")])
+    assert spark.read.parquet(str(tmp_path / "inc/songplays")).count() == 3
+    templated = ["--songs", songs, "--log", log.replace("log_data", "{kind}_data")]
+    out = ["--out", str(tmp_path / "wh"), "--database", database]
+    main(["scheduled", *templated, *out, "--context", "kind=log"])
+    assert spark.table(f"{database}.songplays").count() == 3
+    main(["warehouse", *paths, "--out", str(tmp_path / "wh2"), "--database", database])
+    assert spark.table(f"{database}.songplays").count() == 4
+
+
+def test_history_from_the_command_line(spark, exports, tmp_path):
+    main(["history", "--exports", exports, "--out", str(tmp_path / "out")])
+    assert spark.read.parquet(str(tmp_path / "out/song_session")).count() == 5
+
+
+def test_immigration_from_the_command_line(spark, inputs, tmp_path):
+    inputs.immigration.write.parquet(str(tmp_path / "sas/apr"))
+    inputs.demographics.write.options(header=True, sep=";").csv(str(tmp_path / "cities"))
+    inputs.temperatures.write.options(header=True).csv(str(tmp_path / "warmth"))
+    inputs.airports.write.options(header=True).csv(str(tmp_path / "airports"))
+    main(
+        [
+            "immigration", "--records", str(tmp_path / "sas"), "--month-file", "apr",
+            "--demographics", str(tmp_path / "cities"), "--temperatures", str(tmp_path / "warmth"),
+            "--airports", str(tmp_path / "airports"), "--codes", str(tmp_path / "codes.txt"),
+            "--out", str(tmp_path / "star"), "--reports", str(tmp_path / "reports"),
+        ]
+    )
+    assert spark.read.parquet(str(tmp_path / "star/immigrations")).count() == 4
+    (part,) = (tmp_path / "reports/most_common_arrival_state").glob("part-*")
+    assert part.read_text() == "state,count\nFlorida,2\n"

@@ -2,7 +2,7 @@ import pytest
 from conftest import rows
 
 from starmill.sources import read_code_tables, read_delimited, read_json, render_path
-from starmill.session import new_path, shared_folder
+from starmill.session import cluster_settings, new_path, shared_folder
 
 CODES = (
     "libname library 'Your file location' ;\r\n"
@@ -129,3 +129,9 @@ def test_render_path():
 def test_paths_are_fresh_and_shared(spark):
     a, b = new_path(spark, "x"), new_path(spark, "x")
     assert a != b and a.startswith(shared_folder(spark))
+
+
+def test_shuffles_are_sized_by_their_bytes():
+    few, many = cluster_settings(1 << 30), cluster_settings(10 << 40)
+    assert few["spark.sql.shuffle.partitions"] == "200"
+    assert many["spark.sql.shuffle.partitions"] == str(10 << 12)
