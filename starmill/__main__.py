@@ -8,7 +8,8 @@
     history      --exports DIR --out DIR
     immigration  --records DIR --demographics FILE --temperatures FILE --airports FILE
                  --codes FILE --out DIR --reports DIR [--format NAME] [--month-file NAME]
-                 [--strict]
+                 [--option NAME=VALUE ...] [--strict]
+    explore      the same inputs as immigration, shown as profiles and checks; no --out
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from starmill.plans import immigration, listening, music
+from starmill.plans import exploration, immigration, listening, music
 from starmill.session import use_utc
 
 SIDE_FILES = ("demographics", "temperatures", "airports", "codes")
@@ -42,24 +43,43 @@ def _parser() -> argparse.ArgumentParser:
     job = jobs.add_parser("history")
     for option in ("--exports", "--out"):
         job.add_argument(option, required=True)
-    job = jobs.add_parser("immigration")
-    for option in ("records", *SIDE_FILES, "out", "reports"):
-        job.add_argument(f"--{option}", required=True)
-    job.add_argument("--format", default="parquet")
-    job.add_argument("--month-file", help="read this file of the folder only, not all months")
-    job.add_argument("--strict", action="store_true")
+    for name, outputs in (("immigration", ["out", "reports"]), ("explore", [])):
+        job = jobs.add_parser(name)
+        for option in ("records", *SIDE_FILES, *outputs):
+            job.add_argument(f"--{option}", required=True)
+        job.add_argument("--format", default="parquet")
+        job.add_argument("--option", nargs="*", default=[], metavar="NAME=VALUE")
+        job.add_argument("--month-file", help="read this file of the folder only, not all months")
+        job.add_argument("--strict", action="store_true")
     return parser
 
 
+def _pairs(texts: Sequence[str]) -> dict[str, str]:
+    return dict(text.split("=", 1) for text in texts)
+
+
+def _inputs(spark: SparkSession, args: argparse.Namespace) -> immigration.Inputs:
+    records = immigration.read_immigration(
+        spark, args.records, args.format, args.month_file, _pairs(args.option)
+    )
+    paths = {name: getattr(args, name) for name in SIDE_FILES}
+    return immigration.read_inputs(spark, records, paths, args.strict)
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "lake":
         music.build_lake(spark, args.songs, args.log, args.out)
     elif args.job == "warehouse":
         music.load_warehouse(spark, args.songs, args.log, args.out, args.database)
     elif args.job == "scheduled":
-        context = dict(pair.split("=", 1) for pair in args.context)
         report = music.run_scheduled(
-            spark, args.songs, args.log, args.out, args.database, fact_mode=args.fact_mode, **context
+            spark,
+            args.songs,
+            args.log,
+            args.out,
+            args.database,
+            fact_mode=args.fact_mode,
+            **_pairs(args.context),
         )
         report.show(100, truncate=False)
     elif args.job == "increment":
@@ -67,12 +87,17 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         music.load_increment(spark, songs, log, args.out)
     elif args.job == "history":
         listening.build_history(spark, args.exports, args.out)
-    else:
-        records = immigration.read_immigration(spark, args.records, args.format, args.month_file)
-        paths = {name: getattr(args, name) for name in SIDE_FILES}
-        inputs = immigration.read_inputs(spark, records, paths, args.strict)
-        tables = immigration.build_immigration(spark, inputs, args.out, args.strict)
+    elif args.job == "immigration":
+        tables = immigration.build_immigration(spark, _inputs(spark, args), args.out, args.strict)
         immigration.save_reports(tables, args.reports)
+    else:
+        raw = _inputs(spark, args)
+        frames = exploration.explore(
+            raw.demographics, raw.airports, raw.temperatures, raw.immigration
+        )
+        for title, frame in frames.items():
+            print(title)
+            frame.show(200, truncate=False)
 
 
 def main(argv: Sequence[str] | None = None) -> None:

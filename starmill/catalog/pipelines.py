@@ -129,6 +129,19 @@ def scheduled_songplays(t):
     return plays.drop("year", "month")
 
 
+@query(_MUSIC + """
+SELECT make_timestamp(ts * 1000) AS start_time, user_id, song_id, artist_id
+FROM plays LEFT JOIN songs_raw ON song = title AND artist = artist_name
+     AND length::DECIMAL(18,0) = duration::DECIMAL(18,0)
+""")
+def songplays_by_rounded_length(t):
+    """Plays and songs whose lengths agree once both are rounded to whole seconds."""
+    rules = music.StarRules(duration_scale=0)
+    plays = music.plays_of(_log(t), rules)
+    facts = music.songplays_of(plays, derived.song_metadata(t), rules)
+    return facts.select("start_time", "user_id", "song_id", "artist_id")
+
+
 _EARLY_MS = 1704844800000  # 2024-01-10
 
 

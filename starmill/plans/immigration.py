@@ -68,13 +68,19 @@ def read_immigration(
     folder: str,
     fmt: str = "parquet",
     month_file: str | None = None,
+    options: Mapping[str, object] | None = None,
     **params: object,
 ) -> DataFrame:
-    """All months under ``folder``, or only the file that ``month_file`` (a template) names."""
+    """All months under ``folder``, or only the file that ``month_file`` (a template) names.
+
+    Any format of the session will do, with its ``options``. If it is row-oriented, keep the
+    records as parquet first (``sources.stage_raw``), since several tables are made of them.
+    """
+    options = options or {}
     if month_file is None:
-        return read_format(spark, fmt, folder, IMMIGRATION, recursive=True)
+        return read_format(spark, fmt, folder, IMMIGRATION, recursive=True, **options)
     path = f"{folder}/{render_path(month_file, **params)}"
-    return read_format(spark, fmt, path, IMMIGRATION)
+    return read_format(spark, fmt, path, IMMIGRATION, **options)
 
 
 def read_inputs(
