@@ -13,23 +13,17 @@ from pyspark.sql import functions as F
 from starmill.catalog.registry import Tables
 from starmill.operators.load import conform
 from starmill.plans.immigration import Inputs
-from starmill.schemas import (
-    AIRPORTS,
-    DEMOGRAPHICS,
-    IMMIGRATION,
-    PLAY_LOG,
-    TEMPERATURES,
-)
+from starmill.schemas import AIRPORTS, DEMOGRAPHICS, IMMIGRATION, PLAY_LOG, TEMPERATURES
 from starmill.sources import read_code_tables, read_delimited
 
 # -- music -----------------------------------------------------------------------------------
 
-# One artist per brand and type, each with several songs.
+
 def _artist():
+    """One artist per brand and type, each with several songs."""
     return F.concat_ws(" ", F.col("p_brand"), F.col("p_type"))
 
 
-
 def song_metadata(t: Tables) -> DataFrame:
     return t.part.select(
         F.lit(1).alias("num_songs"),

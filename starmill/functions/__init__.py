@@ -1,5 +1,6 @@
 """Column functions, all built from JVM-side expressions."""
 
+from starmill.functions.columns import as_column
 from starmill.functions.dates import (
     WEEKDAYS,
     calendar_parts,
@@ -17,6 +18,7 @@ from starmill.functions.text import code_text, fallback_identifier, pair_part, u
 
 __all__ = [
     "WEEKDAYS",
+    "as_column",
     "as_long",
     "calendar_parts",
     "code_text",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from starmill.functions.columns import as_column
+
 # SAS counts days from this date.
 SAS_EPOCH = "1960-01-01"
 
@@ -16,13 +18,9 @@ WEEKDAYS = {
 }
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def epoch_millis(c: Column | str) -> Column:
     """Epoch milliseconds to a timestamp that keeps the milliseconds."""
-    return F.timestamp_millis(_col(c).cast("long"))
+    return F.timestamp_millis(as_column(c).cast("long"))
 
 
 def epoch_seconds(c: Column | str) -> Column:
@@ -30,7 +28,7 @@ def epoch_seconds(c: Column | str) -> Column:
 
     Spark's ``/`` is fractional, so the fraction is cut off before the conversion.
     """
-    return F.timestamp_seconds(F.floor(_col(c).cast("long") / F.lit(1000)))
+    return F.timestamp_seconds(F.floor(as_column(c).cast("long") / F.lit(1000)))
 
 
 def epoch_to_date(c: Column | str) -> Column:
@@ -39,7 +37,7 @@ def epoch_to_date(c: Column | str) -> Column:
 
 def sas_day_to_date(c: Column | str) -> Column:
     """Day number since 1960-01-01 to a date; null stays null."""
-    return F.date_add(F.lit(SAS_EPOCH).cast("date"), _col(c).cast("int"))
+    return F.date_add(F.lit(SAS_EPOCH).cast("date"), as_column(c).cast("int"))
 
 
 def sas_day_to_timestamp(c: Column | str) -> Column:
@@ -48,16 +46,16 @@ def sas_day_to_timestamp(c: Column | str) -> Column:
 
 def parse_date(c: Column | str, pattern: str) -> Column:
     """Text to date by pattern, null where the text does not follow it."""
-    return F.try_to_date(_col(c), pattern)
+    return F.try_to_date(as_column(c), pattern)
 
 
 def parse_timestamp(c: Column | str, pattern: str | None = None) -> Column:
-    return F.try_to_timestamp(_col(c), F.lit(pattern)) if pattern else F.try_to_timestamp(_col(c))
+    return F.try_to_timestamp(as_column(c), F.lit(pattern)) if pattern else F.try_to_timestamp(as_column(c))
 
 
 def calendar_parts(c: Column | str, weekday: str = "sun1") -> dict[str, Column]:
     """The columns of a time dimension for timestamp ``c`` (ISO weeks)."""
-    c = _col(c)
+    c = as_column(c)
     return {
         "hour": F.hour(c),
         "day": F.dayofmonth(c),

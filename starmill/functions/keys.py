@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+from starmill.functions.columns import as_column
 
 
 def hash_key(*cols: Column | str) -> Column:
@@ -17,13 +15,13 @@ def hash_key(*cols: Column | str) -> Column:
     of a million keys collide with a chance below 1 in 10 million; for tables of billions of
     keys use ``md5_key``.
     """
-    parts = [p for c in cols for p in (_col(c), _col(c).isNull())]
+    parts = [p for c in cols for p in (as_column(c), as_column(c).isNull())]
     return F.xxhash64(*parts)
 
 
 def md5_key(*cols: Column | str, sep: str = "") -> Column:
     """md5 of the concatenated values, null if one of them is null."""
-    return F.md5(F.concat(*_joined([_col(c).cast("string") for c in cols], sep)))
+    return F.md5(F.concat(*_joined([as_column(c).cast("string") for c in cols], sep)))
 
 
 def _joined(parts: list[Column], sep: str) -> list[Column]:
@@ -34,5 +32,5 @@ def _joined(parts: list[Column], sep: str) -> list[Column]:
 
 def row_key(*cols: Column | str) -> Column:
     """128-bit key, as md5 text, of several values that may be null, for tables of any size."""
-    marked = [F.coalesce(_col(c).cast("string"), F.lit("\x00")) for c in cols]
+    marked = [F.coalesce(as_column(c).cast("string"), F.lit("\x00")) for c in cols]
     return F.md5(F.concat_ws("\x1f", *marked))

@@ -5,24 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+from starmill.functions.columns import as_column
 
 
 def upper_text(c: Column | str) -> Column:
-    return F.upper(_col(c))
+    return F.upper(as_column(c))
 
 
 def pair_part(c: Column | str, index: int, sep: str = ",", as_type: str | None = None) -> Column:
     """Part ``index`` of a "lon, lat" like text; null if it has fewer parts."""
-    part = F.get(F.split(_col(c), F.lit(sep)), F.lit(index))
+    part = F.get(F.split(as_column(c), F.lit(sep)), F.lit(index))
     return F.trim(part).try_cast(as_type) if as_type else part
 
 
 def code_text(c: Column | str) -> Column:
     """A numeric code as text: data files hold integer codes as doubles (582.0 is "582")."""
-    return _col(c).try_cast("long").cast("string")
+    return as_column(c).try_cast("long").cast("string")
 
 
 def fallback_identifier(
@@ -33,7 +31,7 @@ def fallback_identifier(
     ``strict`` keeps the original rule, under which a known company always gives a plain "no"
     and the mode counts only without one.
     """
-    number, company, mode = _col(number).cast("string"), _col(company), _col(mode)
+    number, company, mode = as_column(number).cast("string"), as_column(company), as_column(mode)
     letters = F.coalesce(F.substring(company, 1, 3), F.lit(""))
     mode_text = F.when(mode.try_cast("double") == 0, None).otherwise(mode.cast("string"))
     mode_text = F.coalesce(mode_text, F.lit(""))

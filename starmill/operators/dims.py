@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmill.functions import calendar_parts, hash_key
+from starmill.functions import as_column, calendar_parts, hash_key
 from starmill.operators.keyed import any_per_key, first_per_key, first_ranked, last_per_key
 from starmill.session import stage
 
@@ -17,9 +17,7 @@ _SLOT_BITS = 33
 
 def project(df: DataFrame, mapping: Mapping[str, Column | str]) -> DataFrame:
     """Select ``{new name: column or expression}``."""
-    return df.select(
-        *[(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in mapping.items()]
-    )
+    return df.select(*[as_column(c).alias(name) for name, c in mapping.items()])
 
 
 def dimension(
@@ -65,7 +63,7 @@ def time_dim(
     All roles are taken from one scan, and only the timestamps are shuffled for the distinct:
     the calendar parts follow from them and are computed afterwards.
     """
-    roles = [(F.col(c) if isinstance(c, str) else c).cast("timestamp") for c in times]
+    roles = [as_column(c).cast("timestamp") for c in times]
     stamp = F.explode(F.array(*roles)) if len(roles) > 1 else roles[0]
     stamps = df.select(stamp.alias(name)).filter(F.col(name).isNotNull())
     if since is not None:

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmill.functions import as_column
 from starmill.operators.keyed import first_per_key
 from starmill.operators.nulls import drop_nulls
 
@@ -121,12 +122,11 @@ def with_labels(
     ``codes`` has one row per (field, code). The join is a broadcast whenever the list is small
     enough for one; a list of any size gives the same result.
     """
-    code = F.col(code) if isinstance(code, str) else code
     listed = codes.filter(F.col("field") == field_name).select(
         F.col("code").alias("__listed"),
         *[F.col(c).alias(f"__label_{out}") for out, (c, _) in labels.items()],
     )
-    joined = df.withColumn("__code", code).join(
+    joined = df.withColumn("__code", as_column(code)).join(
         listed, F.col("__code") == F.col("__listed"), "left"
     )
     return joined.select(
