@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -112,6 +114,23 @@ def new_rows(
     return arrived.join(existing.select(*key), list(key), "left_anti")
 
 
+def in_touched_partitions(
+    existing: DataFrame, incoming: DataFrame, partition_by: Sequence[str], most: int = 1000
+) -> DataFrame:
+    """The existing rows that lie in partitions for which rows come in.
+
+    Enough for merges whose key determines the partition, and read without opening the other
+    partitions. If more than ``most`` are touched, all existing rows are given instead.
+    """
+    touched = incoming.select(*partition_by).distinct().limit(most + 1).collect()
+    if len(touched) > most:
+        return existing
+    matches = [
+        reduce(and_, [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_by]) for row in touched
+    ]
+    return existing.filter(reduce(or_, matches, F.lit(False)))
+
+
 def insert_ignore(
     existing: DataFrame, incoming: DataFrame, key: Sequence[str], order: Sequence[str]
 ) -> DataFrame:

@@ -286,6 +286,20 @@ def test_merges_are_idempotent(spark):
     assert load.new_rows(kept, batch, ["id"], ["seq"]).isEmpty()
 
 
+def test_only_touched_partitions_are_read(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows_of = lambda ids: spark.createDataFrame([(i, i % 5, None if i % 2 else 1) for i in ids], "id int, p int, q int")
+    rows_of(range(40)).write.partitionBy("p", "q").parquet(path)
+    existing = spark.read.schema("id int, p int, q int").parquet(path)
+    incoming = rows_of([6, 11, 47])
+    near = load.in_touched_partitions(existing, incoming, ["p", "q"])
+    assert rows(near, "id") == [(i,) for i in range(40) if (i % 5, i % 2) in {(1, 0), (1, 1), (2, 1)}]
+    assert "PartitionFilters: [(" in near._jdf.queryExecution().executedPlan().toString()
+    assert rows(load.new_rows(near, incoming, ["id"], [])) == [(47, 2, None)]
+    assert load.in_touched_partitions(existing, incoming, ["p", "q"], most=2) is existing
+    assert load.in_touched_partitions(existing, incoming.limit(0), ["p", "q"]).isEmpty()
+
+
 def test_upsert_keeps_nulls_of_known_rows(spark):
     known = spark.createDataFrame([(1, None, "free")], "id int, name string, level string")
     batch = spark.createDataFrame([(5, 1, "late", None)], "seq int, id int, name string, level string")
