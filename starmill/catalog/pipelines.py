@@ -389,14 +389,14 @@ SELECT region_name AS state, count(*) AS count FROM raw WHERE p1 <> '4' AND n_re
 GROUP BY 1 ORDER BY count DESC, state LIMIT 10
 """)
 def immigration_top_states(t):
-    return _report(t, "most_common_arrival_state", "state STRING")
+    return _report(t, immigration.STATE_REPORT, "state STRING")
 
 
 @query(_ARRIVALS + """
 SELECT i94_month AS month, count(*) AS count FROM arrivals GROUP BY 1
 """)
 def immigration_months(t):
-    return _report(t, "most_common_arrival_months", "month INT")
+    return _report(t, immigration.MONTH_REPORT, "month INT")
 
 
 @query(_ALIENS + """

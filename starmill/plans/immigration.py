@@ -342,13 +342,16 @@ def build_immigration(
     return tables
 
 
+# The folders of the reports.
+STATE_REPORT = "most_common_arrival_state"
+MONTH_REPORT = "most_common_arrival_months"
+NATION_REPORT = "icelander_per_month"
+
+
 def save_reports(tables: Mapping[str, DataFrame], out: str, n: int = 10) -> None:
     """The three CSV reports."""
     facts, time = tables["immigrations"], tables["time"]
-    load.save_report(
-        top_arrival_states(facts, tables["city"], n), f"{out}/most_common_arrival_state"
-    )
-    load.save_report(arrivals_per_month(facts, time), f"{out}/most_common_arrival_months")
-    load.save_report(
-        arrivals_per_month_from(facts, time, tables["alien"]), f"{out}/icelander_per_month"
-    )
+    load.save_report(top_arrival_states(facts, tables["city"], n), f"{out}/{STATE_REPORT}")
+    load.save_report(arrivals_per_month(facts, time), f"{out}/{MONTH_REPORT}")
+    theirs = arrivals_per_month_from(facts, time, tables["alien"])
+    load.save_report(theirs, f"{out}/{NATION_REPORT}")

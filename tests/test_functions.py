@@ -3,6 +3,8 @@ import hashlib
 from decimal import Decimal
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from starmill import functions as S
@@ -57,6 +59,20 @@ def test_calendar_parts(spark):
     assert values == {"hour": 21, "day": 31, "week": 1, "month": 12, "year": 2018, "weekday": 2}
 
 
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.datetimes(dt.datetime(1971, 1, 1), dt.datetime(2100, 1, 1)), min_size=1, max_size=30))
+def test_calendar_parts_agree_with_the_calendar(spark, moments):
+    df = spark.createDataFrame([(m,) for m in moments], "a timestamp")
+    for weekday, of in (
+        ("sun1", lambda m: m.isoweekday() % 7 + 1),
+        ("sun0", lambda m: m.isoweekday() % 7),
+        ("mon0", lambda m: m.weekday()),
+    ):
+        parts = S.calendar_parts("a", weekday)
+        got = [tuple(r) for r in df.select(*[c.alias(n) for n, c in parts.items()]).collect()]
+        assert got == [(m.hour, m.day, m.isocalendar()[1], m.month, m.year, of(m)) for m in moments]
+
+
 def test_md5_key(spark):
     key = S.md5_key("a", "b")
     want = hashlib.md5(b"9912018-11-01 21:01:46").hexdigest()

@@ -434,6 +434,8 @@ def test_clustered_layout_splits_a_frequent_key(spark, conf):
 
 def test_rebalanced_writes_keep_all_rows(spark, tmp_path):
     df = spark.range(1000).select((F.col("id") % 3).alias("p"), "id")
+    plan = load.rebalanced(df, ["p"])._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
     load.overwrite(df, str(tmp_path / "t"), ["p"])
     load.append(df.filter("p = 1"), str(tmp_path / "t"), ["p"])
     assert spark.read.parquet(str(tmp_path / "t")).count() == 1333
