@@ -66,8 +66,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder; never reused, so two runs cannot mix."""
-    return f"{shared_folder(spark)}/starmill/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder, never reused. Those of one application lie together,
+    so that they can be removed once it has ended."""
+    application = spark.conf.get("spark.app.id", "unknown")
+    return f"{shared_folder(spark)}/starmill/{application}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
