@@ -6,6 +6,7 @@ repeated dimension rows are settled, and how times are decoded (``StarRules``).
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import partial
 
@@ -171,15 +172,25 @@ def build_star(log: DataFrame, songs: DataFrame, rules: StarRules) -> dict[str,
 
 
 def build_lake(
-    spark: SparkSession, song_path: str, log_path: str, out: str, rules: StarRules = LAKE
+    spark: SparkSession,
+    song_path: str,
+    log_path: str,
+    out: str,
+    rules: StarRules = LAKE,
+    partition_by: Mapping[str, Sequence[str]] | None = None,
 ) -> dict[str, DataFrame]:
-    """Raw JSON to five parquet tables under ``out``; returns the tables read back."""
+    """Raw JSON to five parquet tables under ``out``; returns the tables read back.
+
+    ``partition_by`` replaces the partitions of a table: by default songs have a folder per
+    year and artist, which for millions of artists is better a folder per year.
+    """
+    chosen = partition_by or {}
     star = build_star(read_log(spark, log_path), read_songs(spark, song_path), rules)
     specs = {spec.name: spec for spec in STAR}
 
     def save(spec: TableSpec) -> None:
         rows = load.conform(star[spec.name], spec)
-        load.overwrite(rows, f"{out}/{spec.name}", spec.partition_by)
+        load.overwrite(rows, f"{out}/{spec.name}", chosen.get(spec.name, spec.partition_by))
 
     together(spark, {spec.name: partial(save, spec) for spec in STAR})
     return {

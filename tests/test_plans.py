@@ -81,6 +81,16 @@ def test_lake(spark, music_files, tmp_path):
     assert (tmp_path / "out/songs/year=1999/artist_id=AR2").is_dir()
 
 
+def test_lake_with_other_partitions(spark, music_files, tmp_path):
+    out = tmp_path / "out"
+    coarse = {"songs": ["year"], "songplays": []}
+    tables = music.build_lake(spark, *music_files, str(out), partition_by=coarse)
+    assert sorted(p.name for p in (out / "songs").glob("year=*/*.parquet")) != []
+    assert rows(tables["songs"], "song_id", "artist_id") == [("SO1", "AR1"), ("SO2", "AR2"), ("SO3", "AR2")]
+    assert tables["songplays"].filter("year = 2018").count() == 4
+    assert list((out / "songplays").glob("*.parquet"))
+
+
 def read_music(spark, music_files):
     return music.read_log(spark, music_files[1]), music.read_songs(spark, music_files[0])
 

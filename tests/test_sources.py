@@ -135,3 +135,24 @@ def test_shuffles_are_sized_by_their_bytes():
     few, many = cluster_settings(1 << 30), cluster_settings(10 << 40)
     assert few["spark.sql.shuffle.partitions"] == "200"
     assert many["spark.sql.shuffle.partitions"] == str(10 << 12)
+
+
+class _Session:
+    """As much of a session as naming the shared folder takes."""
+
+    def __init__(self, checkpoint=None, **options):
+        self.options = {name.replace("__", "."): value for name, value in options.items()}
+        self.conf = self
+        self.sparkContext = self
+        self.getCheckpointDir = lambda: checkpoint
+
+    def get(self, name, default=None):
+        return self.options.get(name, default)
+
+
+def test_the_shared_folder_is_the_one_the_cluster_names():
+    named = _Session(spark__checkpoint__dir="hdfs://shared/", spark__master="yarn")
+    assert shared_folder(named) == "hdfs://shared"
+    assert shared_folder(_Session("hdfs://set/run", spark__master="yarn")) == "hdfs://set/run"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(_Session(spark__master="yarn"))
