@@ -11,6 +11,7 @@ FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no driver tables here")
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from starmill.catalog import ORACLES, QUERIES  # noqa: E402
 from check_oracles import compare, open_tables  # noqa: E402
 
 
@@ -23,7 +24,7 @@ def db():
 UNWANTED = ("CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas", "InArrow")
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
     df = queries()[name](spark, FOLDER)
     outcome = compare(df, db, oracle_sql().get(name))
@@ -33,7 +34,12 @@ def test_query(spark, db, name):
 
 
 def test_every_query_has_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+
+
+def test_entry_offers_every_query():
+    assert QUERIES.keys() <= queries().keys()
+    assert oracle_sql().keys() <= queries().keys()
 
 
 def test_entry(spark):
