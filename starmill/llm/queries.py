@@ -5,19 +5,35 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starmill.llm.chat import digest_chats, format_chats, replies_by_turn
 from starmill.llm.common import table
 from starmill.llm.fingerprints import fingerprint
 from starmill.llm.langid import identify
 from starmill.llm.mixing import mix
+from starmill.llm.neighbours import nearest
 from starmill.llm.packing import pack
 from starmill.llm.sharding import shard_by_bytes
+from starmill.llm.simhash import near_duplicates
+from starmill.llm.suffixes import remove_repeats
 from starmill.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_byte_positions(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
+def op2_suffix_intervals(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(table(spark, folder, "documents"))
+
+
+def op3_stable_projections(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op4_histogram_sort(spark: SparkSession, folder: str) -> DataFrame:
     return shard_by_bytes(table(spark, folder, "documents"))
 
@@ -64,6 +80,9 @@ def op10_noisy_or(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_byte_positions,
+        op2_suffix_intervals,
+        op3_stable_projections,
         op4_histogram_sort,
         op5_first_fit,
         op6_kneser_ney,
