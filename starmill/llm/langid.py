@@ -139,7 +139,10 @@ class Models:
         self.logs = self.compute(self.codes)
 
     def compute(self, code: np.ndarray) -> np.ndarray:
-        return np.stack([np.log(probability(m, code)) for m in self.models], 1).astype(np.float32)
+        logs = np.zeros((len(code), len(self.models)), np.float32)
+        for i, model in enumerate(self.models):
+            logs[:, i] = np.log(probability(model, code))
+        return logs
 
     def entropies(self, text: str | None) -> tuple[list[float] | None, int]:
         """Cross-entropy per character under every language, none without letters; and the

@@ -207,7 +207,7 @@ def best(found: DataFrame, k: int) -> DataFrame:
 
 def nearest(
     df: DataFrame,
-    queries: Column,
+    queries: str,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     k: int = 10,
@@ -217,7 +217,7 @@ def nearest(
     rows_per_cell: int = 2_000,
     seed: int = 3,
 ) -> DataFrame:
-    """Nearest neighbours of the rows that ``queries`` admits: ``query_id, rank, vec_id, score``.
+    """Nearest neighbours of the rows that the condition ``queries`` admits: ``query_id, rank, vec_id, score``.
 
     ``score`` is the Euclidean distance in double precision; ties go to the smaller id, and a
     query's own id is no neighbour. Vectors that are null, empty, zero, or that hold null or
@@ -235,11 +235,11 @@ def nearest(
     returns at most k rows per query.
     """
     spark = ready(df.sparkSession)
-    rows = df.where(queries.isNotNull() & F.col(id_col).isNotNull() & usable(F.col(vector_col)))
+    rows = df.where(F.col(id_col).isNotNull() & usable(F.col(vector_col)))
     rows = rows.select(
         F.col(id_col).cast("long").alias("vec_id"),
         F.col(vector_col).cast("array<double>").alias("vector"),
-        queries.alias("asks"),
+        F.expr(queries).alias("asks"),
     )
     lengths = rows.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), F.desc("n"))
     common = lengths.first()

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from starmill.llm.chat import digest_chats, format_chats, replies_by_turn
 from starmill.llm.common import table
@@ -31,7 +30,7 @@ def op2_suffix_intervals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_stable_projections(spark: SparkSession, folder: str) -> DataFrame:
-    return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+    return nearest(table(spark, folder, "embeddings"), "vec_id % 100 = 0")
 
 
 def op4_histogram_sort(spark: SparkSession, folder: str) -> DataFrame:
