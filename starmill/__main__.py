@@ -8,8 +8,9 @@
     history      --exports DIR --out DIR
     immigration  --records DIR --demographics FILE --temperatures FILE --airports FILE
                  --codes FILE --out DIR --reports DIR [--format NAME] [--month-file NAME]
-                 [--option NAME=VALUE ...] [--strict]
-    explore      the same inputs as immigration, shown as profiles and checks; no --out
+                 [--option NAME=VALUE ...] [--strict] [--nation NAME]
+    explore      the same inputs as immigration and --out DIR, which gets a folder of JSON lines
+                 for every profile and check
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ def _parser() -> argparse.ArgumentParser:
     job = jobs.add_parser("history")
     for option in ("--exports", "--out"):
         job.add_argument(option, required=True)
-    for name, outputs in (("immigration", ["out", "reports"]), ("explore", [])):
+    for name, outputs in (("immigration", ["out", "reports"]), ("explore", ["out"])):
         job = jobs.add_parser(name)
         for option in ("records", *SIDE_FILES, *outputs):
             job.add_argument(f"--{option}", required=True)
@@ -51,6 +52,8 @@ def _parser() -> argparse.ArgumentParser:
         job.add_argument("--option", nargs="*", default=[], metavar="NAME=VALUE")
         job.add_argument("--month-file", help="read this file of the folder only, not all months")
         job.add_argument("--strict", action="store_true")
+        if name == "immigration":
+            job.add_argument("--nation", default="ICELAND", help="of the third report")
     return parser
 
 
@@ -81,7 +84,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             fact_mode=args.fact_mode,
             **_pairs(args.context),
         )
-        report.show(100, truncate=False)
+        for row in report.collect():  # one row per check
+            print(*row)
     elif args.job == "increment":
         songs, log = music.read_songs(spark, args.songs), music.read_log(spark, args.log)
         music.load_increment(spark, songs, log, args.out)
@@ -89,15 +93,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         listening.build_history(spark, args.exports, args.out)
     elif args.job == "immigration":
         tables = immigration.build_immigration(spark, _inputs(spark, args), args.out, args.strict)
-        immigration.save_reports(tables, args.reports)
+        immigration.save_reports(tables, args.reports, nation=args.nation)
     else:
         raw = _inputs(spark, args)
         frames = exploration.explore(
             raw.demographics, raw.airports, raw.temperatures, raw.immigration
         )
         for title, frame in frames.items():
-            print(title)
-            frame.show(200, truncate=False)
+            frame.write.mode("overwrite").json(f"{args.out}/{title.replace(' ', '_')}")
 
 
 def main(argv: Sequence[str] | None = None) -> None:

@@ -146,4 +146,39 @@ def keyed_reload(t):
     early = F.col("last_time") < F.lit("2024-01-10").cast("timestamp")
     for batch in (rows.filter(early), rows.filter(~early)):
         load.last_write_into(path, batch, spec.key, ["last_time", "last_id"], spec)
-    return t.spark.read.schema(spec.schema).parquet(path)
+    return load.read_version(t.spark, path, spec.schema)
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, l_shipdate FROM lineitem
+WHERE l_shipdate IN (SELECT l_shipdate FROM lineitem WHERE l_linenumber = 6)
+""")
+def incremental_partitions(t):
+    """The rows in partitions that a batch touches, here thousands of ship dates."""
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate")
+    batch = lines.filter("l_linenumber = 6")
+    return load.in_touched_partitions(lines, batch, ["l_shipdate"], lines.columns)
+
+
+@query("""
+SELECT 'customers' AS table_name, UNNEST([
+    {'column_name': 'c_custkey',
+     'rejected': count(*) FILTER (WHERE c_custkey % 7 = 0)},
+    {'column_name': 'c_name', 'rejected': count(*) FILTER (WHERE c_custkey % 5 = 0)},
+    {'column_name': 'c_nationkey', 'rejected': 0::BIGINT},
+    {'column_name': 'c_nationkey',
+     'rejected': count(*) - count(DISTINCT c_nationkey)}], recursive := true)
+FROM customer
+""")
+def load_rejects(t):
+    """What a contract refuses: keys that are no numbers, names that are missing, and a column
+    taken for a key that repeats."""
+    spec = TableSpec(
+        "customers", "c_custkey BIGINT, c_name STRING, c_nationkey BIGINT", ("c_nationkey",),
+        ("c_name",),
+    )
+    key = F.col("c_custkey")
+    text = F.when(key % 7 == 0, F.concat(key, F.lit("x"))).otherwise(key.cast("string"))
+    name = F.when(key % 5 != 0, F.col("c_name"))
+    bad = t.customer.select(text.alias("c_custkey"), name.alias("c_name"), "c_nationkey")
+    return load.rejects(bad, spec)

@@ -80,11 +80,22 @@ def epoch_ms_roundtrip(t):
 
 
 @query("""
-SELECT event_id, make_timestamp(epoch_us(ts) // 1000000 * 1000000) AS play_time FROM events
+SELECT event_id, make_timestamp(epoch_us(ts) // 1000000 * 1000000) AS play_time,
+       make_timestamp((500 - 777 * event_id) // 1000 * 1000000) AS early_time
+FROM events
 """)
 def epoch_seconds(t):
-    log = t.events.select("event_id", F.floor(F.unix_micros("ts") / 1000).alias("ms"))
-    return log.select("event_id", S.epoch_seconds("ms").alias("play_time"))
+    """Whole seconds, cut towards zero before 1970 too."""
+    log = t.events.select(
+        "event_id",
+        F.floor(F.unix_micros("ts") / 1000).alias("ms"),
+        (500 - 777 * F.col("event_id")).alias("early"),
+    )
+    return log.select(
+        "event_id",
+        S.epoch_seconds("ms").alias("play_time"),
+        S.epoch_seconds("early").alias("early_time"),
+    )
 
 
 @query("""

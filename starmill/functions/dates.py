@@ -26,9 +26,9 @@ def epoch_millis(c: Column | str) -> Column:
 def epoch_seconds(c: Column | str) -> Column:
     """Epoch milliseconds to a timestamp in whole seconds.
 
-    Spark's ``/`` is fractional, so the fraction is cut off before the conversion.
+    The division is that of whole numbers: it cuts towards zero, also before 1970.
     """
-    return F.timestamp_seconds(F.floor(as_column(c).cast("long") / F.lit(1000)))
+    return F.timestamp_seconds(F.call_function("div", as_column(c).cast("long"), F.lit(1000)))
 
 
 def epoch_to_date(c: Column | str) -> Column:

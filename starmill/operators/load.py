@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 
 from starmill.operators.keyed import first_per_key, last_per_key
 from starmill.schemas import TableSpec
-from starmill.session import stage
 
 
 # -- files -----------------------------------------------------------------------------------
@@ -100,35 +99,128 @@ def conform(df: DataFrame, spec: TableSpec | T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def rejects(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """What ``conform`` would lose, counted in one pass: (table_name, column_name, rejected).
+
+    A value is rejected if its cast fails, or if it is null where the contract wants one. Rows
+    that repeat a key count under the key's columns, joined by commas.
+    """
+    counts = []
+    for f in spec.schema.fields:
+        bad = F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
+        if f.name in spec.not_null:
+            bad = bad | F.col(f.name).isNull()
+        counts.append((f.name, F.count_if(bad)))
+    if spec.key:
+        key = F.struct(*[F.col(c).try_cast(spec.schema[c].dataType) for c in spec.key])
+        counts.append((",".join(spec.key), F.count(F.lit(1)) - F.count_distinct(key)))
+    row = df.agg(*[n.alias(f"__n{i}") for i, (_, n) in enumerate(counts)])
+    entries = [
+        F.struct(F.lit(name).alias("column_name"), F.col(f"__n{i}").alias("rejected"))
+        for i, (name, _) in enumerate(counts)
+    ]
+    return row.select(F.lit(spec.name).alias("table_name"), F.inline(F.array(*entries)))
+
+
+def accept(df: DataFrame, spec: TableSpec, allowance: int = 0) -> DataFrame:
+    """Conform rows to a contract; an error if more than ``allowance`` values of a column, or
+    repeated keys, are rejected. Counting them is a pass of its own over ``df``."""
+    failed = rejects(df, spec).where(F.col("rejected") > allowance).collect()
+    if failed:
+        listing = ", ".join(f"{r.column_name} ({r.rejected})" for r in failed)
+        raise ValueError(f"{spec.name}: rejected values in {listing}")
+    return conform(df, spec)
+
+
+# -- versions --------------------------------------------------------------------------------
+
+
+def _folder(spark: SparkSession, path: str):
+    """The file system of ``path`` and its path object."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """The complete versions of the table at ``path``, in order.
+
+    A version is a folder ``v<number>``. Spark marks it by a ``_SUCCESS`` file once all its
+    files are in place, so a folder without one was left by a run that died.
+    """
+    fs, place = _folder(spark, path)
+    if not fs.exists(place):
+        return []
+    below = spark._jvm.org.apache.hadoop.fs.Path
+    names = [status.getPath().getName() for status in fs.listStatus(place) if status.isDirectory()]
+    numbers = sorted(int(name[1:]) for name in names if name[0] == "v" and name[1:].isdigit())
+    return [n for n in numbers if fs.exists(below(f"{path}/v{n}/_SUCCESS"))]
+
+
+def read_version(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The newest complete version of a table, or no rows if there is none."""
+    found = versions(spark, path)
+    if not found:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/v{found[-1]}")
+
+
+def write_version(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Write the next version of a table, then remove the ones before it.
+
+    Readers see the old version until the new one is complete; a run that dies half-way leaves
+    the old one, and the next run overwrites what it left.
+    """
+    spark = df.sparkSession
+    old = versions(spark, path)
+    overwrite(df, f"{path}/v{old[-1] + 1 if old else 1}", partition_by)
+    fs, _ = _folder(spark, path)
+    for n in old:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v{n}"), True)
+
+
 # -- keyed merges ----------------------------------------------------------------------------
 
 
+def with_whole_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Refuse rows that have a null in their key, when they are read: a null equals no other,
+    so such a row would be added again by every run."""
+    refused = F.raise_error(F.lit(f"null in the key {', '.join(key)}"))
+    return df.withColumns(
+        {c: F.when(F.col(c).isNull(), refused).otherwise(F.col(c)) for c in key}
+    )
+
+
 def new_rows(
     existing: DataFrame, incoming: DataFrame, key: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """The rows insert-ignore adds: the first incoming row of each key not yet existing.
 
-    Both sides of the anti join have at most one row per key, so no key is heavy.
+    Both sides of the anti join have at most one row per key, so no key is heavy. A null in an
+    incoming key is an error.
     """
-    arrived = first_per_key(incoming, key, order).select(*existing.columns)
+    arrived = first_per_key(with_whole_keys(incoming, key), key, order).select(*existing.columns)
     return arrived.join(existing.select(*key), list(key), "left_anti")
 
 
 def in_touched_partitions(
-    existing: DataFrame, incoming: DataFrame, partition_by: Sequence[str], most: int = 1000
+    existing: DataFrame,
+    incoming: DataFrame,
+    partition_by: Sequence[str],
+    key: Sequence[str],
+    computed: Sequence[str] = (),
 ) -> DataFrame:
-    """The existing rows that lie in partitions for which rows come in.
+    """The existing rows that lie in partitions for which rows come in, by a semi join with the
+    distinct partitions of the batch.
 
-    Enough for merges whose key determines the partition, and read without opening the other
-    partitions. If more than ``most`` are touched, all existing rows are given instead.
+    A merge may look only there if the key fixes the partition. So each partition column must be
+    one of the key, or be listed in ``computed`` as a value computed from the key.
     """
-    touched = incoming.select(*partition_by).distinct().limit(most + 1).collect()
-    if len(touched) > most:
-        return existing
-    matches = [
-        reduce(and_, [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_by]) for row in touched
-    ]
-    return existing.filter(reduce(or_, matches, F.lit(False)))
+    loose = [c for c in partition_by if c not in {*key, *computed}]
+    if loose:
+        raise ValueError(f"the key {list(key)} does not fix the partition columns {loose}")
+    touched = incoming.select(*[F.col(c).alias(f"__{c}") for c in partition_by]).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in partition_by]
+    return existing.join(touched, reduce(and_, same, F.lit(True)), "left_semi")
 
 
 def insert_ignore(
@@ -149,8 +241,9 @@ def upsert(
 
     Incoming rows count in ``order``: the first of a new key gives its other columns, the last
     of any key gives its ``update`` columns. They are reduced to one row per key map-side.
-    ``key`` is expected to be free of nulls, as a primary key is.
+    A null in an incoming key is an error.
     """
+    incoming = with_whole_keys(incoming, key)
     kept = [c for c in existing.columns if c not in {*key, *update}]
     turn = F.struct(*order, *[c for c in incoming.columns if c not in {*order, *key}])
     arrived = incoming.groupBy(*key).agg(F.min(turn).alias("__first"), F.max(turn).alias("__last"))
@@ -190,23 +283,23 @@ def upsert_into(
     update: Sequence[str],
     spec: TableSpec,
 ) -> None:
-    """Upsert into the table at ``path``. The merged table is staged in full before the old one
-    is replaced, so a failure leaves a complete copy of one of them."""
-    existing = read_if_exists(incoming.sparkSession, path, spec.schema)
-    merged = stage(conform(upsert(existing, incoming, key, order, update), spec), spec.name)
-    overwrite(merged, path, spec.partition_by)
+    """Upsert into the versioned table at ``path``; a failure leaves the version before."""
+    existing = read_version(incoming.sparkSession, path, spec.schema)
+    merged = conform(upsert(existing, incoming, key, order, update), spec)
+    write_version(merged, path, spec.partition_by)
 
 
 def last_write_into(
     path: str, incoming: DataFrame, key: Sequence[str], order: Sequence[str], spec: TableSpec
 ) -> None:
-    """Load incoming rows over the table at ``path``: they replace rows of the same key."""
-    existing = read_if_exists(incoming.sparkSession, path, spec.schema)
-    latest = conform(last_write_wins(incoming, key, order), spec)
+    """Load incoming rows over the versioned table at ``path``: they replace rows of the same
+    key. A failure leaves the version before."""
+    existing = read_version(incoming.sparkSession, path, spec.schema)
+    latest = conform(last_write_wins(with_whole_keys(incoming, key), key, order), spec)
     untouched = existing.join(latest.select(*key), list(key), "left_anti").select(
         *existing.columns
     )
-    overwrite(stage(untouched.unionByName(latest), spec.name), path, spec.partition_by)
+    write_version(untouched.unionByName(latest), path, spec.partition_by)
 
 
 # -- layouts ---------------------------------------------------------------------------------
@@ -224,6 +317,12 @@ def clustered(
     return df.repartitionByRange(*by).sortWithinPartitions(*by)
 
 
+def bucket_sizes(df: DataFrame, buckets: int, key: Sequence[str]) -> DataFrame:
+    """Rows per bucket, to see before bucketing whether a frequent key makes one too large."""
+    bucket = F.pmod(F.hash(*key), F.lit(buckets)).alias("bucket")
+    return df.groupBy(bucket).agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def save_bucketed(
     df: DataFrame,
     table: str,
@@ -231,23 +330,12 @@ def save_bucketed(
     key: Sequence[str],
     path: str,
     sort: Sequence[str] = (),
-    tolerance: float = 4.0,
-) -> bool:
+) -> None:
     """A table bucketed by ``key``: two such tables join on it without a shuffle.
 
-    A bucket is read by one task, so buckets are counted first. If one has more than
-    ``tolerance`` times its share, as a frequent key makes it, the table is laid out by ranges
-    of the key instead; joins then shuffle, and the planner can split the frequent key. Returns
-    whether the table is bucketed.
+    A bucket is read by one task. ``bucket_sizes`` tells how even they will be; for a key that
+    is too frequent use ``clustered``, whose joins shuffle and let the planner split it.
     """
-    by = list(sort or key)
-    sizes = df.groupBy(F.pmod(F.hash(*key), F.lit(buckets)).alias("bucket")).count()
-    largest, rows = sizes.agg(F.max("count"), F.sum("count")).first()
-    even = rows is None or largest * buckets <= tolerance * rows
-    if even:
-        shuffled = df.hint("rebalance", buckets, *[F.col(c) for c in key])
-        writer = shuffled.write.bucketBy(buckets, *key).sortBy(*by)
-    else:
-        writer = clustered(df, key, [c for c in by if c not in key]).write
+    shuffled = df.hint("rebalance", buckets, *[F.col(c) for c in key])
+    writer = shuffled.write.bucketBy(buckets, *key).sortBy(*(sort or key))
     writer.mode("overwrite").format("parquet").option("path", path).saveAsTable(table)
-    return even

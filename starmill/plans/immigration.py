@@ -39,7 +39,7 @@ from starmill.schemas import (
     VISA_ISSUER,
     TableSpec,
 )
-from starmill.session import together
+from starmill.session import stage, together, use_utc
 from starmill.sources import read_code_tables, read_delimited, read_format, render_path
 
 # Labels of unknown codes, the country reported on, and the earliest date kept.
@@ -317,29 +317,31 @@ def build_dims(decoded: DataFrame, inputs: Inputs) -> dict[str, DataFrame]:
 def build_immigration(
     spark: SparkSession, inputs: Inputs, out: str, strict: bool = False
 ) -> dict[str, DataFrame]:
-    """Dimensions, their checks, then the fact from the saved dimensions; all under ``out``.
+    """Dimensions, their checks, then the fact from the staged dimensions; all under ``out``.
 
-    Saving first means that the keys in the fact are the keys in the files, and that joins see
-    the written sizes. The checks include that ids are unique, and as an id is computed from the
-    columns the fact is joined on, that no join repeats a record.
+    Staging first means that the keys in the fact are the keys in the files, and that joins see
+    the written sizes. Tables are published once all checks have passed, so that a failed check
+    leaves those of the last run. The checks include that ids are unique, and as an id is
+    computed from the columns the fact is joined on, that no join repeats a record.
     """
+    use_utc(spark)
 
-    def save(name: str, df: DataFrame) -> DataFrame:
+    def publish(name: str) -> DataFrame:
         spec = SPECS[name]
-        load.overwrite(df, f"{out}/{name}", spec.partition_by)
+        load.overwrite(staged[name], f"{out}/{name}", spec.partition_by)
         return spark.read.schema(spec.schema).parquet(f"{out}/{name}")
 
     def check(names) -> None:
-        enforce(run_checks({name: (tables[name], CheckSpec.of(SPECS[name])) for name in names}))
+        enforce(run_checks({name: (staged[name], CheckSpec.of(SPECS[name])) for name in names}))
 
     decoded = decode(inputs.immigration, strict)
     dims = build_dims(decoded, inputs)
-    tables = together(spark, {name: partial(save, name, df) for name, df in dims.items()})
-    check(tables)
-    facts = immigrations_fact(decoded, inputs.codes, tables)
-    tables["immigrations"] = save("immigrations", facts)
+    staged = together(spark, {name: partial(stage, df, name) for name, df in dims.items()})
+    check(staged)
+    facts = immigrations_fact(decoded, inputs.codes, staged)
+    staged["immigrations"] = stage(facts, "immigrations")
     check(["immigrations"])
-    return tables
+    return together(spark, {name: partial(publish, name) for name in staged})
 
 
 # The folders of the reports.
@@ -348,10 +350,16 @@ MONTH_REPORT = "most_common_arrival_months"
 NATION_REPORT = "icelander_per_month"
 
 
-def save_reports(tables: Mapping[str, DataFrame], out: str, n: int = 10) -> None:
-    """The three CSV reports."""
+def save_reports(
+    tables: Mapping[str, DataFrame],
+    out: str,
+    n: int = 10,
+    nation: str = "ICELAND",
+    nation_report: str = NATION_REPORT,
+) -> None:
+    """The three CSV reports; the third, under ``nation_report``, is about one ``nation``."""
     facts, time = tables["immigrations"], tables["time"]
     load.save_report(top_arrival_states(facts, tables["city"], n), f"{out}/{STATE_REPORT}")
     load.save_report(arrivals_per_month(facts, time), f"{out}/{MONTH_REPORT}")
-    theirs = arrivals_per_month_from(facts, time, tables["alien"])
-    load.save_report(theirs, f"{out}/{NATION_REPORT}")
+    theirs = arrivals_per_month_from(facts, time, tables["alien"], nation)
+    load.save_report(theirs, f"{out}/{nation_report}")

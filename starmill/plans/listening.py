@@ -10,7 +10,8 @@ from starmill.operators import load
 from starmill.operators.dims import project
 from starmill.operators.reports import lookup_rows
 from starmill.schemas import PLAY_LOG_CSV, SONG_SESSION, USER_LISTENS, USER_SESSIONS, TableSpec
-from starmill.sources import arrival, read_delimited
+from starmill.session import use_utc
+from starmill.sources import arrival, read_delimited, stage_raw
 
 # The columns of the clean extract.
 EXTRACT = [
@@ -76,7 +77,8 @@ def listeners_of(user_listens: DataFrame, song: str) -> DataFrame:
 
 def build_history(spark: SparkSession, path: str, out: str) -> dict[str, DataFrame]:
     """Exports to the extract and the three query tables under ``out``."""
-    history = read_history(spark, path)
+    use_utc(spark)
+    history = stage_raw(read_history(spark, path), "history")
     save_extract(history, f"{out}/extract")
     return {
         spec.name: save_query_table(history, spec, f"{out}/{spec.name}")

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,8 +32,8 @@ from starmill.schemas import (
     USERS,
     TableSpec,
 )
-from starmill.session import stage, together
-from starmill.sources import read_json, read_json_mapped, render_path
+from starmill.session import stage, together, use_utc
+from starmill.sources import arrival, read_json, read_json_mapped, render_path, stage_raw
 
 # Fixed value: the page of a log record that is a song play.
 PLAY_PAGE = "NextSong"
@@ -53,6 +54,7 @@ class StarRules:
     play_key         "row": digest of the play; "md5": of session and time; "dense": numbers
     distinct_plays   drop repeated plays
     duration_scale   round lengths to this many digits before they are compared
+    salt             parts that a join by artist alone cuts the plays of an artist into
     """
 
     match: str = "track"
@@ -64,6 +66,7 @@ class StarRules:
     play_key: str = "row"
     distinct_plays: bool = False
     duration_scale: int | None = None
+    salt: int = 1
 
 
 LAKE = StarRules(match="artist", how="inner")
@@ -83,8 +86,10 @@ RELATIONAL = StarRules(single_match=True, weekday="mon0")
 
 
 def read_songs(spark: SparkSession, path: str) -> DataFrame:
-    """Song metadata: a tree of folders with JSON lines files."""
-    return read_json(spark, path, SONG_METADATA, recursive=True, pattern="*.json")
+    """Song metadata: a tree of folders with JSON lines files; with the place of each line, so
+    that the first to arrive can be told."""
+    songs = read_json(spark, path, SONG_METADATA, recursive=True, pattern="*.json")
+    return songs.select(*SONG_METADATA.names, *arrival())
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -110,15 +115,17 @@ def songs_of(songs: DataFrame, rules: StarRules = StarRules()) -> DataFrame:
     return dimension(songs, {f.name: f.name for f in SONGS.schema.fields}, SONGS.key, rules.keep)
 
 
+ARTIST_COLUMNS = {
+    "artist_id": "artist_id",
+    "name": "artist_name",
+    "location": "artist_location",
+    "latitude": "artist_latitude",
+    "longitude": "artist_longitude",
+}
+
+
 def artists_of(songs: DataFrame, rules: StarRules = StarRules()) -> DataFrame:
-    columns = {
-        "artist_id": "artist_id",
-        "name": "artist_name",
-        "location": "artist_location",
-        "latitude": "artist_latitude",
-        "longitude": "artist_longitude",
-    }
-    return dimension(songs, columns, ARTISTS.key, rules.keep)
+    return dimension(songs, ARTIST_COLUMNS, ARTISTS.key, rules.keep)
 
 
 def times_of(plays: DataFrame, rules: StarRules = StarRules()) -> DataFrame:
@@ -141,7 +148,7 @@ def songplays_of(
     if rules.single_match:
         matched = lookup_one(plays, songs, on, take, order=["song_id", "artist_id"])
     else:
-        matched = equi_join(plays, songs, on, take, rules.how)
+        matched = equi_join(plays, songs, on, take, rules.how, salt=rules.salt)
     columns = [f.name for f in SONGPLAYS.schema.fields if f.name != "songplay_id"]
     rows = matched.withColumns({"year": F.year("start_time"), "month": F.month("start_time")})
     rows = rows.select(*columns, "item_in_session")
@@ -157,6 +164,22 @@ def songplays_of(
     return keyed.select("songplay_id", *columns)
 
 
+def new_plays(known: DataFrame, plays: DataFrame) -> DataFrame:
+    """The plays of a batch that the fact table lacks. Equal plays are counted: of one that
+    comes twice and is there once, one is new."""
+    columns = plays.columns
+    here = plays.groupBy(*columns).agg(F.count(F.lit(1)).alias("here"))
+    there = (
+        known.groupBy(*columns)
+        .agg(F.count(F.lit(1)).alias("there"))
+        .withColumnsRenamed({c: f"known_{c}" for c in columns})
+    )
+    equal = [F.col(c).eqNullSafe(F.col(f"known_{c}")) for c in columns]
+    more = F.greatest(F.col("here") - F.coalesce("there", F.lit(0)), F.lit(0))
+    copies = F.explode(F.array_repeat(F.lit(1), more.cast("int"))).alias("copy")
+    return here.join(there, reduce(and_, equal), "left").select(*columns, copies).drop("copy")
+
+
 def build_star(log: DataFrame, songs: DataFrame, rules: StarRules) -> dict[str, DataFrame]:
     plays = plays_of(log, rules)
     return {
@@ -184,8 +207,11 @@ def build_lake(
     ``partition_by`` replaces the partitions of a table: by default songs have a folder per
     year and artist, which for millions of artists is better a folder per year.
     """
+    use_utc(spark)
     chosen = partition_by or {}
-    star = build_star(read_log(spark, log_path), read_songs(spark, song_path), rules)
+    # The text is parsed once; every table reads the columns it needs of the staged copies.
+    log, songs = read_log(spark, log_path), read_songs(spark, song_path)
+    star = build_star(stage_raw(log, "log"), stage_raw(songs, "songs"), rules)
     specs = {spec.name: spec for spec in STAR}
 
     def save(spec: TableSpec) -> None:
@@ -232,6 +258,7 @@ def load_warehouse(
     rules: StarRules = WAREHOUSE,
 ) -> None:
     """Recreate the tables, stage the inputs, and fill each star table by one insert."""
+    use_utc(spark)
     load.drop_tables(spark, _warehouse_specs(), database)
     load.create_tables(spark, _warehouse_specs(), location, database)
     stage_inputs(spark, song_path, log_path, database)
@@ -271,9 +298,10 @@ def run_scheduled(
     """One scheduled run: create tables, stage, load the fact, refresh the dimensions, check.
 
     ``fact_mode="append"`` adds the plays of the run whatever the table holds, so a repeated
-    run doubles them; "insert_ignore" adds only plays whose key is new. Returns the report of
+    run doubles them; "insert_ignore" adds only plays that are not there. Returns the report of
     the checks, after raising if one failed.
     """
+    use_utc(spark)
     load.create_tables(spark, _warehouse_specs(), location, database)
     stage_inputs(spark, song_path, log_path, database, **context)
     staged_songs = spark.table(f"{database}.{STAGING_SONGS.name}")
@@ -281,11 +309,14 @@ def run_scheduled(
 
     facts = load.conform(songplays_of(plays, staged_songs, rules), SONGPLAYS)
     if fact_mode == "insert_ignore":
-        # The key contains the time, so a known play can only be in the partition of a new one.
+        # Two plays of a session may share a second, and a play may match two songs, so plays
+        # are told apart by all their columns. Year and month follow from the time among them.
         facts = stage(facts, "songplays")
         known = spark.table(f"{database}.songplays")
-        known = load.in_touched_partitions(known, facts, SONGPLAYS.partition_by)
-        facts = load.new_rows(known, facts, SONGPLAYS.key, ["start_time"])
+        known = load.in_touched_partitions(
+            known, facts, SONGPLAYS.partition_by, facts.columns
+        )
+        facts = new_plays(known, facts)
     load.load_table(facts, f"{database}.songplays")
 
     # The time dimension covers every play in the fact table, not just those of this run.
@@ -325,16 +356,23 @@ def load_increment(
     Songs, artists and times already known stay as they are; users take their latest level.
     Plays are appended. Songs are loaded first, since plays are matched against all songs known.
     """
+    use_utc(spark)
+    songs, log = stage_raw(songs, "songs"), stage_raw(log, "log")
     tables = {spec.name: spec.unpartitioned() for spec in STAR}
 
     def table(name: str) -> DataFrame:
+        if name == "users":
+            return load.read_version(spark, f"{out}/users", tables[name].schema)
         return spark.read.schema(tables[name].schema).parquet(f"{out}/{name}")
 
+    # Of a song or artist that comes twice the first to arrive stays, if the batch tells places.
+    place = [c for c in ("file", "block", "line") if c in songs.columns]
+    places = {c: c for c in place}
     every = {f.name: f.name for f in SONGS.schema.fields}
-    incoming_songs = project(songs, every)
-    load.insert_ignore_into(f"{out}/songs", incoming_songs, SONGS.key, [], tables["songs"])
-    incoming_artists = artists_of(songs, StarRules(keep="distinct"))
-    load.insert_ignore_into(f"{out}/artists", incoming_artists, ARTISTS.key, [], tables["artists"])
+    incoming = project(songs, every | places)
+    load.insert_ignore_into(f"{out}/songs", incoming, SONGS.key, place, tables["songs"])
+    incoming = project(songs, ARTIST_COLUMNS | places)
+    load.insert_ignore_into(f"{out}/artists", incoming, ARTISTS.key, place, tables["artists"])
 
     plays = plays_of(log, rules)
     load.insert_ignore_into(f"{out}/time", times_of(plays, rules), TIME.key, [], tables["time"])

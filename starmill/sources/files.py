@@ -36,9 +36,13 @@ def read_json(
     schema: T.StructType,
     recursive: bool = False,
     pattern: str | None = None,
+    mode: str = "PERMISSIVE",
 ) -> DataFrame:
-    """JSON lines, fields matched to the schema by name; ``recursive`` walks subfolders."""
-    reader = spark.read.schema(schema)
+    """JSON lines, fields matched to the schema by name; ``recursive`` walks subfolders.
+
+    A line that cannot be parsed is a row of nulls; ``mode="FAILFAST"`` makes it an error.
+    """
+    reader = spark.read.schema(schema).option("mode", mode)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     if pattern:
@@ -47,10 +51,14 @@ def read_json(
 
 
 def read_json_mapped(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, mapping: Mapping[str, str]
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    mapping: Mapping[str, str],
+    mode: str = "PERMISSIVE",
 ) -> DataFrame:
     """JSON lines with an explicit ``{column: field path}`` mapping; paths may have dots."""
-    rows = read_json(spark, path, schema)
+    rows = read_json(spark, path, schema, mode=mode)
     return rows.select(*[F.col(field).alias(name) for name, field in mapping.items()])
 
 
@@ -60,10 +68,22 @@ def read_delimited(
     schema: T.StructType,
     sep: str = ",",
     recursive: bool = False,
+    multiline: bool = False,
+    mode: str = "PERMISSIVE",
 ) -> DataFrame:
-    """Delimited text with a header in each file; the schema names columns by position."""
+    """Delimited text with a header in each file; the schema names columns by position.
+
+    ``multiline`` takes line breaks inside quotes as text; files are then not split, so use it
+    for files known to have them. ``mode="FAILFAST"`` makes a record that does not fit an error.
+    """
     reader = spark.read.schema(schema).options(
-        header=True, sep=sep, enforceSchema=True, quote='"', escape='"'
+        header=True,
+        sep=sep,
+        enforceSchema=True,
+        quote='"',
+        escape='"',
+        multiLine=multiline,
+        mode=mode,
     )
     if recursive:
         reader = reader.option("recursiveFileLookup", True)

@@ -22,6 +22,7 @@ def one(spark, column, **values):
     [
         (1541106106796, dt.datetime(2018, 11, 1, 21, 1, 46, 796000), dt.datetime(2018, 11, 1, 21, 1, 46)),
         (0, dt.datetime(1970, 1, 1), dt.datetime(1970, 1, 1)),
+        (-1500, dt.datetime(1969, 12, 31, 23, 59, 58, 500000), dt.datetime(1969, 12, 31, 23, 59, 59)),
         (None, None, None),
     ],
 )

@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -31,6 +32,7 @@ from starmill.operators.profile import (
 )
 from starmill.operators.quality import CheckSpec, check_table, coverage, enforce, null_report, run_checks
 from starmill.operators.reports import count_by_dim, top_n_by_dim
+from starmill.schemas import TableSpec
 
 SPARK_TESTS = settings(
     max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -292,12 +294,54 @@ def test_only_touched_partitions_are_read(spark, tmp_path):
     rows_of(range(40)).write.partitionBy("p", "q").parquet(path)
     existing = spark.read.schema("id int, p int, q int").parquet(path)
     incoming = rows_of([6, 11, 47])
-    near = load.in_touched_partitions(existing, incoming, ["p", "q"])
+    near = load.in_touched_partitions(existing, incoming, ["p", "q"], ["id"], ["p", "q"])
     assert rows(near, "id") == [(i,) for i in range(40) if (i % 5, i % 2) in {(1, 0), (1, 1), (2, 1)}]
-    assert "PartitionFilters: [(" in near._jdf.queryExecution().executedPlan().toString()
     assert rows(load.new_rows(near, incoming, ["id"], [])) == [(47, 2, None)]
-    assert load.in_touched_partitions(existing, incoming, ["p", "q"], most=2) is existing
-    assert load.in_touched_partitions(existing, incoming.limit(0), ["p", "q"]).isEmpty()
+    none = load.in_touched_partitions(existing, incoming.limit(0), ["p", "q"], ["id", "p", "q"])
+    assert none.isEmpty()
+    with pytest.raises(ValueError, match="does not fix the partition columns"):
+        load.in_touched_partitions(existing, incoming, ["p", "q"], ["id"], ["p"])
+
+
+def test_merges_refuse_null_keys(spark):
+    batch = _frame(spark, [(1, "a", "free"), (None, "b", "paid")])
+    none = batch.drop("seq").limit(0)
+    for merged in (
+        load.upsert(none, batch, ["id"], ["seq"], ["level"]),
+        load.insert_ignore(none, batch, ["id"], ["seq"]),
+    ):
+        with pytest.raises(Exception, match="null in the key id"):
+            merged.collect()
+
+
+def test_a_run_that_dies_leaves_the_version_before(spark, tmp_path):
+    spec = TableSpec("t", "id INT, name STRING, level STRING", ("id",))
+    path = str(tmp_path / "t")
+    first = _frame(spark, [(1, "a", "free"), (2, "b", "free")])
+    load.upsert_into(path, first, ["id"], ["seq"], ["level"], spec)
+    before = rows(load.read_version(spark, path, spec.schema))
+    fails = first.withColumn("level", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        load.upsert_into(path, fails, ["id"], ["seq"], ["level"], spec)
+    # a version without its mark, as a run leaves that is killed before it commits
+    first.limit(1).drop("seq").write.parquet(f"{path}/v2", mode="overwrite")
+    os.remove(f"{path}/v2/_SUCCESS")
+    assert rows(load.read_version(spark, path, spec.schema)) == before
+    second = _frame(spark, [(2, "x", "paid"), (3, "c", "free")])
+    load.upsert_into(path, second, ["id"], ["seq"], ["level"], spec)
+    want = [(1, "a", "free"), (2, "b", "paid"), (3, "c", "free")]
+    assert rows(load.read_version(spark, path, spec.schema)) == want
+    assert load.versions(spark, path) == [2]
+
+
+def test_contracts_count_and_refuse(spark):
+    spec = TableSpec("t", "id INT, name STRING", ("id",), ("name",))
+    df = spark.createDataFrame([("1", "a"), ("12x", None), ("1", "b")], "id string, name string")
+    # one failed cast, one missing name, and one row more than there are keys
+    assert rows(load.rejects(df, spec)) == [("t", "id", 1), ("t", "id", 1), ("t", "name", 1)]
+    with pytest.raises(ValueError, match="rejected values"):
+        load.accept(df, spec)
+    assert rows(load.accept(df, spec, 1)) == [(None, None), (1, "a"), (1, "b")]
 
 
 def test_upsert_keeps_nulls_of_known_rows(spark):
@@ -409,7 +453,7 @@ def test_bucketed_tables_join_without_a_shuffle(spark, conf, tmp_path):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
     df = spark.range(1000).select("id", (F.col("id") % 10).alias("v"))
     for name in ("bucketed_a", "bucketed_b"):
-        assert load.save_bucketed(df, name, 4, ["id"], str(tmp_path / name))
+        load.save_bucketed(df, name, 4, ["id"], str(tmp_path / name))
     joined = spark.table("bucketed_a").join(spark.table("bucketed_b").drop("v"), "id")
     assert joined.count() == 1000
     assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
@@ -417,9 +461,11 @@ def test_bucketed_tables_join_without_a_shuffle(spark, conf, tmp_path):
         spark.sql(f"DROP TABLE {name}")
 
 
-def test_a_frequent_key_is_not_bucketed(spark, tmp_path):
+def test_bucket_sizes_show_a_frequent_key(spark, tmp_path):
     df = spark.range(1000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
-    assert not load.save_bucketed(df, "uneven", 32, ["k"], str(tmp_path / "uneven"))
+    sizes = [n for _, n in rows(load.bucket_sizes(df, 32, ["k"]))]
+    assert sum(sizes) == 1000 and max(sizes) > 330
+    load.save_bucketed(df, "uneven", 32, ["k"], str(tmp_path / "uneven"))
     assert rows(spark.table("uneven")) == rows(df)
     spark.sql("DROP TABLE uneven")
 
