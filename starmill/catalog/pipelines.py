@@ -378,9 +378,9 @@ def immigration_fact(t):
     )
 
 
-def _report(t: Tables, name: str, by: str):
+def _report(t: Tables, name: str, by: str, **nation: str):
     out = t.path("reports")
-    immigration.save_reports(_build(t), out)
+    immigration.save_reports(_build(t), out, **nation)
     return read_delimited(t.spark, f"{out}/{name}", struct(f"{by}, count BIGINT"))
 
 
@@ -405,11 +405,31 @@ FROM arrivals WHERE admission_id IN (SELECT admission_id FROM aliens WHERE citiz
 GROUP BY 1
 """)
 def immigration_months_of_one_nation(t):
-    inputs = derived.immigration_inputs(t)
-    decoded = immigration.decode(inputs.immigration)
-    dims = immigration.build_dims(decoded, inputs)
-    facts = immigration.immigrations_fact(decoded, inputs.codes, dims)
-    return immigration.arrivals_per_month_from(facts, dims["time"], dims["alien"], "NATION_6")
+    report = immigration.NATION_REPORT
+    return _report(t, report, "month INT", nation="NATION_6")
+
+
+def _months(t: Tables) -> str:
+    """Raw records in a tree of folders, one per month."""
+    path = t.path("months")
+    raw = derived.arrivals(t).select("cic_id", "i94mon", "admnum")
+    raw.withColumn("month", F.col("i94mon").cast("int")).write.partitionBy("month").parquet(path)
+    return path
+
+
+@query(_ARRIVALS + "SELECT o_orderkey::DOUBLE AS cic_id, month(arrived)::DOUBLE AS i94mon FROM raw")
+def immigration_all_months(t):
+    return immigration.read_immigration(t.spark, _months(t)).select("cic_id", "i94mon")
+
+
+@query(_ARRIVALS + """
+SELECT o_orderkey::DOUBLE AS cic_id, month(arrived)::DOUBLE AS i94mon
+FROM raw WHERE month(arrived) = 4
+""")
+def immigration_one_month(t):
+    path = _months(t)
+    april = immigration.read_immigration(t.spark, path, month_file="month={month}", month=4)
+    return april.select("cic_id", "i94mon")
 
 
 # -- exploration -----------------------------------------------------------------------------
