@@ -138,6 +138,7 @@ def layout_bucketed_join(t):
         table = "starmill_" + path.rsplit("-", 1)[1]
         load.save_bucketed(getattr(t, name), table, 8, [key], path)
         names[name] = t.spark.table(table)
+        t.spark.sql(f"DROP TABLE {table}")  # the files stay
     joined = names["orders"].join(names["lineitem"], F.col("o_orderkey") == F.col("l_orderkey"))
     return joined.groupBy("o_orderkey", "o_custkey").agg(
         F.count("*").alias("line_count"), F.sum("l_quantity").alias("quantity")

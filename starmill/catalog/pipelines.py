@@ -100,8 +100,10 @@ def warehouse_songplays(t):
     """JSON files to staging tables to star tables, distinct plays in whole seconds."""
     songs, log = derived.write_music(t)
     database, location = _database(t), t.path("warehouse")
-    music.load_warehouse(t.spark, songs, log, location, database)
-    t.spark.sql(f"DROP DATABASE {database} CASCADE")
+    try:
+        music.load_warehouse(t.spark, songs, log, location, database)
+    finally:
+        t.spark.sql(f"DROP DATABASE {database} CASCADE")
     plays = t.spark.read.schema(music.SONGPLAYS.schema).parquet(f"{location}/songplays")
     return plays.drop("songplay_id", "year", "month")
 
@@ -122,9 +124,11 @@ def scheduled_songplays(t):
     songs, log = derived.write_music(t)
     database, location = _database(t), t.path("scheduled")
     run = (t.spark, f"{{root}}{songs}", f"{{root}}{log}", location, database)
-    music.run_scheduled(*run, root="")
-    music.run_scheduled(*run, fact_mode="insert_ignore", root="")
-    t.spark.sql(f"DROP DATABASE {database} CASCADE")
+    try:
+        music.run_scheduled(*run, root="")
+        music.run_scheduled(*run, fact_mode="insert_ignore", root="")
+    finally:
+        t.spark.sql(f"DROP DATABASE {database} CASCADE")
     plays = t.spark.read.schema(music.SONGPLAYS.schema).parquet(f"{location}/songplays")
     return plays.drop("year", "month")
 

@@ -338,12 +338,13 @@ def run_scheduled(
         },
     )
 
-    report = run_checks(
+    checks = run_checks(
         {
             name: (spark.table(f"{database}.{name}"), CheckSpec(not_null=columns))
             for name, columns in REQUIRED.items()
         }
     )
+    report = stage(checks, "checks")
     enforce(report)
     return report
 
