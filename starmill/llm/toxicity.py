@@ -47,12 +47,14 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def telling(clean: np.ndarray, toxic: np.ndarray, docs: tuple[int, int], least: float):
-    """Which hashes occur in toxic documents more often by ``least`` standard errors."""
+def telling(clean, toxic, docs: tuple[int, int], least: float, times: float) -> np.ndarray:
+    """Which hashes occur in toxic documents more often by ``least`` standard errors and
+    ``times`` as often as in clean ones: with many rows the first alone admits faint hints."""
     a, b = docs
     pooled = (clean + toxic) / max(a + b, 1)
     error = np.sqrt(np.maximum(pooled * (1 - pooled), 1e-12) * (1 / max(a, 1) + 1 / max(b, 1)))
-    return (toxic / max(b, 1) - clean / max(a, 1)) / error >= least
+    p, q = toxic / max(b, 1), clean / max(a, 1)
+    return ((p - q) / error >= least) & (p >= times * q)
 
 
 def instances(shared):
@@ -165,13 +167,14 @@ def score_toxicity(
     modulus: int = 5,
     held: int = 0,
     least: float = 5.0,
+    times: float = 3.0,
     sample: int = 65_536,
 ) -> DataFrame:
     """Toxicity of each text: ``doc_id, held_out, score, predicted, sentences``.
 
     Labels are used only where crc32(id) modulo ``modulus`` is not ``held``. Words that occur in
-    toxic documents more often by ``least`` standard errors, over all those rows, are telling
-    (at most 2^20 hashed counts come to the driver). The noisy-or over sentences is fitted on
+    toxic documents more often by ``least`` standard errors and ``times`` as often as in clean
+    ones, over all those rows, are telling (at most 2^20 hashed counts come to the driver). The noisy-or over sentences is fitted on
     the telling words of at most ``sample`` labelled documents, those with the least hash of
     their id. ``sentences`` numbers the sentences, from 0, whose own score is 0.5 or more.
 
@@ -196,7 +199,7 @@ def score_toxicity(
     )
     bucket, clean, toxic = (counts[c].to_numpy() for c in ("bucket", "clean", "toxic"))
     docs = tuple(int(x[bucket == -1].sum()) for x in (clean, toxic))
-    chosen = np.sort(bucket[telling(clean, toxic, docs, least) & (bucket >= 0)])
+    chosen = np.sort(bucket[telling(clean, toxic, docs, least, times) & (bucket >= 0)])
     place = np.full(BUCKETS, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
     kind = df.schema[id_col].dataType.simpleString()
