@@ -35,7 +35,7 @@ def sorted_rotations(text: np.ndarray, depth: int) -> np.ndarray:
     key = np.ndarray((n,), ">u8", round_.tobytes(), strides=(1,)).astype(U64)
     step = 8
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ordered = key[order]
         new = np.r_[False, ordered[1:] != ordered[:-1]]
         rank = np.empty(n, U64)
@@ -60,14 +60,17 @@ def short_prefixes(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarr
     back[np.argsort(before, kind="stable")] = np.arange(n)
     short = np.zeros(n + 1, bool)
     short[0] = short[n] = True
+    first_byte = text[order]
+    owner = np.full(n, -1, np.int32)  # of each rotation reached at a level, the interval it is from
     low, high = np.array([0]), np.array([n - 1])
     for _ in range(length):
         sizes = high - low + 1
         which = np.repeat(np.arange(len(low)), sizes)
         at = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + low[which]
-        to = back[at]
-        by = np.argsort(to)
-        to, which, byte = to[by], which[by], before[at][by]
+        owner[back[at]] = which
+        to = np.flatnonzero(owner >= 0)
+        which, byte = owner[to], first_byte[to]
+        owner[to] = -1
         new = (to[1:] != to[:-1] + 1) | (which[1:] != which[:-1]) | (byte[1:] != byte[:-1])
         first = np.flatnonzero(np.r_[True, new])
         low, high = to[first], to[np.r_[first[1:] - 1, len(to) - 1]]
@@ -86,7 +89,7 @@ def least_ranks(segments: list[bytes], ranks: np.ndarray, length: int) -> np.nda
     text = np.frombuffer(bytes([BETWEEN]).join(segments) + bytes([BETWEEN]), np.uint8)
     starts = np.cumsum(sizes + 1) - sizes - 1
     windows = sizes - length + 1
-    place = np.repeat(starts - np.cumsum(windows) + windows, windows) + np.arange(windows.sum())
+    place = places_of(starts, windows)
     order = sorted_rotations(text, length)
     short = short_prefixes(text, order, length)
     group = np.empty(len(text), np.int64)
@@ -169,7 +172,7 @@ def from_planes(raw: memoryview, n: int, width: int) -> np.ndarray:
 
 
 #: Fields of a run besides its bytes, and how many bytes each takes.
-FIELDS = (("key", 3), ("doc", 4), ("position", 5), ("windows", 4))
+FIELDS = (("doc", 4), ("position", 5), ("windows", 4))
 
 
 def frequent_keys(length: int, share: int):
@@ -202,10 +205,10 @@ def deal_runs(shared, length: int, buckets: int):
             if not plain.any():
                 continue
             low, high = batch.low[plain], batch.high[plain]
-            doc, key = batch.doc[plain], scramble(batch.key[plain])
-            bucket = (key >> U64(24)) % U64(buckets)
+            doc = batch.doc[plain]
+            bucket = (scramble(batch.key[plain]) >> U64(8)) % U64(buckets)
             order = np.argsort(bucket, kind="stable")
-            low, high, doc, key, bucket = (x[order] for x in (low, high, doc, key, bucket))
+            low, high, doc, bucket = (x[order] for x in (low, high, doc, bucket))
             size = high - low + length - 1
             text = batch.pieces(low, size)
             cut = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
@@ -215,7 +218,6 @@ def deal_runs(shared, length: int, buckets: int):
             for a, b in zip(cut, np.r_[cut[1:], len(low)], strict=True):
                 docs, place = np.unique(doc[a:b], return_inverse=True)
                 fields = {
-                    "key": key[a:b] & U64(0xFFFFFF),
                     "doc": np.diff(place, prepend=0),
                     "position": low[a:b] - batch.start[doc[a:b]],
                     "windows": high[a:b] - low[a:b],
@@ -252,55 +254,103 @@ def unpack(payload: bytes) -> tuple[dict[str, np.ndarray], memoryview]:
     return fields | {"row": row[doc], "rank": rank[doc]}, raw[at:]
 
 
+def window_hashes(text: np.ndarray, place: np.ndarray, length: int) -> np.ndarray:
+    """A hash of the ``length`` bytes at each place."""
+    padded = np.concatenate([text, np.zeros(8, np.uint8)])
+    words = np.ndarray((len(text),), "<u8", padded, strides=(1,))
+    offsets = [*range(0, length - 7, 8)]
+    if length % 8:
+        offsets.append(length - 8)
+    h = np.zeros(len(place), U64)
+    for offset in offsets:
+        h = (h ^ words[place + offset]) * FACTORS[0]
+        h ^= h >> U64(29)
+    return scramble(h)
+
+
+def places_of(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ..., counts[0] of them, then those of the next start."""
+    return np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+
+
+def hopeful(h: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The windows whose hash is there with several ranks; no others can repeat across texts."""
+    ordered = np.sort(h)
+    twice = np.zeros(1 << 20, bool)  # the low bits of hashes that are there twice
+    twice[ordered[1:][ordered[1:] == ordered[:-1]] % U64(len(twice))] = True
+    some = np.flatnonzero(twice[h % U64(len(twice))])
+    order = some[np.argsort(h[some])]
+    h, rank = h[order], rank[order]
+    first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, int)
+    several = np.zeros(0, bool)
+    if len(first):
+        several = np.minimum.reduceat(rank, first) != np.maximum.reduceat(rank, first)
+    out = np.zeros(len(ordered), bool)
+    out[order] = np.repeat(several, np.diff(np.r_[first, len(h)]))
+    return out
+
+
 def repeated_starts(length: int):
     """In a bucket, the windows that also start in a text of lower rank: ``row, spans``, where
     spans lists first window and number of windows of each stretch."""
 
     def find(part: pd.DataFrame) -> pd.DataFrame:
-        nothing = pd.DataFrame({"row": pd.Series([], dtype="int64"), "spans": []})
         runs, texts = zip(*map(unpack, part["runs"]), strict=True)
-        all_ = {name: np.concatenate([r[name] for r in runs]) for name in runs[0]}
-        # A key that only one rank has cannot repeat across texts.
-        order = np.lexsort((all_["rank"], all_["key"]))
-        key, rank = all_["key"][order], all_["rank"][order]
-        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        last = np.r_[first[1:] - 1, len(key) - 1]
-        several = np.repeat(rank[first] != rank[last], np.diff(np.r_[first, len(key)]))
-        chosen = np.zeros(len(key), bool)
-        chosen[order[several]] = True
-        if not chosen.any():
-            return nothing
-        number: dict[bytes, int] = {}
-        segment = []
-        at = 0
+        texts = [np.frombuffer(t, np.uint8) for t in texts]
+        hashes = []
         for r, text in zip(runs, texts, strict=True):
             sizes = r["windows"] + length - 1
-            ends = np.cumsum(sizes)
-            mine = chosen[at : at + len(sizes)]
-            at += len(sizes)
-            for a, b in zip((ends - sizes)[mine].tolist(), ends[mine].tolist(), strict=True):
-                segment.append(number.setdefault(bytes(text[a:b]), len(number)))
-        segment = np.array(segment)
+            place = places_of(np.cumsum(sizes) - sizes, r["windows"])
+            hashes.append(window_hashes(text, place, length))
         row, rank, position, windows = (
-            all_[c][chosen] for c in ("row", "rank", "position", "windows")
+            np.concatenate([r[c] for r in runs]) for c in ("row", "rank", "position", "windows")
+        )
+        chosen = hopeful(np.concatenate(hashes), np.repeat(rank, windows))
+        del hashes
+        if not chosen.any():
+            return no_spans()
+        # Of each run what lies between its first and its last hopeful window.
+        run = np.repeat(np.arange(len(windows)), windows)[chosen]
+        inside = places_of(np.zeros(len(windows), np.int64), windows)[chosen]
+        new = np.r_[True, run[1:] != run[:-1]]
+        run, low = run[new], inside[new]
+        high = inside[np.r_[np.flatnonzero(new)[1:] - 1, len(inside) - 1]] + 1
+        sizes = windows + length - 1
+        start = np.cumsum(sizes) - sizes
+        bounds = np.r_[0, np.cumsum([len(t) for t in texts])]
+        source = np.searchsorted(bounds, start[run], "right") - 1
+        a = start[run] + low - bounds[source]
+        b = a + high - low + length - 1
+        number: dict[bytes, int] = {}
+        segment = np.array(
+            [
+                number.setdefault(texts[i][x:y].tobytes(), len(number))
+                for i, x, y in zip(source.tolist(), a.tolist(), b.tolist(), strict=True)
+            ]
         )
+        row, rank, position, windows = row[run], rank[run], position[run] + low, high - low
         own = np.full(len(number), LAST, np.int64)
         np.minimum.at(own, segment, rank)
         least = least_ranks(list(number), own, length)
         size = np.fromiter(map(len, number), np.int64, len(number)) - length + 1
         offset = np.cumsum(size) - size
         run = np.repeat(np.arange(len(segment)), windows)
-        inside = np.arange(len(run)) - np.repeat(np.cumsum(windows) - windows, windows)
-        repeat = least[offset[segment[run]] + inside] < rank[run]
-        return spans_of(row[run][repeat], (position[run] + inside)[repeat], nothing)
+        repeat = least[places_of(offset[segment], windows)] < rank[run]
+        return spans_of(row[run][repeat], places_of(position, windows)[repeat])
 
     return find
 
 
-def spans_of(row: np.ndarray, start: np.ndarray, nothing: pd.DataFrame) -> pd.DataFrame:
+def no_spans() -> pd.DataFrame:
+    return pd.DataFrame(
+        {"row": pd.Series([], dtype="int64"), "spans": pd.Series([], dtype=object)}
+    )
+
+
+def spans_of(row: np.ndarray, start: np.ndarray) -> pd.DataFrame:
     """Window starts joined to stretches, one list per row."""
     if not len(row):
-        return nothing
+        return no_spans()
     order = np.lexsort((start, row))
     row, start = row[order], start[order]
     new = np.r_[True, (row[1:] != row[:-1]) | (start[1:] > start[:-1] + 1)]
@@ -310,7 +360,7 @@ def spans_of(row: np.ndarray, start: np.ndarray, nothing: pd.DataFrame) -> pd.Da
     owner = row[first]
     cut = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
     lists = [p.reshape(-1) for p in np.split(pairs, cut[1:])]
-    return pd.DataFrame({"row": owner[cut], "spans": lists})
+    return pd.DataFrame({"row": owner[cut], "spans": pd.Series(lists, dtype=object)})
 
 
 # --- frequent keys: window by window -------------------------------------------------------
@@ -326,14 +376,14 @@ def deal_windows(shared, length: int):
             batch = Batch(got["text"].to_pylist(), length)
             mine = np.isin(batch.key, hot)
             low, n = batch.low[mine], (batch.high - batch.low)[mine]
-            at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+            at = places_of(low, n)
             doc = np.repeat(batch.doc[mine], n)
             row, rank = (got[c].to_numpy(zero_copy_only=False) for c in ("row", "rank"))
-            window = np.lib.stride_tricks.sliding_window_view(batch.bytes, length)[at]
-            for a in range(0, len(at), 200_000):
+            raw = batch.bytes.tobytes()
+            for a in range(0, len(at), 100_000):
                 found: dict[bytes, list[int]] = {}
-                for i, w in enumerate(window[a : a + 200_000], a):
-                    found.setdefault(w.tobytes(), []).append(i)
+                for i, p in enumerate(at[a : a + 100_000].tolist(), a):
+                    found.setdefault(raw[p : p + length], []).append(i)
                 places = [np.array(x) for x in found.values()]
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -368,13 +418,12 @@ def least_of_windows(length: int):
 
 
 def starts_of_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    nothing = pd.DataFrame({"row": pd.Series([], dtype="int64"), "spans": []})
     for got in batches:
         counts = got["places"].value_lengths().to_numpy(zero_copy_only=False) // 3
         places = got["places"].flatten().to_numpy(zero_copy_only=False).reshape(-1, 3)
         least = np.repeat(got["least"].to_numpy(zero_copy_only=False), counts)
         places = places[least < places[:, 1]]
-        found = spans_of(places[:, 0], places[:, 2], nothing)
+        found = spans_of(places[:, 0], places[:, 2])
         yield pa.RecordBatch.from_pydict(
             {
                 "row": pa.array(found["row"].to_numpy(), pa.int64()),
@@ -441,7 +490,7 @@ def remove_repeats(
     id_col: str = "doc_id",
     text_col: str = "text",
     length: int = LENGTH,
-    bytes_per_bucket: int = 8 << 20,
+    bytes_per_bucket: int = 4 << 20,
     share: int = 2000,
     carry: Sequence[str] | None = None,
 ) -> DataFrame:
@@ -456,8 +505,8 @@ def remove_repeats(
     columns other than the two named are not read.
 
     Windows go to buckets by the least hash of their 12-byte strings, stretches of windows with
-    one key travelling as one run of bytes, so equal windows meet. A bucket drops the runs whose
-    key has one document only, and sorts the rotations of the others' distinct bytes; intervals
+    one key travelling as one run of bytes, so equal windows meet. A bucket drops windows whose
+    hash one document only has, and sorts the rotations of the others' distinct bytes; intervals
     of common prefixes then tell which windows are equal. Buckets hold about
     ``bytes_per_bucket`` of text. Keys that have 1/``share`` of all runs (2 x ``share`` at most)
     are dealt window by window instead, equal windows of a batch in one row; the least rank of
