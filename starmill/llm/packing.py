@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -15,17 +16,40 @@ from pyspark.sql import functions as F
 
 from starmill.llm.common import ceil_div, ready
 
-#: A text may be cut before a blank that follows other than white space: the tokenizer's own
-#: pre-tokens never reach over such a place, so the parts' ids are the text's ids.
-CUT = re.compile(r"(?<=\S) ")
-DOUBTFUL = [chr(c) + " " for c in range(0x3001) if chr(c).isspace()]
-DOUBTFUL_ASCII = [s for s in DOUBTFUL if s.isascii()]
-REMEMBERED = 300_000
+#: Fixed value: how byte-level tokenizers cut text before they merge bytes.
+PATTERN = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
+#: Characters outside these blocks may be letters to one library's tables and not to another's.
+RARE = re.compile("[^\u0000-\u02af\u0370-\u03ff\u0400-\u04ff\u2000-\u206f\u20a0-\u20ac"
+                  "\u2100-\u26ff\u3000-\u30ff\u4e00-\u9fa5]")
 _encoders: dict[int, Encoder] = {}
 
 
+def merge_ranks(definition: dict) -> dict[bytes, int] | None:
+    """The ids of a tokenizer's byte strings, if it is a plain byte-level one whose merges
+    stand in the order of the ids they make; then ids are ranks."""
+    model, cut = definition["model"], definition.get("pre_tokenizer") or {}
+    plain = model["type"] == "BPE" and cut.get("type") == "ByteLevel" and cut.get("use_regex")
+    odd = [model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix")]
+    odd += [model.get(k) for k in ("end_of_word_suffix", "byte_fallback", "ignore_merges")]
+    odd += [definition.get("normalizer"), cut.get("add_prefix_space")]
+    if not plain or any(odd):
+        return None
+    vocab = model["vocab"]
+    made = [vocab.get("".join(m if isinstance(m, list) else m.split(" "))) for m in model["merges"]]
+    if len(vocab) != 256 + len(made) or made != list(range(256, 256 + len(made))):
+        return None
+    # A printable byte stands for itself, the others for the characters from 256 on.
+    itself = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte = {chr(b): b for b in itself}
+    byte |= {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(itself)))}
+    return {bytes(map(byte.__getitem__, token)): n for token, n in vocab.items()}
+
+
 class Encoder:
-    """A byte-level tokenizer that remembers the ids of words."""
+    """The ids that a tokenizer's definition gives, from the faster of two libraries where both
+    are known to agree."""
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -33,7 +57,14 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        self.fast = None
+        ranks = merge_ranks(json.loads(definition))
+        if ranks:
+            from tiktoken import Encoding
+
+            self.fast = Encoding(
+                "ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}
+            )
 
     @classmethod
     def of(cls, definition: str) -> Encoder:
@@ -43,42 +74,21 @@ class Encoder:
             _encoders[key] = cls(definition)
         return _encoders[key]
 
-    @staticmethod
-    def words(text: str) -> list[str]:
-        """The parts of a text, each without the blank it was cut at."""
-        doubtful = DOUBTFUL_ASCII if text.isascii() else DOUBTFUL
-        if text.startswith(" ") or any(s in text for s in doubtful):
-            return CUT.split(text)
-        return text.split(" ")
-
-    def plain(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit numbers."""
-        parts = [self.words(t) for t in texts]
-        firsts = self.plain([p[0] for p in parts])
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        new = {w for p in parts for w in p[1:] if w not in known}
-        new = list(new)
-        known.update(zip(new, self.plain([" " + w for w in new]), strict=True))
-        return [
-            first + b"".join(map(known.__getitem__, p[1:]))
-            for first, p in zip(firsts, parts, strict=True)
-        ]
+    def encode(self, text: str) -> bytes:
+        """The ids of a text as little-endian 32-bit numbers."""
+        if self.fast and (text.isascii() or not RARE.search(text)):
+            return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+        found = self.tokenizer.encode(text, add_special_tokens=False)
+        return np.array(found.ids, "<u4").tobytes()
 
 
 def cut_pieces(definition, capacity: int, with_ids: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(definition.value)
         for batch in batches:
-            texts = [t or "" for t in batch["text"].to_pylist()]
             row, start, length, crc, tokens, ids = [], [], [], [], [], []
-            for i, got in enumerate(encoder.encode(texts)):
-                got += b"\0\0\0\0"
+            for i, text in enumerate(batch["text"].to_pylist()):
+                got = encoder.encode(text or "") + b"\0\0\0\0"
                 n = len(got) // 4
                 for at in range(0, n, capacity):
                     piece = got[4 * at : 4 * (at + capacity)]

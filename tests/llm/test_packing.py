@@ -6,6 +6,7 @@ from cases import corpus, frame, nameless
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from starmill.llm import packing
 from starmill.llm.packing import Encoder, first_fit_decreasing, pack, sequences
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -23,13 +24,28 @@ def ids_of(tokenizer, text):
     return tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
-@settings(deadline=None)
-@given(st.lists(st.sampled_from(list("aÉ1.'\n\t   \x1c漢") + ["  ", "'s ", " <|endoftext|>"])))
-def test_ids_of_cut_texts_are_those_of_whole_texts(parts):
-    text = "".join(parts)
+parts = [*"aÉ1.'\n\t \x1c\xa0漢½²", "  ", "'s ", " <|endoftext|>", " to.\nBe,", "don't", " x,"]
+
+
+@settings(deadline=None, max_examples=400)
+@given(st.one_of(st.text(max_size=30), st.lists(st.sampled_from(parts)).map("".join)))
+def test_both_libraries_give_the_same_ids(text):
     encoder = Encoder.of(open(PATH, encoding="utf-8").read())
+    assert encoder.fast
     want = ids_of(encoder.tokenizer, text)
-    assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == want
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want
+
+
+def test_other_tokenizers_are_not_taken_for_byte_level_ones():
+    import json
+
+    with open(PATH, encoding="utf-8") as f:
+        definition = json.load(f)
+    assert len(packing.merge_ranks(definition)) == 50_256
+    assert packing.merge_ranks(definition | {"normalizer": {"type": "Lowercase"}}) is None
+    swapped = definition["model"]["merges"]
+    swapped[0], swapped[1] = swapped[1], swapped[0]
+    assert packing.merge_ranks(definition) is None
 
 
 @given(st.lists(st.integers(1, 100), min_size=1, max_size=80))
