@@ -58,11 +58,13 @@ def best_branches(nodes: DataFrame, keep: int = 1) -> DataFrame:
         "reply-links",
     )
     total = link.count()
-    links = [link]
-    while not link.where("up is not null").isEmpty():
+    # Nodes whose link has reached a root are settled; only the others are joined again.
+    settled, open_ = link.where("up is null"), link.where("up is not null")
+    links = [open_]
+    while not open_.isEmpty():
         if 1 << (len(links) - 1) > total:
             raise ValueError("the parents of a reply tree form a cycle")
-        above = link.select(
+        above = settled.unionByName(open_).select(
             F.col("conv").alias("c"),
             F.col("node").alias("n"),
             F.col("up").alias("next"),
@@ -71,34 +73,37 @@ def best_branches(nodes: DataFrame, keep: int = 1) -> DataFrame:
         )
         meet = F.col("conv").eqNullSafe(F.col("c")) & (F.col("up") == F.col("n"))
         link = stage(
-            link.join(above, meet, "left").select(
+            open_.join(above, meet).select(
                 "conv",
                 "node",
                 F.col("next").alias("up"),
-                (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"),
-                (F.col("depth") + F.coalesce("further", F.lit(0))).alias("depth"),
+                (F.col("score") + F.col("more")).alias("score"),
+                (F.col("depth") + F.col("further")).alias("depth"),
             ),
             "reply-links",
         )
-        links.append(link)
+        settled = settled.unionByName(link.where("up is null"))
+        open_ = link.where("up is not null")
+        links.append(open_)
+    settled = stage(settled, "reply-links")
     parents = nodes.select(F.col("conv").alias("c"), F.col("parent").alias("n")).distinct()
     child = F.col("conv").eqNullSafe(F.col("c")) & (F.col("node") == F.col("n"))
     rank = Window.partitionBy("conv").orderBy(F.desc(F.col("score") / F.col("depth")), "node")
     path = stage(
-        link.join(parents, child, "left_anti")
+        settled.join(parents, child, "left_anti")
         .withColumn("rank", F.row_number().over(rank))
         .where(F.col("rank") <= keep)
         .select("conv", F.col("node").alias("leaf"), "node"),
         "reply-paths",
     )
     for hop in links[:-1]:
-        hop = hop.where("up is not null").select(
+        hop = hop.select(
             F.col("conv").alias("c"), F.col("node").alias("n"), "up"
         )
         meet = F.col("conv").eqNullSafe(F.col("c")) & (F.col("node") == F.col("n"))
         above = path.join(hop, meet).select("conv", "leaf", F.col("up").alias("node"))
         path = stage(path.unionByName(above), "reply-paths")
-    depth = link.select(F.col("conv").alias("c"), F.col("node").alias("n"), "depth")
+    depth = settled.select(F.col("conv").alias("c"), F.col("node").alias("n"), "depth")
     same = F.col("conv").eqNullSafe(F.col("c")) & (F.col("node") == F.col("n"))
     return path.join(depth, same).select("conv", "leaf", "node", F.col("depth").alias("position"))
 
