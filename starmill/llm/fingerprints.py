@@ -22,7 +22,11 @@ PARAGRAPH = re.compile(r"[^\n.!?]*[\n.!?]+|[^\n.!?]+")
 LONG = 600  # longer paragraphs are cut further, after words that a hash picks
 SMALLEST = 8  # cells in each of the three rows of a published sketch
 GROW = 4
-MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
+U64 = np.uint64
+FACTORS = np.array(
+    [[0x9E3779B97F4A7C15], [0xC2B2AE3D27D4EB4F], [0x165667B19E3779F9], [0x27D4EB2F165667C5]], U64
+)
+ROWS = np.arange(3, dtype=U64)[:, None]
 
 
 def paragraphs(text: str) -> list[str]:
@@ -53,39 +57,39 @@ def digests(text: str) -> np.ndarray:
     return np.array(out, np.uint64)
 
 
-def mixed(keys: np.ndarray, by: int) -> np.ndarray:
-    h = (keys ^ (keys >> np.uint64(31))) * np.uint64(by)
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(MIX[0])
-    return h ^ (h >> np.uint64(32))
+def hashed(keys: np.ndarray) -> np.ndarray:
+    """Four hashes of each key: three choose its cells, the last is its check."""
+    h = (keys ^ (keys >> U64(31))) * FACTORS
+    h ^= h >> U64(29)
+    h *= FACTORS[0]
+    h ^= h >> U64(32)
+    h[3] &= U64(0xFFFFFFFF)
+    return h
 
 
 class Sketch:
     """Three rows of cells; a cell holds the number, the sum (xor) of digests and of their
-    checks. The difference of two sketches of one size is the sketch of the sets' difference."""
+    checks. The difference of two sketches of one size is the sketch of the sets' difference.
+    Sizes are powers of two."""
 
-    def __init__(self, keys: np.ndarray, size: int):
+    def __init__(self, size: int):
         self.size = size
         self.number = np.zeros(3 * size, np.int64)
-        self.keys = np.zeros(3 * size, np.uint64)
-        self.checks = np.zeros(3 * size, np.uint64)
-        self.put(keys, 1)
-
-    def cells(self, keys: np.ndarray) -> np.ndarray:
-        at = [(mixed(keys, m) % np.uint64(self.size)).astype(np.int64) for m in MIX]
-        return np.concatenate([a + i * self.size for i, a in enumerate(at)])
-
-    @staticmethod
-    def check(keys: np.ndarray) -> np.ndarray:
-        return mixed(keys, 0x27D4EB2F165667C5) & np.uint64(0xFFFFFFFF)
-
-    def put(self, keys: np.ndarray, times) -> None:
-        at = self.cells(keys)
-        np.add.at(self.number, at, np.tile(times, 3) if np.ndim(times) else times)
-        np.bitwise_xor.at(self.keys, at, np.tile(keys, 3))
-        np.bitwise_xor.at(self.checks, at, np.tile(self.check(keys), 3))
+        self.keys = np.zeros(3 * size, U64)
+        self.checks = np.zeros(3 * size, U64)
+
+    def put(self, keys: np.ndarray, h: np.ndarray, times=None) -> None:
+        """Add digests with their hashes, each as often as ``times`` says, or once."""
+        at = h[:3] & U64(self.size - 1)
+        at = (at + ROWS * U64(self.size)).astype(np.int64).ravel()
+        if times is not None:
+            times = np.concatenate((times, times, times))
+        self.number += np.bincount(at, times, 3 * self.size).astype(np.int64)
+        np.bitwise_xor.at(self.keys, at, np.concatenate((keys, keys, keys)))
+        np.bitwise_xor.at(self.checks, at, np.concatenate((h[3], h[3], h[3])))
 
     def minus(self, other: Sketch) -> Sketch:
-        out = Sketch(np.zeros(0, np.uint64), self.size)
+        out = Sketch(self.size)
         out.number = self.number - other.number
         out.keys = self.keys ^ other.keys
         out.checks = self.checks ^ other.checks
@@ -93,41 +97,71 @@ class Sketch:
 
     def peel(self) -> tuple[np.ndarray, np.ndarray] | None:
         """The digests with positive and with negative number, or none if some stay hidden."""
-        found = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
+        if self.size > 1 and self.keys.all():
+            return None  # too full by far
+        keys, signs = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
         while True:
             pure = np.flatnonzero(np.abs(self.number) == 1)
-            pure = pure[self.check(self.keys[pure]) == self.checks[pure]]
-            if not len(pure):
+            found = self.keys[pure]
+            h = hashed(found)
+            true = np.flatnonzero(h[3] == self.checks[pure])
+            if not len(true):
                 break
-            keys, first = np.unique(self.keys[pure], return_index=True)
-            sign = self.number[pure][first]
-            self.put(keys, -sign)
-            found[0] = np.r_[found[0], keys[sign > 0]]
-            found[1] = np.r_[found[1], keys[sign < 0]]
+            # one key may be alone in up to three cells
+            order = true[np.argsort(found[true])]
+            found = found[order]
+            new = np.ones(len(order), bool)
+            np.not_equal(found[1:], found[:-1], out=new[1:])
+            order, found = order[new], found[new]
+            sign = self.number[pure[order]]
+            self.put(found, h[:, order], -sign)
+            keys.append(found)
+            signs.append(sign)
         if self.number.any() or self.keys.any():
             return None
-        return found[0], found[1]
+        keys, signs = np.concatenate(keys), np.concatenate(signs)
+        return keys[signs > 0], keys[signs < 0]
 
     def text(self, n: int) -> str:
         cells = self.number.astype("<i4").tobytes() + self.keys.astype("<u8").tobytes()
         cells += self.checks.astype("<u4").tobytes()
-        return f"{n}:" + base64.b85encode(cells).decode()
+        return f"{n}:" + base64.b64encode(cells).decode()
+
+
+class Paragraphs:
+    """The digests of a text and their sketches, made when they are asked for."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys, self.h = keys, hashed(keys)
+        self.sketches: dict[int, Sketch] = {}
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def sketch(self, size: int) -> Sketch:
+        if size not in self.sketches:
+            self.sketches[size] = Sketch(size)
+            self.sketches[size].put(self.keys, self.h)
+        return self.sketches[size]
+
+    def fingerprint(self) -> str:
+        return self.sketch(SMALLEST).text(len(self))
 
 
-def differing(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def differing(a: Paragraphs, b: Paragraphs) -> tuple[np.ndarray, np.ndarray]:
     """The digests that only ``a`` and only ``b`` has, from sketches that grow until they can
     be peeled."""
     size = SMALLEST
     while 2 * size < abs(len(a) - len(b)):
         size *= GROW
     while True:
-        found = Sketch(a, size).minus(Sketch(b, size)).peel()
+        found = a.sketch(size).minus(b.sketch(size)).peel()
         if found is not None:
             return found
         size *= GROW
 
 
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
+def likeness(a: Paragraphs, b: Paragraphs) -> float:
     """Shared paragraphs over all paragraphs of two texts; 1 if neither has any."""
     only_a, only_b = differing(a, b)
     either = len(a) + len(only_b)
@@ -153,19 +187,19 @@ def compare_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         names = ("bucket", "copy", "doc_id", "text")
         for bucket, copy, doc_id, text in zip(*(got[c].to_pylist() for c in names), strict=True):
             text = text or ""
-            own = digests(text)
+            own = Paragraphs(digests(text))
             if held and held[0] == bucket:
                 _, before, old, keys = held
                 n = len(old)
                 edited = old[: n - n // 4] + text[: n // 4]
-                new = digests(edited)
+                new = Paragraphs(digests(edited))
                 rows.append(
                     (
                         before,
                         n,
                         hashlib.sha256(edited.encode("utf-8", "replace")).hexdigest(),
-                        Sketch(keys, SMALLEST).text(len(keys)),
-                        Sketch(new, SMALLEST).text(len(new)),
+                        keys.fingerprint(),
+                        new.fingerprint(),
                         likeness(keys, new),
                         likeness(keys, own),
                     )

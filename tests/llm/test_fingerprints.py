@@ -6,7 +6,7 @@ from cases import corpus, frame, nameless
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from starmill.llm.fingerprints import Sketch, differing, digests, fingerprint, likeness, paragraphs
+from starmill.llm.fingerprints import Paragraphs, differing, digests, fingerprint, likeness, paragraphs
 
 sets = st.sets(st.integers(1, 2**64 - 1), max_size=60)
 
@@ -15,14 +15,16 @@ sets = st.sets(st.integers(1, 2**64 - 1), max_size=60)
 @given(sets, sets)
 def test_peeling_finds_the_difference(a, b):
     a, b = a | {7, 8, 9}, b | {7, 8, 9}
-    only_a, only_b = differing(np.array(list(a), np.uint64), np.array(list(b), np.uint64))
+    only_a, only_b = differing(*(Paragraphs(np.array(list(x), np.uint64)) for x in (a, b)))
     assert (set(only_a.tolist()), set(only_b.tolist())) == (a - b, b - a)
 
 
 def test_small_sketch_fails_and_grows():
     keys = np.random.default_rng(1).integers(1, 2**63, 500).astype(np.uint64)
-    assert Sketch(keys, 8).peel() is None
-    assert len(differing(keys, keys[:0])[0]) == 500
+    full, none = Paragraphs(keys), Paragraphs(keys[:0])
+    assert full.sketch(8).minus(none.sketch(8)).peel() is None
+    assert full.sketch(128).minus(none.sketch(128)).peel() is None
+    assert len(differing(full, none)[0]) == 500
 
 
 def test_paragraphs_lose_nothing():
@@ -64,5 +66,5 @@ def test_awkward_tables(spark):
 
 
 def test_likeness_of_nothing():
-    none = np.zeros(0, np.uint64)
-    assert likeness(none, none) == 1.0 and likeness(none, digests("a")) == 0.0
+    none, one = (Paragraphs(digests(t)) for t in ("", "a"))
+    assert likeness(none, none) == 1.0 and likeness(none, one) == 0.0
