@@ -366,41 +366,33 @@ def spans_of(row: np.ndarray, start: np.ndarray) -> pd.DataFrame:
 # --- frequent keys: window by window -------------------------------------------------------
 
 
-def deal_windows(shared, length: int):
-    """Windows under frequent keys, equal ones of a batch in one row: digest, the bytes, least
-    rank, and where they are (row, start, row, start, ...)."""
+def deal_segments(shared, length: int):
+    """Runs under frequent keys, equal ones of a batch in one row: digest, the bytes, least
+    rank, and where they are (row, rank, start, row, rank, start, ...)."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = shared.value
         for got in batches:
             batch = Batch(got["text"].to_pylist(), length)
             mine = np.isin(batch.key, hot)
-            low, n = batch.low[mine], (batch.high - batch.low)[mine]
-            at = places_of(low, n)
-            doc = np.repeat(batch.doc[mine], n)
-            row, rank = (got[c].to_numpy(zero_copy_only=False) for c in ("row", "rank"))
+            low, high, doc = batch.low[mine], batch.high[mine], batch.doc[mine]
+            row, rank = (got[c].to_numpy(zero_copy_only=False)[doc] for c in ("row", "rank"))
+            place = np.stack([row, rank, low - batch.start[doc]], 1)
             raw = batch.bytes.tobytes()
-            for a in range(0, len(at), 100_000):
-                found: dict[bytes, list[int]] = {}
-                for i, p in enumerate(at[a : a + 100_000].tolist(), a):
-                    found.setdefault(raw[p : p + length], []).append(i)
-                places = [np.array(x) for x in found.values()]
+            found: dict[bytes, list[int]] = {}
+            for i, (x, y) in enumerate(zip(low.tolist(), high.tolist(), strict=True)):
+                found.setdefault(raw[x : y + length - 1], []).append(i)
+            if found:
                 yield pa.RecordBatch.from_pydict(
                     {
                         "digest": pa.array(
-                            [hashlib.blake2b(w, digest_size=16).digest() for w in found],
+                            [hashlib.blake2b(s, digest_size=16).digest() for s in found],
                             pa.binary(),
                         ),
                         "bytes": pa.array(list(found), pa.binary()),
-                        "rank": pa.array([int(rank[doc[p]].min()) for p in places], pa.int64()),
+                        "rank": pa.array([int(rank[i].min()) for i in found.values()], pa.int64()),
                         "places": pa.array(
-                            [
-                                np.stack(
-                                    [row[doc[p]], rank[doc[p]], at[p] - batch.start[doc[p]]], 1
-                                ).reshape(-1)
-                                for p in places
-                            ],
-                            pa.list_(pa.int64()),
+                            [place[i].reshape(-1) for i in found.values()], pa.list_(pa.int64())
                         ),
                     }
                 )
@@ -408,22 +400,45 @@ def deal_windows(shared, length: int):
     return deal
 
 
+def cut_windows(length: int):
+    """The windows of distinct runs, each with its run's digest and its place in there."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for got in batches:
+            segments = got["bytes"].to_pylist()
+            n = np.array([len(s) - length + 1 for s in segments], np.int64)
+            which = pa.array(np.repeat(np.arange(len(n)), n))
+            windows = [s[i : i + length] for s in segments for i in range(len(s) - length + 1)]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "digest": got["digest"].take(which),
+                    "offset": pa.array(places_of(np.zeros(len(n), np.int64), n)),
+                    "bytes": pa.array(windows, pa.binary()),
+                    "rank": got["rank"].take(which),
+                }
+            )
+
+    return cut
+
+
 def least_of_windows(length: int):
     def find(part: pd.DataFrame) -> pd.DataFrame:
         least = least_ranks(part["bytes"].tolist(), part["rank"].to_numpy(), length)
-        out = pd.DataFrame({"digest": part["digest"], "least": least})
-        return out.drop_duplicates("digest")
+        return part[["digest", "offset"]].assign(least=least)
 
     return find
 
 
-def starts_of_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def starts_of_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for got in batches:
-        counts = got["places"].value_lengths().to_numpy(zero_copy_only=False) // 3
-        places = got["places"].flatten().to_numpy(zero_copy_only=False).reshape(-1, 3)
-        least = np.repeat(got["least"].to_numpy(zero_copy_only=False), counts)
-        places = places[least < places[:, 1]]
-        found = spans_of(places[:, 0], places[:, 2])
+        rows, starts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for places, least in zip(got["places"], got["least"], strict=True):
+            place = places.values.to_numpy().reshape(-1, 3)
+            repeat = least.values.to_numpy()[None, :] < place[:, 1:2]
+            owner, offset = np.nonzero(repeat)
+            rows.append(place[owner, 0])
+            starts.append(place[owner, 2] + offset)
+        found = spans_of(np.concatenate(rows), np.concatenate(starts))
         yield pa.RecordBatch.from_pydict(
             {
                 "row": pa.array(found["row"].to_numpy(), pa.int64()),
@@ -509,8 +524,9 @@ def remove_repeats(
     hash one document only has, and sorts the rotations of the others' distinct bytes; intervals
     of common prefixes then tell which windows are equal. Buckets hold about
     ``bytes_per_bucket`` of text. Keys that have 1/``share`` of all runs (2 x ``share`` at most)
-    are dealt window by window instead, equal windows of a batch in one row; the least rank of
-    a window, found the same way, is joined back to the rows, which Spark splits if skewed.
+    do not go to one bucket: equal runs of a batch become one row, distinct runs are cut into
+    windows that are dealt by their own hash, and the least ranks of a run's windows, found the
+    same way, are joined back to the rows, which Spark splits if skewed.
     """
     spark = ready(df.sparkSession)
     docs = numbered(df, id_col, text_col, carry or ())
@@ -535,23 +551,34 @@ def remove_repeats(
         "passage-spans",
     )
     if hot:
-        windows = stage(
+        segments = stage(
             texts.mapInArrow(
-                deal_windows(shared, length),
+                deal_segments(shared, length),
                 "digest binary, bytes binary, rank long, places array<long>",
             ),
-            "passage-windows",
+            "passage-segments",
+        )
+        distinct = stage(
+            segments.groupBy("digest", "bytes").agg(F.min("rank").alias("rank")),
+            "passage-distinct",
+        )
+        size = distinct.agg(F.sum(F.octet_length("bytes") - (length - 1))).first()[0] or 0
+        parts = ceil_div(size * length, bytes_per_bucket) or 1
+        least = (
+            distinct.mapInArrow(
+                cut_windows(length), "digest binary, offset long, bytes binary, rank long"
+            )
+            .groupBy(F.pmod(F.xxhash64("bytes"), F.lit(parts)).alias("bucket"))
+            .applyInPandas(least_of_windows(length), "digest binary, offset long, least long")
+            .groupBy("digest")
+            .agg(F.sort_array(F.collect_list(F.struct("offset", "least"))).alias("found"))
+            .select("digest", F.col("found.least").alias("least"))
         )
-        distinct = windows.groupBy("digest", "bytes").agg(F.min("rank").alias("rank"))
-        parts = ceil_div(windows.count() * length, bytes_per_bucket) or 1
-        found = distinct.groupBy(
-            F.pmod(F.xxhash64("digest"), F.lit(parts)).alias("bucket")
-        ).applyInPandas(least_of_windows(length), "digest binary, least long")
         more = (
-            windows.select("digest", "places")
-            .join(found, "digest")
+            segments.select("digest", "places")
+            .join(least, "digest")
             .select("places", "least")
-            .mapInArrow(starts_of_windows, "row long, spans array<long>")
+            .mapInArrow(starts_of_segments, "row long, spans array<long>")
         )
         spans = spans.unionByName(stage(more, "passage-spans"))
     of_row = spans.groupBy("row").agg(F.collect_list("spans").alias("spans"))
