@@ -189,7 +189,8 @@ def score_toxicity(
     taught = labels.select(
         F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("toxic")
     ).where(learn & F.col("toxic").isin(0, 1))
-    rows = texts.where(learn & F.col("text").isNotNull()).join(taught, "doc_id")
+    # Labels grow with the texts, so they meet in a shuffle at every size.
+    rows = texts.where(learn & F.col("text").isNotNull()).join(taught.hint("merge"), "doc_id")
     counts = (
         rows.select("text", "toxic")
         .mapInArrow(count_words, "bucket long, clean long, toxic long")
@@ -207,9 +208,9 @@ def score_toxicity(
     shared = spark.sparkContext.broadcast({"place": place})
     order = F.xxhash64("doc_id", F.lit(11))
     few = taught.withColumn("order", order).orderBy("order", "doc_id", "toxic").limit(sample)
+    few = stage(few, "toxic-sample")  # at most ``sample`` ids, so they can be broadcast
     few = (
-        stage(few, "toxic-sample")
-        .join(texts, "doc_id")
+        texts.join(F.broadcast(few), "doc_id")
         .select("doc_id", "toxic", "text")
         .mapInArrow(instances(shared), f"doc_id {kind}, toxic int, {fields}")
         .toArrow()
