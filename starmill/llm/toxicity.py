@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,37 +47,59 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def telling(clean, toxic, docs: tuple[int, int], least: float, times: float) -> np.ndarray:
-    """Which hashes occur in toxic documents more often by ``least`` standard errors and
-    ``times`` as often as in clean ones: with many rows the first alone admits faint hints."""
+def telling(clean, toxic, docs: tuple[int, int], least: float) -> np.ndarray:
+    """Which hashes occur in toxic documents more often by ``least`` standard errors."""
     a, b = docs
     pooled = (clean + toxic) / max(a + b, 1)
     error = np.sqrt(np.maximum(pooled * (1 - pooled), 1e-12) * (1 / max(a, 1) + 1 / max(b, 1)))
     p, q = toxic / max(b, 1), clean / max(a, 1)
-    return ((p - q) / error >= least) & (p >= times * q)
+    return (p - q) / error >= least
 
 
-def instances(shared):
+def found_words(texts: list[str | None], place: np.ndarray) -> tuple[list, list]:
     """Per text, the telling words and their sentences."""
+    features, sentences = [], []
+    for text in texts:
+        h, sentence = words(text)
+        f = place[h]
+        features.append(f[f >= 0])
+        sentences.append(sentence[f >= 0])
+    return features, sentences
+
+
+def instances(shared):
+    """One row per batch: its number of texts, and as 32-bit numbers its labels and what
+    ``NoisyOr.flat`` gives."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = shared.value["place"]
         for batch in batches:
-            features, sentences = [], []
-            for text in batch["text"].to_pylist():
-                h, sentence = words(text)
-                f = place[h]
-                features.append(f[f >= 0])
-                sentences.append(sentence[f >= 0])
+            found = found_words(batch["text"].to_pylist(), shared.value["place"])
+            pairs, doc = NoisyOr.flat(*found)
+            columns = (batch["toxic"].to_numpy(), pairs, doc)
             yield pa.RecordBatch.from_arrays(
-                [*batch.drop_columns(["text"]).columns]
-                + [pa.array(x, pa.list_(pa.int32())) for x in (features, sentences)],
-                [*batch.drop_columns(["text"]).schema.names, "feature", "sentence"],
+                [pa.array([len(batch)])]
+                + [pa.array([np.ascontiguousarray(c, "<i4").tobytes()]) for c in columns],
+                ["n", "toxic", "pairs", "doc"],
             )
 
     return find
 
 
+def sum_losses(shared):
+    """``NoisyOr.losses`` summed over the rows of ``instances`` in a partition."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        total = np.zeros(len(model.weight) + 3)
+        for batch in batches:
+            for row in zip(*(batch[c] for c in ("pairs", "doc", "toxic")), strict=True):
+                pairs, doc, y = (np.frombuffer(x.as_buffer(), "<i4") for x in row)
+                total += model.losses(pairs.reshape(-1, 2), doc, y)
+        yield pa.RecordBatch.from_pydict({"total": pa.array([total.tobytes()], pa.binary())})
+
+    return add
+
+
 class NoisyOr:
     """A text is clean if no sentence makes it toxic and no leak does. A sentence with telling
     words has the score sigmoid(bias + weights of its distinct words), any other 0."""
@@ -108,26 +130,65 @@ class NoisyOr:
         log_q = -np.logaddexp(0, self.leak) - np.bincount(doc, np.logaddexp(0, a), n)
         return log_q, 1 / (1 + np.exp(-a))
 
-    def fit(self, features: list, sentences: list, y: np.ndarray, rounds: int = 400) -> None:
+    def losses(self, pairs: np.ndarray, doc: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """The loss of texts with labels y, and its gradient by weights, bias and leak."""
+        log_q, s = self.clean(pairs, doc, len(y))
+        q = np.exp(log_q)
+        p = np.maximum(1 - q, 1e-9)
+        pull = np.where(y == 1, -q / p, 1.0)  # towards clean or toxic
+        ga = pull[doc] * s
+        return np.r_[
+            np.where(y == 1, -np.log(p), -log_q).sum(),
+            np.bincount(pairs[:, 1], ga[pairs[:, 0]], len(self.weight)),
+            ga.sum(),
+            pull.sum() / (1 + np.exp(-self.leak)),
+        ]
+
+    def fit(self, features: list, sentences: list, y: np.ndarray) -> None:
         pairs, doc = self.flat(features, sentences)
-        n, k = len(y), len(self.weight)
+        self.fit_sums(lambda: self.losses(pairs, doc, y), len(y))
+
+    def fit_sums(self, sums: Callable[[], np.ndarray], n: int, rounds: int = 60) -> None:
+        """Fit to n texts by L-BFGS; ``sums`` gives their losses at the present weights."""
         if not n:
             return
+        k = len(self.weight)
+        ridge = np.r_[np.full(k, 0.1), 0.0, 0.0]
+
+        def at(x: np.ndarray) -> tuple[float, np.ndarray]:
+            self.weight, self.bias, self.leak = x[:k], float(x[k]), float(x[k + 1])
+            total = sums()
+            return (total[0] + ridge @ (x * x) / 2) / n, (total[1:] + ridge * x) / n
+
         x = np.r_[self.weight, self.bias, self.leak]
-        m, v = np.zeros(k + 2), np.zeros(k + 2)
-        for t in range(1, rounds + 1):
-            self.weight, self.bias, self.leak = x[:k], x[k], x[k + 1]
-            log_q, s = self.clean(pairs, doc, n)
-            q = np.exp(log_q)
-            pull = np.where(y == 1, -q / np.maximum(1 - q, 1e-9), 1.0)  # towards clean or toxic
-            ga = pull[doc] * s
-            g = np.r_[
-                np.bincount(pairs[:, 1], ga[pairs[:, 0]], k) + 0.1 * self.weight,
-                ga.sum(),
-                pull.sum() / (1 + np.exp(-self.leak)),
-            ] / n
-            m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-            x = x - 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9)
+        loss, g = at(x)
+        steps: list[tuple[np.ndarray, np.ndarray]] = []  # the last moves and gradient changes
+        for _ in range(rounds):
+            d, used = -g, []
+            for move, change in reversed(steps):
+                used.append(move @ d / (move @ change))
+                d = d - used[-1] * change
+            if steps:
+                d = d * (steps[-1][0] @ steps[-1][1]) / (steps[-1][1] @ steps[-1][1])
+            for move, change in steps:
+                d = d + (used.pop() - change @ d / (move @ change)) * move
+            slope = d @ g
+            if slope > -1e-9:
+                break
+            rate = 1.0 if steps else min(1.0, 1 / np.abs(g).sum())
+            new, new_g = at(x + rate * d)
+            while not new <= loss + 1e-4 * rate * slope and rate > 1e-4:
+                rate /= 4
+                new, new_g = at(x + rate * d)
+            if not new < loss:
+                break
+            move, change = rate * d, new_g - g
+            if move @ change > 1e-12:
+                steps = [*steps[-9:], (move, change)]
+            small = loss - new < 1e-6 * loss
+            x, loss, g = x + move, new, new_g
+            if small:
+                break
         self.weight, self.bias, self.leak = x[:k], float(x[k]), float(x[k + 1])
 
 
@@ -135,12 +196,7 @@ def score_texts(shared):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, model = shared.value["place"], shared.value["model"]
         for batch in batches:
-            features, sentences = [], []
-            for text in batch["text"].to_pylist():
-                h, sentence = words(text)
-                f = place[h]
-                features.append(f[f >= 0])
-                sentences.append(sentence[f >= 0])
+            features, sentences = found_words(batch["text"].to_pylist(), place)
             pairs, doc = model.flat(features, sentences)
             log_q, s = model.clean(pairs, doc, len(features))
             # sentence numbers of the flat list, and those whose score alone reaches a half
@@ -167,16 +223,16 @@ def score_toxicity(
     modulus: int = 5,
     held: int = 0,
     least: float = 5.0,
-    times: float = 3.0,
     sample: int = 65_536,
 ) -> DataFrame:
     """Toxicity of each text: ``doc_id, held_out, score, predicted, sentences``.
 
     Labels are used only where crc32(id) modulo ``modulus`` is not ``held``. Words that occur in
-    toxic documents more often by ``least`` standard errors and ``times`` as often as in clean
-    ones, over all those rows, are telling (at most 2^20 hashed counts come to the driver). The noisy-or over sentences is fitted on
+    toxic documents more often by ``least`` standard errors, over all those rows, are telling
+    (at most 2^20 hashed counts come to the driver). The noisy-or over sentences is fitted on
     the telling words of at most ``sample`` labelled documents, those with the least hash of
-    their id. ``sentences`` numbers the sentences, from 0, whose own score is 0.5 or more.
+    their id; tasks sum its gradients over the staged words, so the driver holds weights only.
+    ``sentences`` numbers the sentences, from 0, whose own score is 0.5 or more.
 
     Null and empty texts have no sentences and get the leak. Null labels and other values than
     0 and 1 teach nothing, repeated labels and rows count as often as they occur, null ids have
@@ -200,28 +256,31 @@ def score_toxicity(
     )
     bucket, clean, toxic = (counts[c].to_numpy() for c in ("bucket", "clean", "toxic"))
     docs = tuple(int(x[bucket == -1].sum()) for x in (clean, toxic))
-    chosen = np.sort(bucket[telling(clean, toxic, docs, least, times) & (bucket >= 0)])
+    chosen = np.sort(bucket[telling(clean, toxic, docs, least) & (bucket >= 0)])
     place = np.full(BUCKETS, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
     kind = df.schema[id_col].dataType.simpleString()
-    fields = "feature array<int>, sentence array<int>"
     shared = spark.sparkContext.broadcast({"place": place})
     order = F.xxhash64("doc_id", F.lit(11))
     few = taught.withColumn("order", order).orderBy("order", "doc_id", "toxic").limit(sample)
     few = stage(few, "toxic-sample")  # at most ``sample`` ids, so they can be broadcast
-    few = (
+    few = stage(
         texts.join(F.broadcast(few), "doc_id")
-        .select("doc_id", "toxic", "text")
-        .mapInArrow(instances(shared), f"doc_id {kind}, toxic int, {fields}")
-        .toArrow()
+        .select("toxic", "text")
+        .mapInArrow(instances(shared), "n long, toxic binary, pairs binary, doc binary"),
+        "toxic-words",
     )
-    few = few.sort_by([("doc_id", "ascending"), ("toxic", "ascending")])
     model = NoisyOr(len(chosen))
-    model.fit(
-        [np.array(x) for x in few["feature"].to_pylist()],
-        [np.array(x) for x in few["sentence"].to_pylist()],
-        few["toxic"].to_numpy(),
-    )
+    parts = min(spark.sparkContext.defaultParallelism, 32)  # each sends a gradient per round
+
+    def sums() -> np.ndarray:
+        now = spark.sparkContext.broadcast(model)
+        got = few.drop("n").coalesce(parts).mapInArrow(sum_losses(now), "total binary").collect()
+        now.destroy()
+        zero = np.zeros(len(chosen) + 3)
+        return sum((np.frombuffer(r["total"]) for r in got), zero)
+
+    model.fit_sums(sums, few.agg(F.sum("n")).first()[0] or 0)
     shared = spark.sparkContext.broadcast({"place": place, "model": model})
     scored = texts.select("doc_id", "text", (~learn).alias("held_out")).mapInArrow(
         score_texts(shared), f"doc_id {kind}, held_out boolean, score double, sentences array<int>"

@@ -82,3 +82,20 @@ def test_words():
     h, sentence = words("You VILE. you! a1b\n\nvile")
     assert sentence.tolist() == [0, 0, 1, 2, 2, 4]
     assert h[1] == h[5] and h[0] == h[2] and words(None)[0].size == 0
+
+
+def test_words_twice_as_frequent_in_toxic_documents_teach(spark):
+    """Significant words need no multiple of their clean frequency: no toxic text here has a
+    word that is three times as frequent in toxic texts."""
+    rng = random.Random(5)
+    hints = ["grim", "sour", "bleak", "harsh", "stern", "crude", "blunt", "coarse"]
+    rows, labels = [], []
+    for i in range(1500):
+        toxic = i % 2
+        said = [w for w in hints if rng.random() < (0.9 if toxic else 0.4)]
+        rows.append((i, f"{prose(i, 1)} {' '.join(said)}.", "en", "src0", 1))
+        labels.append((i, 1, toxic))
+    got = score_toxicity(frame(spark, rows), taught(spark, labels)).collect()
+    held = [r for r in got if r.held_out]
+    assert len({r.score for r in held}) > 5
+    assert np.mean([r.predicted == r.doc_id % 2 for r in held]) > 0.85
