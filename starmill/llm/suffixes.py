@@ -175,25 +175,26 @@ def from_planes(raw: memoryview, n: int, width: int) -> np.ndarray:
 FIELDS = (("doc", 4), ("position", 5), ("windows", 4))
 
 
-def frequent_keys(length: int, share: int):
-    """Keys that may hold 1/share of all runs, with their runs; key -1 counts all runs."""
+def cells_of(key: np.ndarray, cells: int) -> np.ndarray:
+    return ((scramble(key) >> U64(20)) % U64(cells)).astype(np.int64)
+
+
+def cell_bytes(length: int, cells: int):
+    """Bytes of the runs per cell; a cell holds all runs of the keys that hash to it."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for got in batches:
             batch = Batch(got["text"].to_pylist(), length)
-            keys, n = np.unique(batch.key, return_counts=True)
-            some = n >= max(1, len(batch.key) / (2 * share))
+            found, place = np.unique(cells_of(batch.key, cells), return_inverse=True)
+            size = np.bincount(place, batch.high - batch.low + length - 1, len(found))
             yield pa.RecordBatch.from_pydict(
-                {
-                    "key": pa.array(np.r_[keys[some].view(np.int64), -1]),
-                    "n": pa.array(np.r_[n[some], len(batch.key)].astype(np.int64)),
-                }
+                {"cell": pa.array(found, pa.int64()), "n": pa.array(size.astype(np.int64))}
             )
 
     return count
 
 
-def deal_runs(shared, length: int, buckets: int):
+def deal_runs(shared, length: int, buckets: int, cells: int):
     """One row per bucket and batch: all runs of the batch whose key falls into the bucket."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,7 +202,7 @@ def deal_runs(shared, length: int, buckets: int):
         squeeze = zstandard.ZstdCompressor(level=1)
         for got in batches:
             batch = Batch(got["text"].to_pylist(), length)
-            plain = ~np.isin(batch.key, hot)
+            plain = ~np.isin(cells_of(batch.key, cells), hot)
             if not plain.any():
                 continue
             low, high = batch.low[plain], batch.high[plain]
@@ -363,18 +364,18 @@ def spans_of(row: np.ndarray, start: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"row": owner[cut], "spans": pd.Series(lists, dtype=object)})
 
 
-# --- frequent keys: window by window -------------------------------------------------------
+# --- frequent cells: window by window ------------------------------------------------------
 
 
-def deal_segments(shared, length: int):
-    """Runs under frequent keys, equal ones of a batch in one row: digest, the bytes, least
+def deal_segments(shared, length: int, cells: int):
+    """Runs in frequent cells, equal ones of a batch in one row: digest, the bytes, least
     rank, and where they are (row, rank, start, row, rank, start, ...)."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = shared.value
         for got in batches:
             batch = Batch(got["text"].to_pylist(), length)
-            mine = np.isin(batch.key, hot)
+            mine = np.isin(cells_of(batch.key, cells), hot)
             low, high, doc = batch.low[mine], batch.high[mine], batch.doc[mine]
             row, rank = (got[c].to_numpy(zero_copy_only=False)[doc] for c in ("row", "rank"))
             place = np.stack([row, rank, low - batch.start[doc]], 1)
@@ -421,14 +422,6 @@ def cut_windows(length: int):
     return cut
 
 
-def least_of_windows(length: int):
-    def find(part: pd.DataFrame) -> pd.DataFrame:
-        least = least_ranks(part["bytes"].tolist(), part["rank"].to_numpy(), length)
-        return part[["digest", "offset"]].assign(least=least)
-
-    return find
-
-
 def starts_of_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for got in batches:
         rows, starts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -523,28 +516,31 @@ def remove_repeats(
     one key travelling as one run of bytes, so equal windows meet. A bucket drops windows whose
     hash one document only has, and sorts the rotations of the others' distinct bytes; intervals
     of common prefixes then tell which windows are equal. Buckets hold about
-    ``bytes_per_bucket`` of text. Keys that have 1/``share`` of all runs (2 x ``share`` at most)
-    do not go to one bucket: equal runs of a batch become one row, distinct runs are cut into
-    windows that are dealt by their own hash, and the least ranks of a run's windows, found the
-    same way, are joined back to the rows, which Spark splits if skewed.
+    ``bytes_per_bucket`` of text. Keys are also counted in 16 cells per bucket. Cells with more
+    than a quarter of ``bytes_per_bucket``, or in small tables half of 1/``share`` of all runs'
+    bytes, do not go to buckets: equal runs of a batch become one row, distinct runs are cut into
+    windows, Spark aggregates the least rank of each distinct window, and the least ranks of a
+    run's windows are joined back to the rows, which Spark splits if skewed.
     """
     spark = ready(df.sparkSession)
     docs = numbered(df, id_col, text_col, carry or ())
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = ceil_div(size, bytes_per_bucket) or 1
     texts = docs.select("row", "rank", "text").where(F.octet_length("text") >= length)
-    counts = (
+    cells = max(16 * buckets, 8 * share)
+    counts = stage(
         texts.select("text")
-        .mapInArrow(frequent_keys(length, share), "key long, n long")
-        .groupBy("key")
-        .agg(F.sum("n").alias("n"))
+        .mapInArrow(cell_bytes(length, cells), "cell long, n long")
+        .groupBy("cell")
+        .agg(F.sum("n").alias("n")),
+        "passage-cells",
     )
-    total = counts.where("key = -1").first()
-    least = (total["n"] if total else 0) / (2 * share)
-    hot = [r[0] for r in counts.where((F.col("key") != -1) & (F.col("n") >= least)).collect()]
-    shared = spark.sparkContext.broadcast(np.array(hot, np.int64).view(U64))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    least = min(total / (2 * share), bytes_per_bucket / 4)
+    hot = [r[0] for r in counts.where(F.col("n") >= least).collect()]
+    shared = spark.sparkContext.broadcast(np.array(hot, np.int64))
     spans = stage(
-        texts.mapInArrow(deal_runs(shared, length, buckets), "bucket long, runs binary")
+        texts.mapInArrow(deal_runs(shared, length, buckets, cells), "bucket long, runs binary")
         .repartition(buckets, "bucket")
         .groupBy("bucket")
         .applyInPandas(repeated_starts(length), "row long, spans array<long>"),
@@ -553,7 +549,7 @@ def remove_repeats(
     if hot:
         segments = stage(
             texts.mapInArrow(
-                deal_segments(shared, length),
+                deal_segments(shared, length, cells),
                 "digest binary, bytes binary, rank long, places array<long>",
             ),
             "passage-segments",
@@ -562,14 +558,20 @@ def remove_repeats(
             segments.groupBy("digest", "bytes").agg(F.min("rank").alias("rank")),
             "passage-distinct",
         )
-        size = distinct.agg(F.sum(F.octet_length("bytes") - (length - 1))).first()[0] or 0
-        parts = ceil_div(size * length, bytes_per_bucket) or 1
+        windows = distinct.mapInArrow(
+            cut_windows(length), "digest binary, offset long, bytes binary, rank long"
+        )
+        # A window of one run only has that run's rank. Written, so that the join can be split.
+        shared_windows = stage(
+            windows.groupBy("bytes")
+            .agg(F.min("rank").alias("least"), F.count("*").alias("n"))
+            .where("n > 1")
+            .select("bytes", "least"),
+            "passage-windows",
+        )
         least = (
-            distinct.mapInArrow(
-                cut_windows(length), "digest binary, offset long, bytes binary, rank long"
-            )
-            .groupBy(F.pmod(F.xxhash64("bytes"), F.lit(parts)).alias("bucket"))
-            .applyInPandas(least_of_windows(length), "digest binary, offset long, least long")
+            windows.join(shared_windows, "bytes", "left")
+            .select("digest", "offset", F.coalesce("least", "rank").alias("least"))
             .groupBy("digest")
             .agg(F.sort_array(F.collect_list(F.struct("offset", "least"))).alias("found"))
             .select("digest", F.col("found.least").alias("least"))

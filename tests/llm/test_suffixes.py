@@ -7,6 +7,7 @@ from cases import corpus, frame, nameless, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from starmill.llm import suffixes
 from starmill.llm.suffixes import least_ranks, remove_repeats
 
 
@@ -74,3 +75,24 @@ def test_matches_need_the_whole_length_and_stay_in_documents(spark):
 
 def test_empty_table(spark):
     assert remove_repeats(frame(spark, [])).collect() == []
+
+
+def test_a_frequent_passage_is_aggregated_by_window(spark, monkeypatch):
+    """A passage with other text around each copy: its key leaves the buckets by its bytes, not
+    by its share, and its windows are aggregated before any Python function groups them."""
+    staged = {}
+
+    def spy(df, label, *rest, keep=suffixes.stage):
+        staged.setdefault(label, []).append(df._jdf.queryExecution().toString())
+        return keep(df, label, *rest)
+
+    monkeypatch.setattr(suffixes, "stage", spy)
+    passage = prose(1000, 2)
+    texts = [f"{prose(i, 3)} {passage} {prose(i + 500, 3)}" for i in range(60)]
+    texts += [prose(i, 40) for i in range(1000, 1060)]
+    rows = [(i, t, "en", "src0", 1) for i, t in enumerate(texts)]
+    got = remove_repeats(frame(spark, rows), share=1, bytes_per_bucket=20_000).collect()
+    assert "passage-segments" in staged
+    grouped = [p for p in staged["passage-spans"] if "FlatMapGroupsInPandas" in p]
+    assert len(grouped) == 1 and len(staged["passage-spans"]) == 2
+    assert sorted((str(r[0]), *r[1:]) for r in got) == plain(rows, 50)
