@@ -79,7 +79,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ready(spark)
-    return pack(docs.select(COLUMNS), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(docs.select(COLUMNS), public_tokenizers.path("byte_bpe_50k.json"), added=True)
 
 
 STAGES = [

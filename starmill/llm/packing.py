@@ -23,7 +23,7 @@ PATTERN = (
 #: Characters outside these blocks may be letters to one library's tables and not to another's.
 RARE = re.compile("[^\u0000-\u02af\u0370-\u03ff\u0400-\u04ff\u2000-\u206f\u20a0-\u20ac"
                   "\u2100-\u26ff\u3000-\u30ff\u4e00-\u9fa5]")
-_encoders: dict[int, Encoder] = {}
+_encoders: dict[tuple[int, bool], Encoder] = {}
 
 
 def merge_ranks(definition: dict) -> dict[bytes, int] | None:
@@ -49,16 +49,20 @@ def merge_ranks(definition: dict) -> dict[bytes, int] | None:
 
 class Encoder:
     """The ids that a tokenizer's definition gives, from the faster of two libraries where both
-    are known to agree."""
+    are known to agree. With ``added``, the string of an added token in a text is that token, as
+    by the tokenizer's default; else it is text like any other."""
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
         self.fast = None
-        ranks = merge_ranks(json.loads(definition))
+        parts = json.loads(definition)
+        #: Strings that the tokenizer takes out of a text before it cuts the rest.
+        self.added = [t["content"] for t in parts.get("added_tokens") or ()] if added else []
+        ranks = merge_ranks(parts)
         if ranks:
             from tiktoken import Encoding
 
@@ -67,24 +71,25 @@ class Encoder:
             )
 
     @classmethod
-    def of(cls, definition: str) -> Encoder:
+    def of(cls, definition: str, added: bool = False) -> Encoder:
         """One encoder per Python worker and definition."""
-        key = zlib.crc32(definition.encode())
+        key = zlib.crc32(definition.encode()), added
         if key not in _encoders:
-            _encoders[key] = cls(definition)
+            _encoders[key] = cls(definition, added)
         return _encoders[key]
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian 32-bit numbers."""
-        if self.fast and (text.isascii() or not RARE.search(text)):
+        plain = text.isascii() or not RARE.search(text)
+        if self.fast and plain and not any(t in text for t in self.added):
             return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
         found = self.tokenizer.encode(text, add_special_tokens=False)
         return np.array(found.ids, "<u4").tobytes()
 
 
-def cut_pieces(definition, capacity: int, with_ids: bool):
+def cut_pieces(definition, capacity: int, with_ids: bool, added: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(definition.value)
+        encoder = Encoder.of(definition.value, added)
         for batch in batches:
             row, start, length, crc, tokens, ids = [], [], [], [], [], []
             for i, text in enumerate(batch["text"].to_pylist()):
@@ -161,11 +166,13 @@ def pack(
     docs_per_group: int = 8192,
     seed: int = 5,
     with_ids: bool = False,
+    added: bool = False,
 ) -> DataFrame:
     """Pieces of documents placed into sequences of at most ``capacity`` ids: ``doc_id, start,
     length, ids_crc32, doc_tokens, sequence_id, offset`` and, on request, ``ids``.
 
-    A document is its text's ids and a final 0; a null text has only that. It is cut into pieces
+    A document is its text's ids and a final 0; with ``added``, the string of an added token
+    inside a text is that token, as by the tokenizer's default, else it is plain text; a null text has only that. It is cut into pieces
     of full capacity and a rest. Documents are dealt into groups of about ``docs_per_group`` by
     a seeded hash of the id (null ids by position), and each group is packed on its own by
     first-fit decreasing, so a group's padding is that of its last sequences. Repeated rows are
@@ -180,7 +187,7 @@ def pack(
     schema += ", ids array<int>" if with_ids else ""
     groups = ceil_div(df.count(), docs_per_group) or 1
     pieces = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        cut_pieces(definition, capacity, with_ids), schema
+        cut_pieces(definition, capacity, with_ids, added), schema
     )
     place = F.xxhash64(F.coalesce("doc_id", F.monotonically_increasing_id()), F.lit(seed))
     return (

@@ -41,7 +41,7 @@ def op5_first_fit(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return pack(table(spark, folder, "documents"), path)
+    return pack(table(spark, folder, "documents"), path, added=True)
 
 
 def op6_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:

@@ -88,3 +88,24 @@ def test_pieces_and_sequences(spark, tokenizer, change):
 
 def test_empty_table(spark):
     assert pack(frame(spark, []), PATH).collect() == []
+
+
+@pytest.mark.parametrize("text", ["end of page<|endoftext|>next", "<|endoftext|>", "Ωд <|endoftext|> 漢ಅ"])
+def test_added_tokens_are_those_of_the_unmodified_tokenizer(text):
+    encoder = Encoder.of(open(PATH, encoding="utf-8").read(), added=True)
+    want = tokenizers.Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+    assert 50_256 in want
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want
+
+
+def test_the_query_and_the_pipeline_take_added_tokens(spark, tmp_path):
+    import corpus_pipeline
+
+    from starmill.llm.queries import op5_first_fit
+
+    text = "end of page<|endoftext|>next"
+    rows = frame(spark, [(1, text, "en", "src0", len(text))])
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    want = len(tokenizers.Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids) + 1
+    assert [r.doc_tokens for r in op5_first_fit(spark, str(tmp_path)).collect()] == [want]
+    assert [r.doc_tokens for r in corpus_pipeline.packing(spark, rows, "").collect()] == [want]
