@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starmill.llm.alignment import align
 from starmill.llm.chat import digest_chats, format_chats, replies_by_turn
 from starmill.llm.common import table
 from starmill.llm.fingerprints import fingerprint
@@ -76,6 +77,14 @@ def op10_noisy_or(spark: SparkSession, folder: str) -> DataFrame:
     return score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_fragment_monoid(spark: SparkSession, folder: str) -> DataFrame:
+    """Token links of all documents between a byte-level and a piece tokenizer."""
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return align(table(spark, folder, "documents"), *paths)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -89,6 +98,7 @@ QUERIES: dict[str, Query] = {
         op8_sainte_lague,
         op9_reply_trees,
         op10_noisy_or,
+        op11_fragment_monoid,
     )
 }
 

@@ -18,8 +18,8 @@ from starmill.llm.queries import ORACLES, QUERIES  # noqa: E402
 from starmill.llm.simhash import near_duplicates  # noqa: E402
 
 
-def test_ten_operators():
-    assert [f"op{n}" for n in range(1, 11)] == [name.split("_")[0] for name in QUERIES]
+def test_operators_in_their_order():
+    assert [f"op{n}" for n in range(1, len(QUERIES) + 1)] == [name.split("_")[0] for name in QUERIES]
 
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no driver tables here")
