@@ -11,6 +11,7 @@ from starmill.llm.chat import digest_chats, format_chats, replies_by_turn
 from starmill.llm.common import table
 from starmill.llm.fingerprints import fingerprint
 from starmill.llm.langid import identify
+from starmill.llm.lexical import rank
 from starmill.llm.mixing import mix
 from starmill.llm.neighbours import nearest
 from starmill.llm.packing import pack
@@ -85,6 +86,11 @@ def op11_fragment_monoid(spark: SparkSession, folder: str) -> DataFrame:
     return align(table(spark, folder, "documents"), *paths)
 
 
+def op12_norm_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """The 50 documents that rank highest for each benchmark item."""
+    return rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -99,6 +105,7 @@ QUERIES: dict[str, Query] = {
         op9_reply_trees,
         op10_noisy_or,
         op11_fragment_monoid,
+        op12_norm_buckets,
     )
 }
 
@@ -125,4 +132,38 @@ ORACLES: dict[str, str] = {
         FROM turns
         GROUP BY conv_id
     """,
+    "op12_norm_buckets": r"""
+        WITH found AS (
+            SELECT doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents
+        ), counts AS (
+            SELECT doc_id, term, count(*) AS tf FROM found GROUP BY doc_id, term
+        ), sizes AS (
+            SELECT doc_id, sum(tf)::BIGINT AS n FROM counts GROUP BY doc_id
+        ), totals AS (
+            SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM sizes
+        ), asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark
+        ), weights AS (
+            SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+            FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), totals
+        ), impacts AS (
+            SELECT doc_id, term,
+                   (1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // words)) AS impact
+            FROM counts JOIN sizes USING (doc_id), totals
+        ), scores AS (
+            SELECT item_id, doc_id, sum(w * impact)::BIGINT AS score
+            FROM asked JOIN weights USING (term) JOIN impacts USING (term)
+            GROUP BY item_id, doc_id
+        )
+        SELECT item_id, row_number() OVER best::INTEGER AS rank, doc_id, score
+        FROM scores WHERE score > 0
+        WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+        QUALIFY row_number() OVER best <= 50
+    """,
 }
