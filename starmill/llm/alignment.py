@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm.common import ready
-from starmill.llm.packing import Encoder
+from starmill.llm.packing import RARE, Encoder
 from starmill.session import stage
 
 #: Where a text may be cut: at a blank after a character that is no white space.
@@ -35,10 +35,12 @@ CUT = re.compile(r"(?<=\S) ")
 #: Present if some blank of the text is no cut.
 KEPT_BLANK = re.compile(r"(?:\A|\s) ")
 #: Words that are kept encoded in a worker, and the longest of them.
-WORDS_KEPT = 400_000
+WORDS_KEPT = 250_000
 LONGEST_KEPT = 200
+#: Characters of texts that are worked on at once.
+CHARS_AT_ONCE = 1 << 20
 #: Links that are held at once while id pairs are counted.
-LINKS_AT_ONCE = 4_000_000
+LINKS_AT_ONCE = 1_000_000
 BLANK = "▁"  # fixed value: how pieces write a blank
 FRAME = "row long, doc_id {kind}, part int"
 FRAGMENT = "prefix string, cut boolean, sound boolean, a binary, b binary, na binary, nb binary, suffix string"
@@ -143,9 +145,9 @@ class Aligner:
             return [text]
         return CUT.split(text) if KEPT_BLANK.search(text) else text.split(" ")
 
-    def align(self, words: list[str]) -> tuple[Closed, np.ndarray, list[np.ndarray]]:
-        """Groups of " " + word for each word; which words are sound; and where the ids of A,
-        those of B and the groups of each word begin."""
+    def encode_each(self, words: list[str]) -> tuple[list[np.ndarray], list[list[int]], np.ndarray]:
+        """Ids of both for " " + word, for each word by itself, and which words are sound; the
+        others get no ids."""
         a_ids = [np.frombuffer(self.first.encode(" " + w), "<u4") for w in words]
         b_ids = self.second.encode(words, num_threads=1)
         b_ids = [ids if w else self.lone_blank for w, ids in zip(words, b_ids, strict=True)]
@@ -158,11 +160,34 @@ class Aligner:
             )
             if not fits[i]:
                 a_ids[i], b_ids[i] = a_ids[i][:0], []
-        a = np.concatenate(a_ids).astype(np.int64)
-        b = np.array([n for ids in b_ids for n in ids], np.int64)
-        a_off = np.concatenate([[0], np.cumsum([len(x) for x in a_ids])])
-        b_off = np.concatenate([[0], np.cumsum([len(x) for x in b_ids])])
-        a_end, b_end = np.cumsum(self.first_size[a]), np.cumsum(self.second_size[b])
+        return a_ids, b_ids, fits
+
+    def align(self, words: list[str], together: bool) -> tuple[Closed, np.ndarray, list]:
+        """Groups of " " + word for each word; which words are sound; and where the ids of A,
+        those of B and the groups of each word begin. Words that are ``plain`` may be encoded
+        ``together``, as one text that has a cut between any two."""
+        if together:
+            text = " ".join(words)
+            a = np.frombuffer(self.first.encode(" " + text), "<u4").astype(np.int64)
+            b_ids = self.second.encode(text)
+            want = b" " + text.encode()
+            if (
+                b"".join([self.first_bytes[n] for n in a.tolist()]) != want
+                or b"".join([self.second_bytes[n] for n in b_ids]) != want
+            ):
+                return self.align(words, False)
+            b, fits = np.array(b_ids, np.int64), np.ones(len(words), bool)
+            last = np.cumsum([len(w) + 1 if w.isascii() else len(w.encode()) + 1 for w in words])
+            a_end, b_end = np.cumsum(self.first_size[a]), np.cumsum(self.second_size[b])
+            a_off = np.concatenate([[0], np.searchsorted(a_end, last) + 1])
+            b_off = np.concatenate([[0], np.searchsorted(b_end, last) + 1])
+        else:
+            a_ids, b_ids, fits = self.encode_each(words)
+            a = np.concatenate(a_ids).astype(np.int64)
+            b = np.array([n for ids in b_ids for n in ids], np.int64)
+            a_off = np.concatenate([[0], np.cumsum([len(x) for x in a_ids])])
+            b_off = np.concatenate([[0], np.cumsum([len(x) for x in b_ids])])
+            a_end, b_end = np.cumsum(self.first_size[a]), np.cumsum(self.second_size[b])
         ends = np.intersect1d(a_end, b_end, assume_unique=True)
         a_at = np.searchsorted(a_end, ends) + 1
         b_at = np.searchsorted(b_end, ends) + 1
@@ -175,48 +200,97 @@ class Aligner:
         g_off = np.concatenate([[0], np.searchsorted(a_at, a_off[1:], side="right")])
         return groups, fits, [a_off, b_off, g_off]
 
+    def plain(self, word: str) -> bool:
+        """Whether a blank after the word is a cut and both libraries take it as it is."""
+        return (
+            self.cuttable
+            and bool(word)
+            and not word[-1].isspace()
+            and (word.isascii() or (BLANK not in word and not RARE.search(word)))
+        )
+
     def learn(self, words: list[str]) -> None:
-        got, fits, offs = self.align(words)
-        for w in words:
-            self.known[w] = len(self.known)
-        self.flat = Closed.joined([self.flat, got])
-        self.sound = np.concatenate([self.sound, fits])
-        self.off = [
-            np.concatenate([old, old[-1] + new[1:]]) for old, new in zip(self.off, offs, strict=True)
-        ]
+        sorts = [[w for w in words if self.plain(w)], [w for w in words if not self.plain(w)]]
+        for chosen, together in zip(sorts, (True, False), strict=True):
+            if not chosen:
+                continue
+            got, fits, offs = self.align(chosen, together)
+            self.known.update(zip(chosen, range(len(self.known), len(self.known) + len(chosen))))
+            self.flat = Closed.joined([self.flat, got])
+            self.sound = np.concatenate([self.sound, fits])
+            self.off = [
+                np.concatenate([old, old[-1] + new[1:]])
+                for old, new in zip(self.off, offs, strict=True)
+            ]
 
     def close(self, texts: list[str]) -> list[Closed]:
         """The groups of " " + text for each text."""
+        out, held, chars = [], [], 0
+        for text in texts:
+            held.append(text)
+            chars += len(text)
+            if chars > CHARS_AT_ONCE:
+                out += self.close_few(held)
+                held, chars = [], 0
+        return out + self.close_few(held)
+
+    def close_few(self, texts: list[str]) -> list[Closed]:
+        if not texts:
+            return []
         if len(self.known) > WORDS_KEPT:
             self.forget()
         split = [self.words(text) for text in texts]
-        new = {w for words in split for w in words if len(w) <= LONGEST_KEPT}
+        new = set().union(*split)
         new -= self.known.keys()
+        long = {w for w in new if len(w) > LONGEST_KEPT}
+        new -= long
         if new:
             self.learn(sorted(new))
-        out = []
+        runs, pieces = [], []  # runs of kept words; texts as numbers of runs and long words
         for words in split:
-            parts, run = [], []
-            for w in words:
-                if len(w) <= LONGEST_KEPT:
-                    run.append(self.known[w])
-                    continue
-                if run:
-                    parts.append(self._look(run))
+            if not long or long.isdisjoint(words):
+                pieces.append([len(runs)])
+                runs.append(words)
+                continue
+            pieces.append([])
+            run: list[str] = []
+            for w in [*words, None]:
+                if w is None or w in long:
+                    if run:
+                        pieces[-1].append(len(runs))
+                        runs.append(run)
+                    if w is not None:
+                        pieces[-1].append(w)
                     run = []
-                got, fits, _ = self.align([w])
-                got.sound = bool(fits.all())
-                parts.append(got)
-            if run:
-                parts.append(self._look(run))
-            out.append(Closed.joined(parts))
-        return out
+                else:
+                    run.append(w)
+        looked = self.look(runs)
+        return [
+            Closed.joined([looked[p] if isinstance(p, int) else self.lone(p) for p in parts])
+            for parts in pieces
+        ]
 
-    def _look(self, run: list[int]) -> Closed:
-        chosen = np.array(run)
-        a, b, g = (ragged(off, chosen) for off in self.off)
+    def lone(self, word: str) -> Closed:
+        """The groups of a word that is not kept."""
+        got, fits, _ = self.align([word], False)
+        got.sound = bool(fits.all())
+        return got
+
+    def look(self, runs: list[list[str]]) -> list[Closed]:
+        """The groups of runs of kept words, all gathered at once."""
+        if not runs:
+            return []
+        find = self.known.__getitem__
+        chosen = np.array([n for run in runs for n in map(find, run)])
+        ends = np.cumsum([len(run) for run in runs])
         flat = self.flat
-        return Closed(flat.a[a], flat.b[b], flat.na[g], flat.nb[g], bool(self.sound[chosen].all()))
+        arrays = []
+        for off, names in zip(self.off, (("a",), ("b",), ("na", "nb")), strict=True):
+            places = ragged(off, chosen)
+            cuts = np.cumsum(off[chosen + 1] - off[chosen])[ends - 1][:-1]
+            arrays += [np.split(getattr(flat, n)[places], cuts) for n in names]
+        unsound = np.add.reduceat(~self.sound[chosen], np.concatenate([[0], ends[:-1]]), dtype=int)
+        return [Closed(*x, not bad) for *x, bad in zip(*arrays, unsound.tolist(), strict=True)]
 
 
 # -- fragments -------------------------------------------------------------------------------
@@ -402,9 +476,16 @@ def links_of(a, b, na, nb, n_second: int) -> Iterator[tuple[np.ndarray, np.ndarr
     """The distinct id pairs of a document, as a * n_second + b, and how many links each has;
     in blocks of disjoint pairs, since a long group may have very many."""
     group = np.repeat(np.arange(len(na)), na)
+    total = int((na * nb).sum())
+    if total <= min(LINKS_AT_ONCE, 8 * (len(a) + len(b)) + 1000):
+        if total:
+            b_off = np.concatenate([[0], np.cumsum(nb)])
+            codes = np.repeat(a, nb[group]) * n_second + b[ragged(b_off, group)]
+            yield np.unique(codes, return_counts=True)
+        return
     weight = np.ones(len(a), np.int64)
     b_weight = np.ones(len(b), np.int64)
-    if int((na * nb).sum()) > 8 * (len(a) + len(b)) + 1000:
+    if total > 8 * (len(a) + len(b)) + 1000:
         # Long groups: equal ids of a group as one, with a weight.
         packed, weight = np.unique(group << 32 | a, return_counts=True)
         group, a = packed >> 32, packed & 0xFFFFFFFF
@@ -461,24 +542,25 @@ def count_pairs(n_second: int):
 
 
 @cache
-def group_texts(n: int) -> list[np.ndarray]:
-    """An id as text, followed by what stands between tokens, tokenizers and groups."""
-    return [np.array([f"{i}{end}" for i in range(n)], object) for end in ",|;"]
+def group_texts(n: int) -> np.ndarray:
+    """Ids as text, with what ends them: a comma, from ``n`` on the sign between tokenizers, and
+    from 2 n on the one between groups."""
+    return np.array([f"{i}{end}" for end in ",|;" for i in range(n)], object)
 
 
-def digest(a, b, na, nb, texts: list[np.ndarray]) -> str:
+def digest(a, b, na, nb, texts: np.ndarray) -> str:
     """The hash of all groups written out; the empty text if there are none."""
     if not len(na):
         return ""
-    out = np.empty(len(a) + len(b), object)
-    a_group, b_group = np.repeat(np.arange(len(na)), na), np.repeat(np.arange(len(nb)), nb)
+    n = len(texts) // 3
+    which = np.empty(len(a) + len(b), np.int64)
     a_total, b_total = np.cumsum(na), np.cumsum(nb)
-    a_at = np.arange(len(a)) + (b_total - nb)[a_group]
-    b_at = np.arange(len(b)) + a_total[b_group]
-    out[a_at], out[b_at] = texts[0][a], texts[0][b]
-    out[a_at[a_total - 1]] = texts[1][a[a_total - 1]]
-    out[b_at[b_total - 1]] = texts[2][b[b_total - 1]]
-    written = "".join(out.tolist())
+    a_at = np.arange(len(a)) + np.repeat(b_total - nb, na)
+    b_at = np.arange(len(b)) + np.repeat(a_total, nb)
+    which[a_at], which[b_at] = a, b
+    which[a_at[a_total - 1]] += n
+    which[b_at[b_total - 1]] += 2 * n
+    written = "".join(texts[which].tolist())
     return hashlib.sha256(written[:-1].encode()).hexdigest()
 
 
@@ -519,7 +601,7 @@ def aligned_tokens(
     id_col: str = "doc_id",
     text_col: str = "text",
     part_chars: int = 1 << 16,
-    lot_tokens: int = 2_000_000,
+    lot_tokens: int = 4_000_000,
 ) -> DataFrame:
     """The tokens of each text by two tokenizers and how they group: ``lot, doc_id, a, b, na, nb``
     with packed ids (``read_tokens``) and numbers of ids per group; written and read back.
@@ -571,7 +653,7 @@ def align(
     id_col: str = "doc_id",
     text_col: str = "text",
     part_chars: int = 1 << 16,
-    lot_tokens: int = 2_000_000,
+    lot_tokens: int = 4_000_000,
 ) -> DataFrame:
     """Per document the tokens of " " + text by two tokenizers and how they are linked: ``doc_id,
     n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256``.
