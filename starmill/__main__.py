@@ -23,6 +23,7 @@ from pyspark.sql import SparkSession
 
 from starmill.plans import exploration, immigration, listening, music
 from starmill.session import use_utc
+from starmill.sources import stage_raw
 
 SIDE_FILES = ("demographics", "temperatures", "airports", "codes")
 
@@ -36,14 +37,16 @@ def _parser() -> argparse.ArgumentParser:
         job = jobs.add_parser(name)
         for option in ("--songs", "--log", "--out"):
             job.add_argument(option, required=True)
+        job.add_argument("--allowance", type=int, default=0, help="bad records to put up with")
         if name in ("warehouse", "scheduled"):
             job.add_argument("--database", default="default")
         if name == "scheduled":
-            job.add_argument("--fact-mode", default="append", choices=["append", "insert_ignore"])
+            job.add_argument("--fact-mode", default="append", choices=["append", "insert_ignore", "once"])
             job.add_argument("--context", nargs="*", default=[], metavar="NAME=VALUE")
     job = jobs.add_parser("history")
     for option in ("--exports", "--out"):
         job.add_argument(option, required=True)
+    job.add_argument("--allowance", type=int, default=0, help="bad records to put up with")
     for name, outputs in (("immigration", ["out", "reports"]), ("explore", ["out"])):
         job = jobs.add_parser(name)
         for option in ("records", *SIDE_FILES, *outputs):
@@ -65,15 +68,19 @@ def _inputs(spark: SparkSession, args: argparse.Namespace) -> immigration.Inputs
     records = immigration.read_immigration(
         spark, args.records, args.format, args.month_file, _pairs(args.option)
     )
+    if args.format not in ("parquet", "orc"):
+        records = stage_raw(records, "immigration")  # parsed once for all tables
     paths = {name: getattr(args, name) for name in SIDE_FILES}
     return immigration.read_inputs(spark, records, paths, args.strict)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "lake":
-        music.build_lake(spark, args.songs, args.log, args.out)
+        music.build_lake(spark, args.songs, args.log, args.out, allowance=args.allowance)
     elif args.job == "warehouse":
-        music.load_warehouse(spark, args.songs, args.log, args.out, args.database)
+        music.load_warehouse(
+            spark, args.songs, args.log, args.out, args.database, allowance=args.allowance
+        )
     elif args.job == "scheduled":
         report = music.run_scheduled(
             spark,
@@ -82,15 +89,15 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             args.out,
             args.database,
             fact_mode=args.fact_mode,
+            allowance=args.allowance,
             **_pairs(args.context),
         )
         for row in report.collect():  # one row per check
             print(*row)
     elif args.job == "increment":
-        songs, log = music.read_songs(spark, args.songs), music.read_log(spark, args.log)
-        music.load_increment(spark, songs, log, args.out)
+        music.run_increment(spark, args.songs, args.log, args.out, allowance=args.allowance)
     elif args.job == "history":
-        listening.build_history(spark, args.exports, args.out)
+        listening.build_history(spark, args.exports, args.out, args.allowance)
     elif args.job == "immigration":
         tables = immigration.build_immigration(spark, _inputs(spark, args), args.out, args.strict)
         immigration.save_reports(tables, args.reports, nation=args.nation)

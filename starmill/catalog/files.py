@@ -13,6 +13,7 @@ from starmill.sources import (
     read_inferred,
     read_json,
     read_json_mapped,
+    read_quoted,
     render_path,
     stage_raw,
 )
@@ -143,3 +144,20 @@ def layout_bucketed_join(t):
     return joined.groupBy("o_orderkey", "o_custkey").agg(
         F.count("*").alias("line_count"), F.sum("l_quantity").alias("quantity")
     )
+
+
+@query("""
+SELECT p_partkey, replace(p_name, ' ', chr(10)) AS p_name,
+       'a "' || p_brand || '",' || chr(10) || chr(10) || p_type AS note
+FROM part
+""")
+def roundtrip_csv_line_breaks(t):
+    """Line breaks, quotes and commas inside quoted fields, in files that are read in splits."""
+    path = t.path("breaks")
+    parts = t.part.select(
+        "p_partkey",
+        F.replace("p_name", F.lit(" "), F.lit("\n")).alias("p_name"),
+        F.concat(F.lit('a "'), "p_brand", F.lit('",\n\n'), "p_type").alias("note"),
+    )
+    load.save_quoted_csv(parts, path)
+    return read_quoted(t.spark, path, parts.schema).drop("file", "block", "line")

@@ -15,7 +15,14 @@ from starmill.operators.nulls import drop_nulls
 from starmill.operators.profile import column_profile, greatest_deviation, group_sum
 from starmill.operators.quality import coverage
 from starmill.plans import exploration, immigration, listening, music
-from starmill.schemas import PLAY_LOG_CSV, SONG_SESSION, USER_LISTENS, USER_SESSIONS, struct
+from starmill.schemas import (
+    PLAY_LOG_CSV,
+    SONG_SESSION,
+    USER_LISTENS,
+    USER_SESSIONS,
+    TableSpec,
+    struct,
+)
 from starmill.sources import read_delimited
 
 # -- music -----------------------------------------------------------------------------------
@@ -180,6 +187,95 @@ def _increments(t: Tables):
     return tables
 
 
+@query("""
+SELECT 'broken' AS reasons, '{"cut off": ' || event_id AS record FROM events WHERE event_id % 50 = 0
+UNION ALL
+SELECT 'not_null session_id;not_null ts', '{"page":"Page ' || event_id || '"}'
+FROM events WHERE event_id % 70 = 0
+UNION ALL
+SELECT 'max_length page;cast ts', '{"page":"' || repeat('x', 26) || '","session_id":"'
+       || event_id || '","ts":1.0E20}'
+FROM events WHERE event_id % 90 = 0
+""")
+def bulk_load_rejects(t):
+    """What a bulk load leaves out of a log and lists: lines that are cut off, records without
+    their required values, and some with a time out of range and a text too long."""
+    songs, log = derived.write_music(t)
+    number = F.col("event_id").cast("string")
+    kinds = {
+        50: F.concat(F.lit('{"cut off": '), number),
+        70: F.concat(F.lit('{"page": "Page '), number, F.lit('"}')),
+        90: F.concat(F.lit(f'{{"page": "{"x" * 26}", "ts": 1e20, "sessionId": "'), number, F.lit('"}')),
+    }
+    for every, text in kinds.items():
+        t.events.where(F.col("event_id") % every == 0).select(text).write.mode("append").text(log)
+    database, location = _database(t), t.path("warehouse")
+    try:
+        music.load_warehouse(t.spark, songs, log, location, database, allowance=10**9)
+    finally:
+        t.spark.sql(f"DROP DATABASE {database} CASCADE")
+    listed = t.spark.read.json(music.rejects_at(location))
+    return listed.select(F.array_join("reasons", ";").alias("reasons"), "record")
+
+
+@query(_MUSIC + f"""
+SELECT md5(session_id || {_SECONDS}::VARCHAR) AS songplay_id, {_SECONDS} AS start_time, user_id,
+       level, song_id, artist_id, session_id, location, user_agent
+FROM plays LEFT JOIN songs_raw ON song = title AND artist = artist_name AND length = duration
+""")
+def scheduled_once(t):
+    """Three runs over the same log files, which are taken once."""
+    songs, log = derived.write_music(t)
+    database, location = _database(t), t.path("scheduled")
+    try:
+        for _ in range(3):
+            music.run_scheduled(t.spark, songs, log, location, database, fact_mode="once")
+    finally:
+        t.spark.sql(f"DROP DATABASE {database} CASCADE")
+    plays = t.spark.read.schema(music.SONGPLAYS_BY_LOAD.schema).parquet(f"{location}/songplays")
+    return plays.drop("load", "year", "month")
+
+
+@query(_MUSIC + """, songs AS (
+    SELECT title, artist_name, duration, min(song_id) AS song_id, min(artist_id) AS artist_id
+    FROM songs_raw GROUP BY ALL)
+SELECT make_timestamp(ts * 1000) AS start_time, user_id, level, song_id, artist_id, session_id,
+       location, user_agent
+FROM plays LEFT JOIN songs ON song = title AND artist = artist_name AND length = duration
+""")
+def increment_of_files(t):
+    """Two runs over folders of files; the second finds none that is new."""
+    songs, log = derived.write_music(t)
+    out = t.path("increment")
+    for _ in range(2):
+        tables = music.run_increment(t.spark, songs, log, out)
+    return tables["songplays"].drop("songplay_id", "year", "month")
+
+
+@query("""
+SELECT user_id, arg_max(event_type, (ts, event_id)) AS last_type, max(ts) AS last_time
+FROM events GROUP BY user_id
+""")
+def keyed_upsert_by_bucket(t):
+    """Users merged into a keyed table by batches of four days, each of which rewrites only the
+    buckets of its users."""
+    spec = TableSpec(
+        "seen", "user_id BIGINT, last_type STRING, last_time TIMESTAMP", ("user_id",), ("user_id",)
+    )
+    path = t.path("seen")
+    rows = t.events.select(
+        "user_id", F.col("event_type").alias("last_type"), F.col("ts").alias("last_time"), "event_id"
+    )
+    batch = F.floor(F.dayofyear("last_time") / 4)
+    numbers = [r[0] for r in rows.select(batch).distinct().collect()]
+    for n in sorted(numbers):
+        load.upsert_into(
+            path, rows.where(batch == n), ["user_id"], ["last_time", "event_id"],
+            ["last_type", "last_time"], spec, buckets=16,
+        )
+    return load.read_version(t.spark, path, spec.schema)
+
+
 # -- listening history -----------------------------------------------------------------------
 
 _HISTORY = "WITH " + derived.LOG_SQL + ", history AS (SELECT * FROM log_raw WHERE artist IS NOT NULL)"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from starmill.functions import as_column
 from starmill.operators.keyed import first_per_key
 from starmill.operators.nulls import drop_nulls
+from starmill.session import stage
 
 
 @dataclass(frozen=True)
@@ -69,6 +70,73 @@ def equi_join(
     return joined.withColumnsRenamed({f"__take_{name}": name for name in take})
 
 
+def hot_keys(
+    left: DataFrame, right: DataFrame, on: Mapping[str, str], parts: int
+) -> DataFrame:
+    """The keys whose joined rows are more than one of ``parts`` even shares of all joined rows,
+    with the number of shares each makes up: (__k0, ..., __parts).
+
+    Both sides are counted per key before anything is joined. There are fewer such keys than
+    ``parts``, however large the tables are.
+    """
+    keys = [f"__k{i}" for i in range(len(on))]
+
+    def counted(df: DataFrame, columns: Iterable[str], name: str) -> DataFrame:
+        named = df.select(*[F.col(c).alias(k) for c, k in zip(columns, keys)])
+        return named.na.drop().groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+
+    made = (
+        counted(left, on.keys(), "__left")
+        .join(counted(right, on.values(), "__right"), keys)
+        .select(*keys, "__left", (F.col("__left") * F.col("__right")).alias("__made"))
+    )
+    total = made.agg(F.sum("__made").alias("__total"))
+    share = F.col("__total") / F.lit(parts)
+    # More parts than rows of the left side would leave some without any.
+    shares = F.least(F.ceil(F.col("__made") / share), F.col("__left")).cast("int")
+    return (
+        made.join(F.broadcast(total))
+        .where((F.col("__made") > share) & (F.col("__left") > 1))
+        .select(*keys, shares.alias("__parts"))
+    )
+
+
+def spread_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: Mapping[str, str],
+    take: Mapping[str, str],
+    how: str = "left",
+    parts: int | None = None,
+) -> DataFrame:
+    """``equi_join`` for keys that may be frequent on both sides, so that their joined rows are far
+    more than the rows of either: a pre-pass counts rows per key, and only hot keys are split.
+
+    A left row of a hot key goes to one of the key's parts by a hash of its values, a right row to
+    each of them. ``parts`` is by default twice the number of shuffle partitions.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("splitting keys is defined for inner and left joins")
+    spark = left.sparkSession
+    parts = parts or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hot = stage(hot_keys(left, right, on, parts), "hot-keys")
+    if hot.isEmpty():
+        return equi_join(left, right, on, take, how)
+    keys = [f"__k{i}" for i in range(len(on))]
+
+    def with_parts(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+        same = [F.col(c) == F.col(k) for c, k in zip(columns, keys)]
+        joined = df.join(F.broadcast(hot), reduce(lambda a, b: a & b, same), "left")
+        return joined.withColumn("__parts", F.coalesce("__parts", F.lit(1))).drop(*keys)
+
+    one = F.pmod(F.xxhash64(*left.columns), F.col("__parts")).cast("int")
+    lefts = with_parts(left, on.keys()).withColumn("__one", one).drop("__parts")
+    every = F.explode(F.sequence(F.lit(0), F.col("__parts") - 1))
+    rights = with_parts(right, on.values()).withColumn("__every", every).drop("__parts")
+    joined = equi_join(lefts, rights, {**on, "__one": "__every"}, take, how)
+    return joined.drop("__one")
+
+
 def fact(df: DataFrame, joins: Sequence[DimJoin], verify: bool = False) -> DataFrame:
     """Attach dimension columns to each row of ``df`` by a chain of joins.
 

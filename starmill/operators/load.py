@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import replace
 from functools import reduce
 from operator import and_
 
@@ -11,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmill.operators.contracts import Load, refuse
+from starmill.operators.dataset import Dataset, Files
 from starmill.operators.keyed import first_per_key, last_per_key
 from starmill.schemas import TableSpec
 
@@ -37,6 +40,34 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     rows.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
+def replace_folders(spark: SparkSession, moves: Mapping[str, str]) -> None:
+    """Put written folders, ``{target: written}``, in place of their targets. What was there is
+    moved aside first and comes back if a move fails; it goes once all are in place."""
+    done: list[tuple[str, str | None]] = []
+    files = None
+    try:
+        for target, written in moves.items():
+            files = Files(spark, target)
+            aside = f"{written}.old" if files.exists(target) else None
+            if aside:
+                files.move(target, aside)
+            done.append((target, aside))
+            files.move(written, target)
+    except Exception:
+        for target, aside in reversed(done):
+            if aside:
+                files.delete(target)
+                files.move(aside, target)
+        raise
+    for _, aside in done:
+        if aside:
+            files.delete(aside)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    Files(spark, path).delete(path)
+
+
 def save_report(df: DataFrame, path: str) -> None:
     """A CSV report with a header; an existing target is an error."""
     df.write.mode("errorifexists").option("header", True).csv(path)
@@ -85,6 +116,19 @@ def load_table(df: DataFrame, table: str, mode: str = "append") -> None:
     df.write.insertInto(table, overwrite=mode == "overwrite")
 
 
+def overwrite_partition(df: DataFrame, table: str, partition: Mapping[str, str]) -> None:
+    """Make ``df`` the content of the partitions of a table with the given values, whatever other
+    columns it is partitioned by besides. Repeating it changes nothing."""
+    spark = df.sparkSession
+    fixed = ", ".join(f"`{c}` = '{v}'" for c, v in partition.items())
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    free = [c for c in parts if c not in partition]
+    plain = [c for c in spark.table(table).columns if c not in parts]
+    listed = ", ".join(f"`{c}`" for c in [*plain, *free])
+    spec = ", ".join([fixed, *[f"`{c}`" for c in free]])
+    spark.sql(f"INSERT OVERWRITE {table} PARTITION ({spec}) SELECT {listed} FROM {{rows}}", rows=df)
+
+
 def insert_columns(df: DataFrame, table: str, columns: Sequence[str]) -> None:
     """Append to the listed columns of ``table``; the others become null."""
     listed = ", ".join(f"`{c}`" for c in columns)
@@ -132,50 +176,49 @@ def accept(df: DataFrame, spec: TableSpec, allowance: int = 0) -> DataFrame:
     return conform(df, spec)
 
 
-# -- versions --------------------------------------------------------------------------------
+# -- keyed tables ----------------------------------------------------------------------------
+
+#: The table of a dataset that holds nothing else.
+ROWS = "rows"
 
 
-def _folder(spark: SparkSession, path: str):
-    """The file system of ``path`` and its path object."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+def keyed_table(spark: SparkSession, path: str) -> Dataset:
+    """The dataset of a keyed table. A folder that holds anything else is refused: taken for a new
+    table, what is there would no longer be seen."""
+    data = Dataset(spark, path)
+    foreign = {*data.files.names(path)} - {ROWS, "_commits", "_ledger"}
+    if foreign:
+        raise ValueError(f"{path} is no keyed table: it holds {', '.join(sorted(foreign)[:3])}")
+    return data
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
-    """The complete versions of the table at ``path``, in order.
+    """The commits of the keyed table at ``path`` that can still be read, in order."""
+    return keyed_table(spark, path).numbers()
 
-    A version is a folder ``v<number>``. Spark marks it by a ``_SUCCESS`` file once all its
-    files are in place, so a folder without one was left by a run that died.
-    """
-    fs, place = _folder(spark, path)
-    if not fs.exists(place):
-        return []
-    below = spark._jvm.org.apache.hadoop.fs.Path
-    names = [status.getPath().getName() for status in fs.listStatus(place) if status.isDirectory()]
-    numbers = sorted(int(name[1:]) for name in names if name[0] == "v" and name[1:].isdigit())
-    return [n for n in numbers if fs.exists(below(f"{path}/v{n}/_SUCCESS"))]
-
-
-def read_version(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The newest complete version of a table, or no rows if there is none."""
-    found = versions(spark, path)
-    if not found:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/v{found[-1]}")
 
+def read_version(
+    spark: SparkSession, path: str, schema: T.StructType, number: int | None = None
+) -> DataFrame:
+    """A keyed table as of its last commit or another; no rows if there is none."""
+    data = keyed_table(spark, path)
+    return data.read(ROWS, schema, data.commit(number))
 
-def write_version(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Write the next version of a table, then remove the ones before it.
 
-    Readers see the old version until the new one is complete; a run that dies half-way leaves
-    the old one, and the next run overwrites what it left.
-    """
-    spark = df.sparkSession
-    old = versions(spark, path)
-    overwrite(df, f"{path}/v{old[-1] + 1 if old else 1}", partition_by)
-    fs, _ = _folder(spark, path)
-    for n in old:
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v{n}"), True)
+def _merge_into(
+    path: str,
+    incoming: DataFrame,
+    spec: TableSpec,
+    merged: Callable[[DataFrame, DataFrame], DataFrame],
+    buckets: int,
+) -> None:
+    """Rewrite the buckets of a keyed table that a batch touches, by one commit; the commit before
+    stays for its readers."""
+    data = keyed_table(incoming.sparkSession, path)
+    with data.change() as change:
+        change.merge(ROWS, incoming, spec, merged, buckets)
+        change.publish()
+    data.vacuum()
 
 
 # -- keyed merges ----------------------------------------------------------------------------
@@ -282,24 +325,36 @@ def upsert_into(
     order: Sequence[str],
     update: Sequence[str],
     spec: TableSpec,
+    buckets: int = 64,
 ) -> None:
-    """Upsert into the versioned table at ``path``; a failure leaves the version before."""
-    existing = read_version(incoming.sparkSession, path, spec.schema)
-    merged = conform(upsert(existing, incoming, key, order, update), spec)
-    write_version(merged, path, spec.partition_by)
+    """Upsert into the keyed table at ``path``. Only buckets with keys of the batch are read and
+    rewritten; a failure leaves the table as it was."""
+    spec = replace(spec, key=tuple(key))
+
+    def merged(existing: DataFrame, batch: DataFrame) -> DataFrame:
+        return upsert(existing, batch, key, order, update)
+
+    _merge_into(path, with_whole_keys(incoming, key), spec, merged, buckets)
 
 
 def last_write_into(
-    path: str, incoming: DataFrame, key: Sequence[str], order: Sequence[str], spec: TableSpec
+    path: str,
+    incoming: DataFrame,
+    key: Sequence[str],
+    order: Sequence[str],
+    spec: TableSpec,
+    buckets: int = 64,
 ) -> None:
-    """Load incoming rows over the versioned table at ``path``: they replace rows of the same
-    key. A failure leaves the version before."""
-    existing = read_version(incoming.sparkSession, path, spec.schema)
-    latest = conform(last_write_wins(with_whole_keys(incoming, key), key, order), spec)
-    untouched = existing.join(latest.select(*key), list(key), "left_anti").select(
-        *existing.columns
-    )
-    write_version(untouched.unionByName(latest), path, spec.partition_by)
+    """Load incoming rows over the keyed table at ``path``: they replace rows of the same key. Only
+    buckets with keys of the batch are read and rewritten; a failure leaves the table as it was."""
+    spec = replace(spec, key=tuple(key))
+
+    def merged(existing: DataFrame, batch: DataFrame) -> DataFrame:
+        latest = last_write_wins(batch, key, order).select(*existing.columns)
+        untouched = existing.join(latest.select(*key), list(key), "left_anti")
+        return untouched.select(*existing.columns).unionByName(latest)
+
+    _merge_into(path, with_whole_keys(incoming, key), spec, merged, buckets)
 
 
 # -- layouts ---------------------------------------------------------------------------------

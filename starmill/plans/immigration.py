@@ -20,6 +20,7 @@ from starmill.functions import (
     upper_text,
 )
 from starmill.operators import load
+from starmill.operators.dataset import Dataset
 from starmill.operators.dims import argmax_by_group, dimension, surrogate_key, time_dim
 from starmill.operators.facts import DimJoin, equi_join, fact, lookup_one, with_labels
 from starmill.operators.nulls import drop_nulls
@@ -39,7 +40,7 @@ from starmill.schemas import (
     VISA_ISSUER,
     TableSpec,
 )
-from starmill.session import stage, together, use_utc
+from starmill.session import together, use_utc
 from starmill.sources import read_code_tables, read_delimited, read_format, render_path
 
 # Labels of unknown codes, the country reported on, and the earliest date kept.
@@ -315,33 +316,47 @@ def build_dims(decoded: DataFrame, inputs: Inputs) -> dict[str, DataFrame]:
 
 
 def build_immigration(
-    spark: SparkSession, inputs: Inputs, out: str, strict: bool = False
+    spark: SparkSession, inputs: Inputs, out: str, strict: bool = False, allowance: int = 0
 ) -> dict[str, DataFrame]:
-    """Dimensions, their checks, then the fact from the staged dimensions; all under ``out``.
-
-    Staging first means that the keys in the fact are the keys in the files, and that joins see
-    the written sizes. Tables are published once all checks have passed, so that a failed check
-    leaves those of the last run. The checks include that ids are unique, and as an id is
-    computed from the columns the fact is joined on, that no join repeats a record.
+    """Dimensions, their checks, then the fact from the written dimensions; all in the dataset
+    ``out``, by one commit.
+
+    Written first, the keys in the fact are the keys in the files, and joins see the written sizes.
+    Nothing is live before all checks have passed, so a run that fails or dies leaves all seven
+    tables of the last run. The checks include that ids are unique, and as an id is computed from
+    the columns the fact is joined on, that no join repeats a record. Rows that break the contract
+    of their table are counted as they are written: more than ``allowance`` stop the job.
     """
     use_utc(spark)
-
-    def publish(name: str) -> DataFrame:
-        spec = SPECS[name]
-        load.overwrite(staged[name], f"{out}/{name}", spec.partition_by)
-        return spark.read.schema(spec.schema).parquet(f"{out}/{name}")
-
-    def check(names) -> None:
-        enforce(run_checks({name: (staged[name], CheckSpec.of(SPECS[name])) for name in names}))
-
+    data = Dataset(spark, out)
     decoded = decode(inputs.immigration, strict)
-    dims = build_dims(decoded, inputs)
-    staged = together(spark, {name: partial(stage, df, name) for name, df in dims.items()})
-    check(staged)
-    facts = immigrations_fact(decoded, inputs.codes, staged)
-    staged["immigrations"] = stage(facts, "immigrations")
-    check(["immigrations"])
-    return together(spark, {name: partial(publish, name) for name in staged})
+    with data.change() as change:
+
+        def write(name: str, df: DataFrame) -> DataFrame:
+            change.replace(name, df, SPECS[name], allowance)
+            return change.read(name, SPECS[name].schema)
+
+        def check(tables: Mapping[str, DataFrame]) -> None:
+            enforce(
+                run_checks({name: (df, CheckSpec.of(SPECS[name])) for name, df in tables.items()})
+            )
+
+        dims = build_dims(decoded, inputs)
+        written = together(spark, {name: partial(write, name, df) for name, df in dims.items()})
+        change.refuse()
+        check(written)
+        facts = immigrations_fact(decoded, inputs.codes, written)
+        check({"immigrations": write("immigrations", facts)})
+        change.publish()
+    data.vacuum()
+    return read_star(spark, out)
+
+
+def read_star(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """The seven tables of ``build_immigration``, all of the same commit."""
+    data = Dataset(spark, out)
+    commit = data.commit()
+    return {name: data.read(name, spec.schema, commit) for name, spec in SPECS.items()}
 
 
 # The folders of the reports.

@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.operators import load
+from starmill.operators.contracts import BROKEN, admit
 from starmill.operators.dims import project
 from starmill.operators.reports import lookup_rows
 from starmill.schemas import PLAY_LOG_CSV, SONG_SESSION, USER_LISTENS, USER_SESSIONS, TableSpec
 from starmill.session import use_utc
-from starmill.sources import arrival, read_delimited, stage_raw
+from starmill.sources import read_quoted
+from starmill.sources.quoted import PLACE
 
 # The columns of the clean extract.
 EXTRACT = [
@@ -32,12 +34,23 @@ ORIGIN = {
 }
 
 
+EXPORTS = TableSpec("exports", ", ".join(f"{c} STRING" for c in EXTRACT))
+
+
+def scan_history(spark: SparkSession, path: str) -> DataFrame:
+    """All records of a folder of exports with their places, and the text of those that do not
+    fit the columns. Fields may hold line breaks."""
+    records = read_quoted(spark, path, PLAY_LOG_CSV, recursive=True, broken=BROKEN)
+    return records.select(*EXTRACT, BROKEN, *PLACE)
+
+
+def songs_only(records: DataFrame) -> DataFrame:
+    return records.filter(F.col("artist").isNotNull() & (F.col("artist") != ""))
+
+
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """All exports of a folder, songs only, with the place each line was found at."""
-    lines = read_delimited(spark, path, PLAY_LOG_CSV, recursive=True)
-    return lines.select(*EXTRACT, *arrival()).filter(
-        F.col("artist").isNotNull() & (F.col("artist") != "")
-    )
+    """All exports of a folder, songs only, with the place each record was found at."""
+    return songs_only(scan_history(spark, path).drop(BROKEN))
 
 
 def save_extract(history: DataFrame, path: str, one_file: bool = False) -> None:
@@ -48,7 +61,7 @@ def query_table(history: DataFrame, spec: TableSpec) -> DataFrame:
     """The rows of one query table: a later line replaces an earlier one of the same key."""
     columns = {f.name: ORIGIN[f.name] for f in spec.schema.fields}
     typed = {name: F.col(c).cast(spec.schema[name].dataType) for name, c in columns.items()}
-    place = ["file", "block", "line"]
+    place = PLACE
     rows = project(history, {**typed, **{c: c for c in place}})
     return load.last_write_wins(rows, spec.key, place).drop(*place)
 
@@ -75,10 +88,17 @@ def listeners_of(user_listens: DataFrame, song: str) -> DataFrame:
     return lookup_rows(user_listens, {"song": song}, ["user_first_name", "user_last_name"])
 
 
-def build_history(spark: SparkSession, path: str, out: str) -> dict[str, DataFrame]:
-    """Exports to the extract and the three query tables under ``out``."""
+def build_history(
+    spark: SparkSession, path: str, out: str, allowance: int = 0
+) -> dict[str, DataFrame]:
+    """Exports to the extract and the three query tables under ``out``.
+
+    Records that do not fit their columns are counted as they are staged: more than ``allowance``
+    stop the job, fewer are left out and listed as JSON lines under ``out/rejects``.
+    """
     use_utc(spark)
-    history = stage_raw(read_history(spark, path), "history")
+    scan = scan_history(spark, path)
+    history = songs_only(admit(scan, EXPORTS, PLACE, allowance, f"{out}/rejects"))
     save_extract(history, f"{out}/extract")
     return {
         spec.name: save_query_table(history, spec, f"{out}/{spec.name}")

@@ -6,18 +6,22 @@ repeated dimension rows are settled, and how times are decoded (``StarRules``).
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial, reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.functions import epoch_millis, epoch_seconds, md5_key, row_key, rounded_decimal
 from starmill.operators import load
+from starmill.operators.contracts import BROKEN, admit
+from starmill.operators.dataset import LEDGER, Dataset, listed, not_taken
 from starmill.operators.dims import dimension, project, surrogate_key, time_dim
-from starmill.operators.facts import equi_join, lookup_one
+from starmill.operators.facts import equi_join, lookup_one, spread_join
 from starmill.operators.quality import CheckSpec, enforce, run_checks
 from starmill.schemas import (
     ARTISTS,
@@ -54,7 +58,6 @@ class StarRules:
     play_key         "row": digest of the play; "md5": of session and time; "dense": numbers
     distinct_plays   drop repeated plays
     duration_scale   round lengths to this many digits before they are compared
-    salt             parts that a join by artist alone cuts the plays of an artist into
     """
 
     match: str = "track"
@@ -66,7 +69,6 @@ class StarRules:
     play_key: str = "row"
     distinct_plays: bool = False
     duration_scale: int | None = None
-    salt: int = 1
 
 
 LAKE = StarRules(match="artist", how="inner")
@@ -97,6 +99,53 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return load.conform(read_json_mapped(spark, path, PLAY_LOG, LOG_PATHS), STAGING_EVENTS)
 
 
+#: What a lake asks of its raw records: that they can be parsed into the types of the columns.
+RAW_EVENTS = replace(STAGING_EVENTS, not_null=(), max_length={})
+RAW_SONGS = replace(STAGING_SONGS, not_null=(), max_length={})
+PLACE = ("file", "block", "line")
+
+
+def scan_songs(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Song metadata with the place of each line, and the text of lines that cannot be parsed."""
+    songs = read_json(
+        spark, path, SONG_METADATA, recursive=True, pattern="*.json", broken=BROKEN
+    )
+    return songs.select(*SONG_METADATA.names, BROKEN, *arrival())
+
+
+def scan_log(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The play log under staging names, with each line's file, and the text of lines that
+    cannot be parsed."""
+    return read_json_mapped(spark, path, PLAY_LOG, LOG_PATHS, broken=BROKEN)
+
+
+def rejects_at(out: str) -> str:
+    """Where a job lists the records it has left out, as JSON lines."""
+    return f"{out}/rejects"
+
+
+def admit_inputs(
+    spark: SparkSession,
+    song_path: str | list[str],
+    log_path: str | list[str],
+    out: str,
+    allowance: int = 0,
+) -> tuple[DataFrame, DataFrame]:
+    """Songs and log, each staged by the pass that counts its bad records. More of them than
+    ``allowance`` in either stop the job; fewer are left out and listed at ``rejects_at(out)``."""
+    rejects = rejects_at(out)
+    staged = together(
+        spark,
+        {
+            "songs": partial(
+                admit, scan_songs(spark, song_path), RAW_SONGS, PLACE, allowance, rejects
+            ),
+            "log": partial(admit, scan_log(spark, log_path), RAW_EVENTS, (), allowance, rejects),
+        },
+    )
+    return staged["songs"], staged["log"]
+
+
 # -- builders --------------------------------------------------------------------------------
 
 
@@ -147,8 +196,11 @@ def songplays_of(
     take = {"song_id": "song_id", "artist_id": "artist_id"}
     if rules.single_match:
         matched = lookup_one(plays, songs, on, take, order=["song_id", "artist_id"])
+    elif rules.match == "artist":
+        # Each play of an artist meets all songs of the artist, so a loved one is split.
+        matched = spread_join(plays, songs, on, take, rules.how)
     else:
-        matched = equi_join(plays, songs, on, take, rules.how, salt=rules.salt)
+        matched = equi_join(plays, songs, on, take, rules.how)
     columns = [f.name for f in SONGPLAYS.schema.fields if f.name != "songplay_id"]
     rows = matched.withColumns({"year": F.year("start_time"), "month": F.month("start_time")})
     rows = rows.select(*columns, "item_in_session")
@@ -201,46 +253,68 @@ def build_lake(
     out: str,
     rules: StarRules = LAKE,
     partition_by: Mapping[str, Sequence[str]] | None = None,
+    allowance: int = 0,
 ) -> dict[str, DataFrame]:
     """Raw JSON to five parquet tables under ``out``; returns the tables read back.
 
     ``partition_by`` replaces the partitions of a table: by default songs have a folder per
     year and artist, which for millions of artists is better a folder per year.
+
+    Records that cannot be parsed, and rows that break the contract of their table, are counted
+    by the passes that write. More than ``allowance`` of them in an input or a table stop the job
+    before any table is replaced; fewer are left out, and those of the inputs listed.
     """
     use_utc(spark)
     chosen = partition_by or {}
     # The text is parsed once; every table reads the columns it needs of the staged copies.
-    log, songs = read_log(spark, log_path), read_songs(spark, song_path)
-    star = build_star(stage_raw(log, "log"), stage_raw(songs, "songs"), rules)
-    specs = {spec.name: spec for spec in STAR}
+    songs, log = admit_inputs(spark, song_path, log_path, out, allowance)
+    star = build_star(log, songs, rules)
+    loads = {spec.name: load.Load(star[spec.name], spec) for spec in STAR}
+    written = {spec.name: f"{out}/_new/{uuid.uuid4().hex}-{spec.name}" for spec in STAR}
 
     def save(spec: TableSpec) -> None:
-        rows = load.conform(star[spec.name], spec)
-        load.overwrite(rows, f"{out}/{spec.name}", chosen.get(spec.name, spec.partition_by))
+        by = chosen.get(spec.name, spec.partition_by)
+        load.overwrite(loads[spec.name].rows, written[spec.name], by)
 
     together(spark, {spec.name: partial(save, spec) for spec in STAR})
+    try:
+        load.refuse([(table, allowance) for table in loads.values()])
+        load.replace_folders(spark, {f"{out}/{name}": path for name, path in written.items()})
+    finally:
+        load.remove_folder(spark, f"{out}/_new")
     return {
-        name: spark.read.schema(spec.schema).parquet(f"{out}/{name}")
-        for name, spec in specs.items()
+        spec.name: spark.read.schema(spec.schema).parquet(f"{out}/{spec.name}") for spec in STAR
     }
 
 
 def stage_inputs(
-    spark: SparkSession, song_path: str, log_path: str, database: str, **context: object
+    spark: SparkSession,
+    song_path: str | list[str],
+    log_path: str | list[str],
+    location: str,
+    database: str,
+    allowance: int = 0,
 ) -> None:
-    """Reload both staging tables from (templated) paths; what they held before goes."""
-    log = read_log(spark, render_path(log_path, **context))
-    songs = read_json(
-        spark, render_path(song_path, **context), STAGING_SONGS.schema, recursive=True
-    )
-    staged = {STAGING_EVENTS.name: log, STAGING_SONGS.name: songs}
+    """Reload both staging tables; what they held before goes. Records that break the contract of
+    their staging table are counted by the insert; more than ``allowance`` of them stop the load,
+    fewer are left out and listed at ``rejects_at(location)``."""
+    loads = [
+        load.Load(scan_log(spark, log_path), STAGING_EVENTS),
+        load.Load(scan_songs(spark, song_path), STAGING_SONGS),
+    ]
     together(
         spark,
         {
-            name: partial(load.load_table, df, f"{database}.{name}", "overwrite")
-            for name, df in staged.items()
+            ready.spec.name: partial(
+                load.load_table, ready.rows, f"{database}.{ready.spec.name}", "overwrite"
+            )
+            for ready in loads
         },
     )
+    load.refuse([(ready, allowance) for ready in loads])
+    for ready in loads:
+        if ready.lost():
+            ready.rejects().write.mode("append").json(rejects_at(location))
 
 
 def _warehouse_specs() -> list[TableSpec]:
@@ -256,23 +330,38 @@ def load_warehouse(
     location: str,
     database: str = "default",
     rules: StarRules = WAREHOUSE,
+    allowance: int = 0,
 ) -> None:
-    """Recreate the tables, stage the inputs, and fill each star table by one insert."""
+    """Recreate the tables, stage the inputs, and fill each star table by one insert.
+
+    As by a bulk load, more than ``allowance`` bad records in an input stop the job; the star
+    tables of the run before are dropped only after that. Rows that break the contract of a star
+    table are not inserted; more than ``allowance`` of them are an error.
+    """
     use_utc(spark)
-    load.drop_tables(spark, _warehouse_specs(), database)
-    load.create_tables(spark, _warehouse_specs(), location, database)
-    stage_inputs(spark, song_path, log_path, database)
+    staging = [spec.unpartitioned() for spec in (STAGING_EVENTS, STAGING_SONGS)]
+    load.drop_tables(spark, staging, database)
+    load.create_tables(spark, staging, location, database)
+    stage_inputs(spark, song_path, log_path, location, database, allowance)
+    fresh = [spec for spec in _warehouse_specs() if spec not in staging]
+    load.drop_tables(spark, fresh, database)
+    for spec in fresh:
+        load.remove_folder(spark, f"{location}/{spec.name}")
+    load.create_tables(spark, fresh, location, database)
     star = build_star(
         spark.table(f"{database}.{STAGING_EVENTS.name}"),
         spark.table(f"{database}.{STAGING_SONGS.name}"),
         rules,
     )
 
+    loads = {spec.name: load.Load(star[spec.name], spec) for spec in STAR}
+
     def insert(spec: TableSpec) -> None:
-        rows = load.conform(star[spec.name], spec)
+        rows = loads[spec.name].rows
         load.insert_columns(rows, f"{database}.{spec.name}", rows.columns)
 
     together(spark, {spec.name: partial(insert, spec) for spec in STAR})
+    load.refuse([(ready, allowance) for ready in loads.values()])
 
 
 # The columns that the scheduled run requires to be filled.
@@ -285,6 +374,22 @@ REQUIRED = {
 }
 
 
+#: The fact of runs that are to be taken once: each load has partitions of its own.
+SONGPLAYS_BY_LOAD = replace(
+    SONGPLAYS, columns=SONGPLAYS.columns + ", load STRING", partition_by=("load", "year", "month")
+)
+
+
+def unloaded(spark: SparkSession, path: str, ledger: Dataset) -> list[Row]:
+    """The files of a log, (path, length, modified), that no load in the ledger has taken."""
+    files = listed(spark, path, recursive=True)
+    return sorted(not_taken(files, ledger.taken()).collect())  # as many as the scan itself lists
+
+
+def file_rows(spark: SparkSession, files: list[Row]) -> DataFrame:
+    return spark.createDataFrame([tuple(f) for f in files], LEDGER)
+
+
 def run_scheduled(
     spark: SparkSession,
     song_path: str,
@@ -293,31 +398,58 @@ def run_scheduled(
     database: str = "default",
     rules: StarRules = SCHEDULED,
     fact_mode: str = "append",
+    allowance: int = 0,
     **context: object,
 ) -> DataFrame:
     """One scheduled run: create tables, stage, load the fact, refresh the dimensions, check.
 
     ``fact_mode="append"`` adds the plays of the run whatever the table holds, so a repeated
-    run doubles them; "insert_ignore" adds only plays that are not there. Returns the report of
-    the checks, after raising if one failed.
+    run doubles them; "insert_ignore" adds only plays that are not there; "once" adds the plays
+    of those log files that no run has taken before. For that a ledger at ``location/loads`` lists
+    the files of every run that has loaded its fact, and the rows of a run lie in partitions named
+    after its files: one that died is overwritten when it is repeated.
+
+    More than ``allowance`` bad records in an input, or rows that break the contract of a table,
+    stop the run; fewer are left out, those of the inputs listed. Returns the report of the checks,
+    after raising if one failed.
     """
     use_utc(spark)
-    load.create_tables(spark, _warehouse_specs(), location, database)
-    stage_inputs(spark, song_path, log_path, database, **context)
+    song_path, log_path = render_path(song_path, **context), render_path(log_path, **context)
+    once = fact_mode == "once"
+    fact_spec = SONGPLAYS_BY_LOAD if once else SONGPLAYS
+    load.create_tables(spark, [fact_spec, *_warehouse_specs()[1:]], location, database)
+    files, ledger = [], Dataset(spark, f"{location}/loads")
+    if once:
+        files = unloaded(spark, log_path, ledger)
+        if files:
+            stage_inputs(spark, song_path, [f.path for f in files], location, database, allowance)
+    else:
+        stage_inputs(spark, song_path, log_path, location, database, allowance)
     staged_songs = spark.table(f"{database}.{STAGING_SONGS.name}")
     plays = plays_of(spark.table(f"{database}.{STAGING_EVENTS.name}"), rules)
 
-    facts = load.conform(songplays_of(plays, staged_songs, rules), SONGPLAYS)
-    if fact_mode == "insert_ignore":
-        # Two plays of a session may share a second, and a play may match two songs, so plays
-        # are told apart by all their columns. Year and month follow from the time among them.
-        facts = stage(facts, "songplays")
-        known = spark.table(f"{database}.songplays")
-        known = load.in_touched_partitions(
-            known, facts, SONGPLAYS.partition_by, facts.columns
-        )
-        facts = new_plays(known, facts)
-    load.load_table(facts, f"{database}.songplays")
+    if files or not once:
+        ready = load.Load(songplays_of(plays, staged_songs, rules), SONGPLAYS)
+        facts = ready.rows
+        if fact_mode == "insert_ignore":
+            # Two plays of a session may share a second, and a play may match two songs, so plays
+            # are told apart by all their columns. Year and month follow from the time among them.
+            facts = stage(facts, "songplays")
+            known = spark.table(f"{database}.songplays")
+            known = load.in_touched_partitions(
+                known, facts, SONGPLAYS.partition_by, facts.columns
+            )
+            facts = new_plays(known, facts)
+        if once:
+            name = hashlib.md5(repr([tuple(f) for f in files]).encode()).hexdigest()
+            load.overwrite_partition(facts, f"{database}.songplays", {"load": name})
+        else:
+            load.load_table(facts, f"{database}.songplays")
+        load.refuse([(ready, allowance)])
+        if once:
+            with ledger.change() as change:
+                change.took(file_rows(spark, files))
+                change.publish()
 
     # The time dimension covers every play in the fact table, not just those of this run.
     loaded = spark.table(f"{database}.songplays")
@@ -328,15 +460,15 @@ def run_scheduled(
         "time": time_dim(loaded, ["start_time"], rules.weekday),
     }
     specs = {spec.name: spec for spec in STAR}
+    loads = {name: load.Load(df, specs[name]) for name, df in dims.items()}
     together(
         spark,
         {
-            name: partial(
-                load.load_table, load.conform(df, specs[name]), f"{database}.{name}", "overwrite"
-            )
-            for name, df in dims.items()
+            name: partial(load.load_table, ready.rows, f"{database}.{name}", "overwrite")
+            for name, ready in loads.items()
         },
     )
+    load.refuse([(ready, allowance) for ready in loads.values()])
 
     checks = run_checks(
         {
@@ -350,39 +482,90 @@ def run_scheduled(
 
 
 def load_increment(
-    spark: SparkSession, songs: DataFrame, log: DataFrame, out: str, rules: StarRules = RELATIONAL
+    spark: SparkSession,
+    songs: DataFrame,
+    log: DataFrame,
+    out: str,
+    rules: StarRules = RELATIONAL,
+    allowance: int = 0,
+    files: list[Row] | None = None,
 ) -> dict[str, DataFrame]:
-    """Merge a batch of songs and log records into the tables under ``out``.
+    """Merge a batch of songs and log records into the tables of the dataset ``out``.
+
+    Songs, artists and times already known stay as they are; users take their latest level, for
+    which only the buckets of the batch's users are rewritten. Plays are appended. Songs are loaded
+    first, since plays are matched against all songs known.
 
-    Songs, artists and times already known stay as they are; users take their latest level.
-    Plays are appended. Songs are loaded first, since plays are matched against all songs known.
+    All five tables change by one commit, with which the input ``files`` enter the ledger, so a
+    run that dies changes nothing. More than ``allowance`` rows of a table that break its contract
+    refuse the batch; fewer are left out.
     """
     use_utc(spark)
     songs, log = stage_raw(songs, "songs"), stage_raw(log, "log")
     tables = {spec.name: spec.unpartitioned() for spec in STAR}
+    data = Dataset(spark, out)
+    with data.change() as change:
+
+        def insert_ignore(name: str, incoming: DataFrame, order: Sequence[str]) -> None:
+            spec = tables[name]
+            known = data.read(name, spec.schema, change.base)
+            added = load.new_rows(known, incoming, spec.key, order)
+            change.add(name, added, spec, allowance, alone=True)
+
+        # Of a song or artist that comes twice the first to arrive stays, if the batch tells places.
+        place = [c for c in PLACE if c in songs.columns]
+        places = {c: c for c in place}
+        every = {f.name: f.name for f in SONGS.schema.fields}
+        insert_ignore("songs", project(songs, every | places), place)
+        insert_ignore("artists", project(songs, ARTIST_COLUMNS | places), place)
+
+        plays = plays_of(log, rules)
+        insert_ignore("time", times_of(plays, rules), [])
+        users = plays.select(*[f.name for f in USERS.schema.fields], "ts")
+
+        def with_levels(known: DataFrame, batch: DataFrame) -> DataFrame:
+            return load.upsert(known, batch, USERS.key, ["ts"], ["level"])
+
+        batch = load.with_whole_keys(users, USERS.key)
+        change.merge("users", batch, tables["users"], with_levels, allowance=allowance)
+
+        known = equi_join(
+            change.read("songs", SONGS.schema),
+            change.read("artists", ARTISTS.schema),
+            {"artist_id": "artist_id"},
+            {"artist_name": "name"},
+            "inner",
+        )
+        facts = songplays_of(plays, known, rules)
+        change.add("songplays", facts, tables["songplays"], allowance)
+        if files:
+            change.took(file_rows(spark, files))
+        change.publish()
+    data.vacuum()
+    return {name: data.read(name, spec.schema) for name, spec in tables.items()}
 
-    def table(name: str) -> DataFrame:
-        if name == "users":
-            return load.read_version(spark, f"{out}/users", tables[name].schema)
-        return spark.read.schema(tables[name].schema).parquet(f"{out}/{name}")
-
-    # Of a song or artist that comes twice the first to arrive stays, if the batch tells places.
-    place = [c for c in ("file", "block", "line") if c in songs.columns]
-    places = {c: c for c in place}
-    every = {f.name: f.name for f in SONGS.schema.fields}
-    incoming = project(songs, every | places)
-    load.insert_ignore_into(f"{out}/songs", incoming, SONGS.key, place, tables["songs"])
-    incoming = project(songs, ARTIST_COLUMNS | places)
-    load.insert_ignore_into(f"{out}/artists", incoming, ARTISTS.key, place, tables["artists"])
-
-    plays = plays_of(log, rules)
-    load.insert_ignore_into(f"{out}/time", times_of(plays, rules), TIME.key, [], tables["time"])
-    users = plays.select(*[f.name for f in USERS.schema.fields], "ts")
-    load.upsert_into(f"{out}/users", users, USERS.key, ["ts"], ["level"], tables["users"])
 
-    known = equi_join(
-        table("songs"), table("artists"), {"artist_id": "artist_id"}, {"artist_name": "name"}, "inner"
-    )
-    facts = load.conform(songplays_of(plays, known, rules), tables["songplays"])
-    load.append(facts, f"{out}/songplays")
-    return {name: table(name) for name in tables}
+def run_increment(
+    spark: SparkSession,
+    song_path: str,
+    log_path: str,
+    out: str,
+    rules: StarRules = RELATIONAL,
+    allowance: int = 0,
+) -> dict[str, DataFrame]:
+    """Merge the files of songs and log that no run has taken yet. A run that finds none changes
+    nothing; a run that died before its commit is repeated as if it had not been."""
+    use_utc(spark)
+    data = Dataset(spark, out)
+    songs, log = unloaded(spark, song_path, data), unloaded(spark, log_path, data)
+    if not songs and not log:
+        tables = {spec.name: spec.unpartitioned() for spec in STAR}
+        return {name: data.read(name, spec.schema) for name, spec in tables.items()}
+
+    def scan(scanner, files: list[Row], path: str) -> DataFrame:
+        return scanner(spark, [f.path for f in files]) if files else scanner(spark, path).limit(0)
+
+    rejects = rejects_at(out)
+    song_rows = admit(scan(scan_songs, songs, song_path), RAW_SONGS, PLACE, allowance, rejects)
+    log_rows = admit(scan(scan_log, log, log_path), RAW_EVENTS, (), allowance, rejects)
+    return load_increment(spark, song_rows, log_rows, out, rules, allowance, [*songs, *log])

@@ -12,6 +12,7 @@ from starmill.sources.files import (
     render_path,
     stage_raw,
 )
+from starmill.sources.quoted import read_quoted
 
 __all__ = [
     "arrival",
@@ -22,6 +23,7 @@ __all__ = [
     "read_inferred",
     "read_json",
     "read_json_mapped",
+    "read_quoted",
     "render_path",
     "stage_raw",
 ]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,13 @@ def arrival() -> list[Column]:
     ]
 
 
+def _with_broken(reader: DataFrameReader, schema: T.StructType, broken: str | None):
+    if broken is None:
+        return reader.schema(schema)
+    fields = [*schema.fields, T.StructField(broken, T.StringType())]
+    return reader.schema(T.StructType(fields)).option("columnNameOfCorruptRecord", broken)
+
+
 def read_json(
     spark: SparkSession,
     path: str | list[str],
@@ -37,12 +44,14 @@ def read_json(
     recursive: bool = False,
     pattern: str | None = None,
     mode: str = "PERMISSIVE",
+    broken: str | None = None,
 ) -> DataFrame:
     """JSON lines, fields matched to the schema by name; ``recursive`` walks subfolders.
 
-    A line that cannot be parsed is a row of nulls; ``mode="FAILFAST"`` makes it an error.
+    A line that cannot be parsed is a row of nulls, with its text in the column ``broken`` if that
+    is named; ``mode="FAILFAST"`` makes it an error.
     """
-    reader = spark.read.schema(schema).option("mode", mode)
+    reader = _with_broken(spark.read, schema, broken).option("mode", mode)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     if pattern:
@@ -56,10 +65,13 @@ def read_json_mapped(
     schema: T.StructType,
     mapping: Mapping[str, str],
     mode: str = "PERMISSIVE",
+    broken: str | None = None,
 ) -> DataFrame:
-    """JSON lines with an explicit ``{column: field path}`` mapping; paths may have dots."""
-    rows = read_json(spark, path, schema, mode=mode)
-    return rows.select(*[F.col(field).alias(name) for name, field in mapping.items()])
+    """JSON lines with an explicit ``{column: field path}`` mapping; paths may have dots. With
+    ``broken`` there is also the text of lines that cannot be parsed, and the ``file``."""
+    rows = read_json(spark, path, schema, mode=mode, broken=broken)
+    more = [F.col(broken), arrival()[0]] if broken else []
+    return rows.select(*[F.col(field).alias(name) for name, field in mapping.items()], *more)
 
 
 def read_delimited(
@@ -70,13 +82,15 @@ def read_delimited(
     recursive: bool = False,
     multiline: bool = False,
     mode: str = "PERMISSIVE",
+    broken: str | None = None,
 ) -> DataFrame:
     """Delimited text with a header in each file; the schema names columns by position.
 
     ``multiline`` takes line breaks inside quotes as text; files are then not split, so use it
-    for files known to have them. ``mode="FAILFAST"`` makes a record that does not fit an error.
+    for files known to have them. ``mode="FAILFAST"`` makes a record that does not fit an error;
+    with ``broken`` its text is in the column of that name.
     """
-    reader = spark.read.schema(schema).options(
+    reader = _with_broken(spark.read, schema, broken).options(
         header=True,
         sep=sep,
         enforceSchema=True,

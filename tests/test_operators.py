@@ -1,4 +1,3 @@
-import os
 import random
 
 import pytest
@@ -15,7 +14,15 @@ from starmill.operators.dims import (
     surrogate_key,
     time_dim,
 )
-from starmill.operators.facts import DimJoin, equi_join, fact, lookup_one, with_labels
+from starmill.operators.facts import (
+    DimJoin,
+    equi_join,
+    fact,
+    hot_keys,
+    lookup_one,
+    spread_join,
+    with_labels,
+)
 from starmill.operators.keyed import (
     carry_down,
     first_per_key,
@@ -213,6 +220,43 @@ def test_fact_refuses_repeated_dimension_keys(plays, songs):
     assert checked.count() == plays.count()
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("parts", [2, 5, 40])
+def test_spreading_changes_nothing(plays, songs, how, parts):
+    on, take = {"artist": "name"}, {"song_id": "song_id"}
+    plain = equi_join(plays, songs, on, take, how)
+    spread = spread_join(plays, songs, on, take, how, parts)
+    assert spread.columns == plain.columns and rows(spread) == rows(plain)
+    assert hot_keys(plays, songs, on, parts).count() == (0 if parts == 1 else 1)
+    with pytest.raises(ValueError):
+        spread_join(plays, songs, on, take, "full_outer")
+
+
+def test_rows_of_a_hot_artist_are_spread(spark, conf):
+    """An artist with a third of all plays and 40 songs, whose joined rows are most of all."""
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__enabled="false",
+        spark__sql__shuffle__partitions="16",
+    )
+    plays = spark.range(6000).selectExpr("id", "if(id % 3 = 0, 'hot', concat('a', id % 500)) artist")
+    songs = spark.range(40).selectExpr("concat('h', id) song", "'hot' name").unionByName(
+        spark.range(500).selectExpr("concat('s', id) song", "concat('a', id) name")
+    )
+    on, take = {"artist": "name"}, {"song": "song"}
+    hot = hot_keys(plays, songs, on, 32).collect()
+    assert [(r[0], r[1]) for r in hot] == [("hot", 31)]
+
+    def fullest(joined):
+        per_task = joined.groupBy(F.spark_partition_id().alias("p")).count()
+        counts = [r["count"] for r in per_task.collect()]
+        return max(counts) / (sum(counts) / 16)
+
+    assert fullest(equi_join(plays, songs, on, take)) > 12
+    assert fullest(spread_join(plays, songs, on, take)) < 4
+    assert spread_join(plays, songs, on, take).count() == equi_join(plays, songs, on, take).count()
+
+
 def test_hot_key_is_split(spark, conf):
     conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
@@ -323,15 +367,26 @@ def test_a_run_that_dies_leaves_the_version_before(spark, tmp_path):
     fails = first.withColumn("level", F.raise_error(F.lit("lost")).cast("string"))
     with pytest.raises(Exception, match="lost"):
         load.upsert_into(path, fails, ["id"], ["seq"], ["level"], spec)
-    # a version without its mark, as a run leaves that is killed before it commits
-    first.limit(1).drop("seq").write.parquet(f"{path}/v2", mode="overwrite")
-    os.remove(f"{path}/v2/_SUCCESS")
+    # files that no commit names, as a run leaves that is killed before it commits
+    first.limit(1).drop("seq").write.parquet(f"{path}/rows/dead")
     assert rows(load.read_version(spark, path, spec.schema)) == before
     second = _frame(spark, [(2, "x", "paid"), (3, "c", "free")])
     load.upsert_into(path, second, ["id"], ["seq"], ["level"], spec)
     want = [(1, "a", "free"), (2, "b", "paid"), (3, "c", "free")]
     assert rows(load.read_version(spark, path, spec.schema)) == want
-    assert load.versions(spark, path) == [2]
+    # the version before stays for those who read it
+    assert load.versions(spark, path) == [1, 2]
+    assert rows(load.read_version(spark, path, spec.schema, 1)) == before
+
+
+def test_keyed_tables_refuse_folders_of_another_kind(spark, tmp_path):
+    spec = TableSpec("t", "id INT, name STRING, level STRING", ("id",))
+    path = str(tmp_path / "t")
+    batch = _frame(spark, [(1, "a", "free")])
+    batch.drop("seq").write.parquet(path)
+    for merge in (load.upsert_into, load.last_write_into):
+        with pytest.raises(ValueError, match="no keyed table"):
+            merge(path, batch, ["id"], ["seq"], *([["level"]] if merge is load.upsert_into else []), spec)
 
 
 def test_contracts_count_and_refuse(spark):

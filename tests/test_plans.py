@@ -1,4 +1,5 @@
 import json
+from dataclasses import replace
 
 import pytest
 from conftest import rows
@@ -7,6 +8,8 @@ from pyspark.sql import functions as F
 
 from starmill.__main__ import main
 from starmill.operators import load
+from starmill.operators.contracts import Refused
+from starmill.operators.dataset import Change, Dataset
 from starmill.operators.quality import CheckSpec, check_table
 from starmill.plans import exploration, immigration, listening, music
 from starmill.schemas import (
@@ -190,6 +193,7 @@ def test_the_first_song_to_arrive_stays(spark, tmp_path):
     folder.mkdir()
     for name, title in (("a", "Zebra"), ("b", "Apple")):
         song = {"song_id": "S", "title": title, "artist_id": "A", "artist_name": title}
+        song |= {"year": 0, "duration": 1.0}
         (folder / f"{name}.json").write_text(json.dumps(song))
     out = str(tmp_path / "inc")
     log = spark.createDataFrame([], STAGING_EVENTS.schema)
@@ -220,6 +224,118 @@ def test_increments(spark, music_files, tmp_path):
     assert {name: df.count() for name, df in again.items()} == before
 
 
+# -- bad input -------------------------------------------------------------------------------
+
+
+BROKEN_LINE = '{"page": "NextSong", "ts": 15411'
+
+
+@pytest.fixture
+def bad_files(music_files):
+    """A log with one line that is cut off, and one with a time that is no number."""
+    songs, log = music_files
+    wrong = json.dumps({**LOG[0], "ts": "soon"})
+    with open(f"{log}/2018-11-02-events.json", "w") as f:
+        f.write("\n".join([json.dumps(LOG[1]), BROKEN_LINE, wrong]))
+    return songs, log
+
+
+def listed_rejects(spark, out):
+    found = spark.read.json(music.rejects_at(out)).collect()
+    return sorted((r.table_name, r.file.split("/")[-1], *r.reasons, r.record[:20]) for r in found)
+
+
+WANT = [("staging_events", "2018-11-02-events.json", "broken", text[:20]) for text in
+        sorted([BROKEN_LINE, json.dumps({**LOG[0], "ts": "soon"})])]
+
+
+def test_a_lake_stops_on_bad_lines(spark, music_files, bad_files, tmp_path):
+    out = str(tmp_path / "out")
+    music.build_lake(spark, *bad_files, out, allowance=2)
+    assert listed_rejects(spark, out) == sorted(WANT)
+    before = rows(spark.read.parquet(f"{out}/users"))
+    with pytest.raises(Refused, match=r"(?s)staging_events: broken \(2 of 7 rows\).*11-02-events.json: broken"):
+        music.build_lake(spark, *bad_files, out, allowance=1)
+    assert rows(spark.read.parquet(f"{out}/users")) == before
+    assert not (tmp_path / "out/_new").exists()
+
+
+def test_a_lake_stops_on_rows_that_break_a_contract(spark, music_files, tmp_path):
+    songs, log = music_files
+    out = str(tmp_path / "out")
+    music.build_lake(spark, songs, log, out)
+    with open(f"{log}/x.json", "w") as f:
+        f.write(json.dumps({**LOG[0], "userId": "77", "firstName": None}))
+    with pytest.raises(Refused, match=r"users: not_null first_name \(1 of 3 rows\)"):
+        music.build_lake(spark, songs, log, out)
+    tables = music.build_lake(spark, songs, log, out, allowance=1)
+    assert rows(tables["users"], "user_id") == [("10",), ("8",)]
+
+
+def test_a_bulk_load_stops_on_bad_records(spark, music_files, bad_files, tmp_path, database):
+    songs, log = music_files
+    run = (spark, songs, log, str(tmp_path / "wh"), database)
+    music.load_warehouse(*run, allowance=2)
+    assert listed_rejects(spark, str(tmp_path / "wh")) == sorted(WANT)
+    before = rows(spark.table(f"{database}.users"))
+    with open(f"{log}/y.json", "w") as f:
+        f.write(json.dumps({**LOG[0], "gender": "female", "sessionId": None}))
+    with pytest.raises(Refused, match="max_length gender") as refused:
+        music.load_warehouse(*run, allowance=2)
+    assert "not_null session_id" in str(refused.value)
+    assert rows(spark.table(f"{database}.users")) == before
+
+
+def test_files_of_a_scheduled_run_are_taken_once(
+    spark, music_files, tmp_path, database, monkeypatch
+):
+    songs, log = music_files
+    run = (spark, songs, log, str(tmp_path / "wh"), database)
+    plays = lambda: spark.table(f"{database}.songplays").count()
+    # A run that dies after the insert and before its files are in the ledger.
+    with monkeypatch.context() as m:
+        m.setattr(Change, "publish", lambda self: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            music.run_scheduled(*run, fact_mode="once")
+    assert plays() == 3
+    for _ in range(2):
+        music.run_scheduled(*run, fact_mode="once")
+        assert plays() == 3
+    with open(f"{log}/late.json", "w") as f:
+        f.write(json.dumps(play(1541207053796, "11", "free", "Nobody", "Nothing", 1.0)))
+    music.run_scheduled(*run, fact_mode="once")
+    assert plays() == 4 and spark.table(f"{database}.time").count() == 3
+    assert rows(spark.table(f"{database}.users"), "user_id") == [("11",)]  # as staged last
+
+
+def test_increments_take_files_once(spark, music_files, tmp_path, monkeypatch):
+    songs, log = music_files
+    out = str(tmp_path / "inc")
+    with monkeypatch.context() as m:
+        m.setattr(Change, "publish", lambda self: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            music.run_increment(spark, songs, log, out)
+    assert Dataset(spark, out).read("songs", music.SONGS.schema).isEmpty()
+    for _ in range(2):
+        tables = music.run_increment(spark, songs, log, out)
+        assert rows(tables["songplays"], "user_id") == [("10",), ("8",), ("8",)]
+    with open(f"{log}/late.json", "w") as f:
+        f.write(json.dumps(play(1541207053796, "8", "gone", "Elena", "Other", 100.0)))
+    tables = music.run_increment(spark, songs, log, out)
+    assert rows(tables["songplays"], "user_id", "song_id")[-1] == ("8", "SO3")
+    assert rows(tables["users"], "user_id", "level") == [("10", "free"), ("8", "gone")]
+    assert Dataset(spark, out).numbers() == [1, 2]
+
+
+def test_increments_count_bad_lines(spark, music_files, bad_files, tmp_path):
+    out = str(tmp_path / "inc")
+    with pytest.raises(Refused, match="broken"):
+        music.run_increment(spark, *bad_files, out)
+    tables = music.run_increment(spark, *bad_files, out, allowance=2)
+    assert tables["songplays"].count() == 4
+    assert listed_rejects(spark, out) == sorted(WANT)
+
+
 # -- table contracts -------------------------------------------------------------------------
 
 
@@ -382,7 +498,7 @@ def test_immigration(spark, inputs, tmp_path):
     assert facts.filter("port_id IS NULL").count() == 2
     assert facts.filter("visa_issuer_id IS NULL").count() == 1
     assert facts.filter("arrival_city IS NULL").isEmpty()
-    assert (tmp_path / "out/immigrations/i94_year=2016/i94_month=4").is_dir()
+    assert list((tmp_path / "out/immigrations").glob("*/i94_year=2016/i94_month=4"))
 
     top = immigration.top_arrival_states(facts, tables["city"], 10)
     assert [tuple(r) for r in top.collect()] == [("Florida", 2)]
@@ -416,6 +532,22 @@ def test_keys_do_not_change_between_runs(spark, inputs, tmp_path):
         assert rows(first[name]) == rows(second[name])
 
 
+def test_seven_tables_are_published_as_one(spark, inputs, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    immigration.build_immigration(spark, inputs, out)
+    before = {n: rows(df) for n, df in immigration.read_star(spark, out).items()}
+    fewer = replace(inputs, immigration=inputs.immigration.limit(1))
+    with monkeypatch.context() as m:
+        m.setattr(Change, "publish", lambda self: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            immigration.build_immigration(spark, fewer, out)
+    assert {n: rows(df) for n, df in immigration.read_star(spark, out).items()} == before
+    reading = immigration.read_star(spark, out)
+    immigration.build_immigration(spark, fewer, out)
+    assert {n: rows(df) for n, df in reading.items()} == before
+    assert immigration.read_star(spark, out)["immigrations"].count() <= 1
+
+
 def test_months_of_immigration(spark, inputs, tmp_path):
     inputs.immigration.write.parquet(str(tmp_path / "sas/i94_apr16"))
     inputs.immigration.limit(1).write.parquet(str(tmp_path / "sas/i94_may16"))
@@ -448,7 +580,8 @@ def test_music_jobs_from_the_command_line(spark, music_files, tmp_path, database
     main(["lake", *paths, "--out", str(tmp_path / "lake")])
     assert spark.read.parquet(str(tmp_path / "lake/songs")).count() == 3
     main(["increment", *paths, "--out", str(tmp_path / "inc")])
-    assert spark.read.parquet(str(tmp_path / "inc/songplays")).count() == 3
+    plays = Dataset(spark, str(tmp_path / "inc")).read("songplays", music.SONGPLAYS.schema)
+    assert plays.count() == 3
     templated = ["--songs", songs, "--log", log.replace("log_data", "{kind}_data")]
     out = ["--out", str(tmp_path / "wh"), "--database", database]
     main(["scheduled", *templated, *out, "--context", "kind=log"])
@@ -475,7 +608,8 @@ def test_immigration_from_the_command_line(spark, inputs, tmp_path):
     ]
     out, reports = str(tmp_path / "star"), str(tmp_path / "reports")
     main(["immigration", *raw, "--out", out, "--reports", reports])
-    assert spark.read.parquet(str(tmp_path / "star/immigrations")).count() == 4
+    arrivals = Dataset(spark, out).read("immigrations", immigration.IMMIGRATIONS.schema)
+    assert arrivals.count() == 4
     (part,) = (tmp_path / "reports/most_common_arrival_state").glob("part-*")
     assert part.read_text() == "state,count\nFlorida,2\n"
     main(["explore", *raw, "--out", str(tmp_path / "explored")])
