@@ -15,6 +15,7 @@ from starmill.llm.lexical import rank
 from starmill.llm.mixing import mix
 from starmill.llm.neighbours import nearest
 from starmill.llm.packing import pack
+from starmill.llm.private import digest_private, find_private
 from starmill.llm.sharding import shard_by_bytes
 from starmill.llm.simhash import near_duplicates
 from starmill.llm.suffixes import remove_repeats
@@ -91,6 +92,11 @@ def op12_norm_buckets(spark: SparkSession, folder: str) -> DataFrame:
     return rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op13_gradient_boosting(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in all documents."""
+    return digest_private(find_private(table(spark, folder, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -106,6 +112,7 @@ QUERIES: dict[str, Query] = {
         op10_noisy_or,
         op11_fragment_monoid,
         op12_norm_buckets,
+        op13_gradient_boosting,
     )
 }
 
