@@ -90,14 +90,11 @@ def hot_keys(
         .join(counted(right, on.values(), "__right"), keys)
         .select(*keys, "__left", (F.col("__left") * F.col("__right")).alias("__made"))
     )
-    total = made.agg(F.sum("__made").alias("__total"))
-    share = F.col("__total") / F.lit(parts)
+    share = made.agg(F.sum("__made")).scalar() / F.lit(parts)
     # More parts than rows of the left side would leave some without any.
     shares = F.least(F.ceil(F.col("__made") / share), F.col("__left")).cast("int")
-    return (
-        made.join(F.broadcast(total))
-        .where((F.col("__made") > share) & (F.col("__left") > 1))
-        .select(*keys, shares.alias("__parts"))
+    return made.where((F.col("__made") > share) & (F.col("__left") > 1)).select(
+        *keys, shares.alias("__parts")
     )
 
 
