@@ -16,6 +16,7 @@ from starmill.operators.dims import (
 )
 from starmill.operators.facts import (
     DimJoin,
+    distinct_matches,
     equi_join,
     fact,
     hot_keys,
@@ -257,6 +258,49 @@ def test_rows_of_a_hot_artist_are_spread(spark, conf):
     assert spread_join(plays, songs, on, take).count() == equi_join(plays, songs, on, take).count()
 
 
+def test_joined_rows_get_tasks_of_a_bounded_size(spark):
+    """Few rows on both sides, many when joined: the planner would join them in one task."""
+    plays = spark.range(400).selectExpr("id", "concat('a', id % 8) artist")
+    songs = spark.range(400).selectExpr("concat('s', id) song", "concat('a', id % 8) name")
+    on, take = {"artist": "name"}, {"song": "song"}
+    joined = spread_join(plays, songs, on, take, "inner", rows_per_task=1000)
+    per_task = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(per_task) == 20_000 and max(per_task) < 5000
+    assert rows(joined) == rows(equi_join(plays, songs, on, take, "inner"))
+
+
+def test_rows_without_a_key_are_spread_and_kept(spark):
+    plays = spark.range(300).selectExpr("id", "if(id < 250, null, 'a') artist")
+    songs = spark.range(60).selectExpr("concat('s', id) song", "if(id = 0, null, 'a') name")
+    on, take = {"artist": "name"}, {"song": "song"}
+    for how in ("left", "inner"):
+        joined = spread_join(plays, songs, on, take, how, rows_per_task=100)
+        assert rows(joined) == rows(equi_join(plays, songs, on, take, how))
+
+
+def test_distinct_matches_need_no_shuffle_of_joined_rows(spark, conf):
+    conf(spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1")
+    plays = spark.createDataFrame(
+        [(1, "x", "A"), (1, "x", "A"), (1, "y", "A"), (1, "x", "B"), (2, None, "A"), (3, "x", None)],
+        "user int, item string, artist string",
+    )
+    schema = "song string, by string, name string"
+    songs = [("S1", "P", "A"), ("S1", "P", "A"), ("S2", "P", "A"), (None, None, "A"), ("S3", "P", None)]
+    on, take = {"artist": "name"}, {"song": "song", "by": "by"}
+
+    def both(listed):
+        right = spark.createDataFrame(listed, schema)
+        plain = equi_join(plays, right, on, take, "inner").select("user", "song", "by").distinct()
+        found = distinct_matches(plays, right, on, take, ["user"])
+        assert rows(found) == rows(plain)
+        return found._jdf.queryExecution().executedPlan().toString()
+
+    plan = both(songs)
+    assert plan.index("Join") < min(plan.index("Exchange"), plan.index("Aggregate"))
+    # One song under two artists, and songs without ids under two.
+    both([*songs, ("S1", "P", "B"), (None, None, "B"), ("S4", None, "B")])
+
+
 def test_hot_key_is_split(spark, conf):
     conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
