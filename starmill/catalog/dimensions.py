@@ -14,6 +14,7 @@ from starmill.operators.dims import (
     time_dim,
 )
 from starmill.operators.keyed import with_group_count
+from starmill.session import tasks_for
 
 
 @query("""
@@ -149,9 +150,13 @@ SELECT unnest(['hash', 'fast']) AS method, count(*) AS row_count, count(*) AS id
 def surrogate_keys_unique(t):
     """Hash and fast keys differ wherever the natural keys do."""
     key = ["l_orderkey", "l_partkey", "l_linenumber"]
-    hashed = surrogate_key(t.lineitem.select(*key).distinct(), key, "hash")
+    rows = t.lineitem.select(*key)
+    # Every key and id is a group of its own, so the tasks that hold them are set by their number.
+    tasks = tasks_for(rows.count())
+    hashed = surrogate_key(rows.repartition(tasks, *key).distinct(), key, "hash")
     keyed = surrogate_key(hashed, key, "fast", "fast")
-    per_id = keyed.unpivot([], ["hash", "fast"], "method", "id").groupBy("method", "id").count()
+    ids = keyed.unpivot([], ["hash", "fast"], "method", "id")
+    per_id = ids.repartition(2 * tasks, "method", "id").groupBy("method", "id").count()
     return per_id.groupBy("method").agg(
         F.sum("count").alias("row_count"), F.count("*").alias("ids")
     )

@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +46,37 @@ def cluster_settings(shuffle_bytes: int, per_task: int = 256 << 20) -> dict[str,
     }
 
 
+#: Rows that a task holds in memory with ease, however wide they are.
+ROWS_PER_TASK = 1 << 19
+
+
+def tasks_for(rows: int) -> int:
+    return -(-rows // ROWS_PER_TASK) or 1
+
+
+@contextmanager
+def small_tasks(spark: SparkSession, per_task: int = 8 << 20) -> Iterator[Callable[[int], None]]:
+    """Options under which the tasks of a job read ``per_task`` bytes of a file or a shuffle. Rows
+    that compress well take many times that in a sort or an aggregate, so the planner's default
+    of 64 MB is not small. Yields a function to tell the rows that are shuffled: that many have
+    shuffles of enough partitions, which the planner merges where they are smaller."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    most = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    options = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(per_task),
+        "spark.sql.files.maxPartitionBytes": str(per_task),
+        most: str(partitions),
+    }
+    before = {name: spark.conf.get(name, None) for name in options}
+    for name, value in options.items():
+        spark.conf.set(name, value)
+    try:
+        yield lambda rows: spark.conf.set(most, str(max(partitions, tasks_for(rows))))
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """Epoch decoding and calendar parts are defined in UTC, whatever the host's zone is."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

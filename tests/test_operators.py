@@ -596,3 +596,31 @@ def test_empty_inputs(spark):
     assert column_profile(none).count() == 0
     assert rows(null_report(none)) == [("k", 0, 0), ("n", 0, 0)]
     assert top_n_by_dim(none, none, ("k", "k"), "n", 3).count() == 0
+
+
+def test_ids_are_counted_by_as_many_tasks_as_their_rows_need(spark, tmp_path, monkeypatch):
+    from starmill import session
+    from starmill.catalog import QUERIES
+
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100)
+    lines = spark.range(950).selectExpr("id l_orderkey", "id % 7 l_partkey", "id % 3 l_linenumber")
+    lines.unionByName(lines).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = QUERIES["surrogate_keys_unique"](spark, str(tmp_path))
+    assert rows(found) == [("fast", 950, 950), ("hash", 950, 950)]
+    plan = found._jdf.queryExecution().toString()
+    assert ", 19), REPARTITION_BY_NUM" in plan and ", 38), REPARTITION_BY_NUM" in plan
+
+
+def test_small_tasks_hold_within_a_job_only(spark, conf, monkeypatch):
+    from starmill import session
+
+    most = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    conf(spark__sql__shuffle__partitions="5", **{size.replace(".", "__"): "77m"})
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 1000)
+    with pytest.raises(KeyError), session.small_tasks(spark) as shuffled:
+        assert spark.conf.get(most) == "5" and spark.conf.get(size) == str(8 << 20)
+        shuffled(12_345)
+        assert spark.conf.get(most) == "13"
+        raise KeyError
+    assert spark.conf.get(size) == "77m" and spark.conf.get(most, None) is None
