@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import partial, reduce
 from operator import and_
@@ -36,7 +36,7 @@ from starmill.schemas import (
     USERS,
     TableSpec,
 )
-from starmill.session import stage, together, use_utc
+from starmill.session import small_tasks, stage, together, use_utc
 from starmill.sources import arrival, read_json, read_json_mapped, render_path, stage_raw
 
 # Fixed value: the page of a log record that is a song play.
@@ -422,6 +422,22 @@ def run_scheduled(
     """
     use_utc(spark)
     song_path, log_path = render_path(song_path, **context), render_path(log_path, **context)
+    run = (spark, song_path, log_path, location, database, rules, fact_mode, allowance)
+    with small_tasks(spark) as shuffled:
+        return _run_scheduled(*run, shuffled)
+
+
+def _run_scheduled(
+    spark: SparkSession,
+    song_path: str,
+    log_path: str,
+    location: str,
+    database: str,
+    rules: StarRules,
+    fact_mode: str,
+    allowance: int,
+    shuffled: Callable[[int], None],
+) -> DataFrame:
     once = fact_mode == "once"
     fact_spec = SONGPLAYS_BY_LOAD if once else SONGPLAYS
     load.create_tables(spark, [fact_spec, *_warehouse_specs()[1:]], location, database)
@@ -433,7 +449,9 @@ def run_scheduled(
     else:
         stage_inputs(spark, song_path, log_path, location, database, allowance)
     staged_songs = spark.table(f"{database}.{STAGING_SONGS.name}")
-    plays = plays_of(spark.table(f"{database}.{STAGING_EVENTS.name}"), rules)
+    events = spark.table(f"{database}.{STAGING_EVENTS.name}")
+    plays = plays_of(events, rules)
+    shuffled(events.count() + staged_songs.count() + spark.table(f"{database}.songplays").count())
 
     if files or not once:
         ready = load.Load(songplays_of(plays, staged_songs, rules), SONGPLAYS)

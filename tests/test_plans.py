@@ -615,3 +615,23 @@ def test_immigration_from_the_command_line(spark, inputs, tmp_path):
     main(["explore", *raw, "--out", str(tmp_path / "explored")])
     found = spark.read.json(str(tmp_path / "explored/arrivals_at_a_known_airport"))
     assert rows(found, "matched", "total") == [(4, 5)]
+
+
+def test_a_scheduled_run_has_small_tasks(spark, music_files, tmp_path, monkeypatch):
+    """Its rows compress well, so tasks of the planner's size hold millions of them."""
+    seen = {}
+    stage = music.stage_inputs
+
+    def staged(*args):
+        seen["bytes"] = int(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))
+        return stage(*args)
+
+    monkeypatch.setattr(music, "stage_inputs", staged)
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None)
+    spark.sql("CREATE DATABASE small_tasks")
+    try:
+        music.run_scheduled(spark, *music_files, str(tmp_path / "wh"), "small_tasks")
+    finally:
+        spark.sql("DROP DATABASE small_tasks CASCADE")
+    assert seen["bytes"] <= 16 << 20
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None) == before
