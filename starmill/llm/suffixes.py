@@ -9,7 +9,9 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,58 +30,97 @@ LAST = (1 << 63) - 1
 # --- equal windows by suffix array ---------------------------------------------------------
 
 
-def sorted_rotations(text: np.ndarray, depth: int) -> np.ndarray:
-    """Starts of all rotations, in order of their first ``depth`` bytes at least."""
+def order_of(key: np.ndarray, bits: int) -> np.ndarray:
+    """Indices of keys of so many bits in their order; where both fit into 64 bits, each index is
+    sorted with its key, which is several times faster than to sort indices by their keys."""
+    place = max(1, (len(key) - 1).bit_length())
+    if bits + place > 64:
+        return np.argsort(key)
+    ordered = np.sort((key << U64(place)) | np.arange(len(key), dtype=U64))
+    return (ordered & U64((1 << place) - 1)).astype(np.int64)
+
+
+def first_bytes(text: np.ndarray) -> tuple[np.ndarray, int, int]:
+    """A number for each rotation that orders them by their first bytes, how many bits a byte
+    takes in it and how many bytes it holds. With the number of a place it fits into 64 bits."""
     n = len(text)
-    round_ = np.concatenate([text] + [text] * ceil_div(8, n))[: n + 8]
-    key = np.ndarray((n,), ">u8", round_.tobytes(), strides=(1,)).astype(U64)
-    step = 8
+    used = np.flatnonzero(np.bincount(text, minlength=256))
+    code = np.zeros(256, U64)
+    code[used] = np.arange(len(used), dtype=U64)
+    bits = max(1, (len(used) - 1).bit_length())
+    step = max(1, (64 - max(1, (n - 1).bit_length())) // bits)
+    round_ = code[np.concatenate([text] + [text] * ceil_div(step, n))[: n + step]]
+    key = round_[:n].copy()
+    for i in range(1, step):
+        key <<= U64(bits)
+        key |= round_[i : i + n]
+    return key, bits, step
+
+
+def sorted_rotations(key: np.ndarray, bits: int, step: int, depth: int) -> np.ndarray:
+    """Starts of all rotations, in order of their first ``depth`` bytes at least; ``key`` gives
+    their order by the first ``step`` bytes."""
+    n = len(key)
+    place = max(1, (n - 1).bit_length())
     while True:
-        order = np.argsort(key)
+        order = order_of(key, bits)
         ordered = key[order]
         new = np.r_[False, ordered[1:] != ordered[:-1]]
-        rank = np.empty(n, U64)
-        rank[order] = np.cumsum(new).astype(U64)
         if step >= depth or new.sum() == n - 1:
             return order
-        key = rank * U64(n + 1) + np.roll(rank, -step)
+        rank = np.empty(n, U64)
+        rank[order] = np.cumsum(new).astype(U64)
+        key = (rank << U64(place)) | np.roll(rank, -step)
+        bits = 2 * place
         step *= 2
 
 
-def short_prefixes(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
-    """Where, in order, a rotation shares fewer than ``length`` bytes with the one before it.
+def short_prefixes(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the rotations, and where in it a rotation shares fewer than ``length`` bytes
+    with the one before it.
 
     Breadth first: level l holds intervals of rotations that start with one string of l bytes.
     Going back by the Burrows-Wheeler transform from an interval leads to the intervals of the
     strings one byte longer; the end of one that is new tells a common prefix of l bytes. Only
-    such intervals are extended, and the levels end at the minimum length.
+    such intervals are extended, and the levels end at the minimum length. The first level is
+    that of the few bytes that the sort begins with; its intervals are those of equal numbers.
     """
     n = len(text)
+    key, bits, step = first_bytes(text)
+    order = sorted_rotations(key, bits * step, step, length)
     before = text[order - 1]
     back = np.empty(n, np.int64)
     back[np.argsort(before, kind="stable")] = np.arange(n)
-    short = np.zeros(n + 1, bool)
-    short[0] = short[n] = True
     first_byte = text[order]
+    level = min(step, length)
+    ordered = key[order] >> U64(bits * (step - level))
+    short = np.ones(n + 1, bool)
+    short[1:n] = ordered[1:] != ordered[:-1]
+    ordered >>= U64(bits)
+    fresh = short.copy()
+    fresh[1:n] &= ordered[1:] == ordered[:-1]
+    fresh[n] = False
+    del key, ordered
+    low = np.flatnonzero(short[:n])
+    high = np.r_[low[1:], n] - 1
+    low, high = low[fresh[high + 1]], high[fresh[high + 1]]
     owner = np.full(n, -1, np.int32)  # of each rotation reached at a level, the interval it is from
-    low, high = np.array([0]), np.array([n - 1])
-    for _ in range(length):
+    for _ in range(length - level):
+        if not len(low):
+            break
         sizes = high - low + 1
-        which = np.repeat(np.arange(len(low)), sizes)
-        at = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + low[which]
-        owner[back[at]] = which
-        to = np.flatnonzero(owner >= 0)
+        which = np.repeat(np.arange(len(low), dtype=np.int32), sizes)
+        to = back[places_of(low, sizes)]
+        owner[to] = which
+        to.sort()
         which, byte = owner[to], first_byte[to]
-        owner[to] = -1
         new = (to[1:] != to[:-1] + 1) | (which[1:] != which[:-1]) | (byte[1:] != byte[:-1])
         first = np.flatnonzero(np.r_[True, new])
         low, high = to[first], to[np.r_[first[1:] - 1, len(to) - 1]]
         fresh = ~short[high + 1]
         low, high = low[fresh], high[fresh]
         short[high + 1] = True
-        if not len(low):
-            break
-    return short[:n]
+    return order, short[:n]
 
 
 def least_ranks(segments: list[bytes], ranks: np.ndarray, length: int) -> np.ndarray:
@@ -90,8 +131,7 @@ def least_ranks(segments: list[bytes], ranks: np.ndarray, length: int) -> np.nda
     starts = np.cumsum(sizes + 1) - sizes - 1
     windows = sizes - length + 1
     place = places_of(starts, windows)
-    order = sorted_rotations(text, length)
-    short = short_prefixes(text, order, length)
+    order, short = short_prefixes(text, length)
     group = np.empty(len(text), np.int64)
     group[order] = np.cumsum(short) - 1
     group = group[place]
@@ -256,17 +296,20 @@ def unpack(payload: bytes) -> tuple[dict[str, np.ndarray], memoryview]:
 
 
 def window_hashes(text: np.ndarray, place: np.ndarray, length: int) -> np.ndarray:
-    """A hash of the ``length`` bytes at each place."""
+    """A hash of the ``length`` bytes at each place: of 8 bytes at all places first, then of
+    twice as many from two halves, which may overlap in the end."""
     padded = np.concatenate([text, np.zeros(8, np.uint8)])
-    words = np.ndarray((len(text),), "<u8", padded, strides=(1,))
-    offsets = [*range(0, length - 7, 8)]
-    if length % 8:
-        offsets.append(length - 8)
-    h = np.zeros(len(place), U64)
-    for offset in offsets:
-        h = (h ^ words[place + offset]) * FACTORS[0]
+    h = np.ndarray((len(text),), "<u8", padded, strides=(1,)) * FACTORS[0]
+    if length < 8:
+        h = np.ndarray((len(text),), "<u8", padded, strides=(1,)) & U64((1 << 8 * length) - 1)
+    span = 8
+    while span < length:
         h ^= h >> U64(29)
-    return scramble(h)
+        step = min(span, length - span)
+        h = h[:-step] * FACTORS[1] + h[step:]
+        h *= FACTORS[0]
+        span += step
+    return scramble(h[place])
 
 
 def places_of(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -274,20 +317,32 @@ def places_of(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
 
 
+#: Bits of a place in the tables of hashes that several texts have.
+SLOT = 24
+
+
+def slots(h: np.ndarray, shift: int) -> np.ndarray:
+    return ((h >> U64(shift)) & U64((1 << SLOT) - 1)).view(np.int64)
+
+
 def hopeful(h: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """The windows whose hash is there with several ranks; no others can repeat across texts."""
-    ordered = np.sort(h)
-    twice = np.zeros(1 << 20, bool)  # the low bits of hashes that are there twice
-    twice[ordered[1:][ordered[1:] == ordered[:-1]] % U64(len(twice))] = True
-    some = np.flatnonzero(twice[h % U64(len(twice))])
-    order = some[np.argsort(h[some])]
-    h, rank = h[order], rank[order]
-    first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, int)
-    several = np.zeros(0, bool)
-    if len(first):
-        several = np.minimum.reduceat(rank, first) != np.maximum.reduceat(rank, first)
-    out = np.zeros(len(ordered), bool)
-    out[order] = np.repeat(several, np.diff(np.r_[first, len(h)]))
+    """The windows whose hash is there with several ranks, and few others; no others than these
+    can repeat across texts. Ranks are numbered from 0, unsigned."""
+    bits = U64(max(1, int(rank.max(initial=0)).bit_length()))
+    h = h >> bits
+    both = h << bits
+    both |= rank
+    both.sort()
+    upper = both >> bits
+    several = upper[1:][(upper[1:] == upper[:-1]) & (both[1:] != both[:-1])]
+    del both, upper
+    out = np.ones(len(h), bool)
+    some: np.ndarray | slice = slice(None)
+    for shift in (0, 16):
+        table = np.zeros(1 << SLOT, bool)
+        table[slots(several, shift)] = True
+        out[some] = table[slots(h[some], shift)]
+        some = np.flatnonzero(out)
     return out
 
 
@@ -306,7 +361,8 @@ def repeated_starts(length: int):
         row, rank, position, windows = (
             np.concatenate([r[c] for r in runs]) for c in ("row", "rank", "position", "windows")
         )
-        chosen = hopeful(np.concatenate(hashes), np.repeat(rank, windows))
+        number = np.unique(rank, return_inverse=True)[1].astype(U64)
+        chosen = hopeful(np.concatenate(hashes), np.repeat(number, windows))
         del hashes
         if not chosen.any():
             return no_spans()
@@ -367,78 +423,156 @@ def spans_of(row: np.ndarray, start: np.ndarray) -> pd.DataFrame:
 # --- frequent cells: window by window ------------------------------------------------------
 
 
-def deal_segments(shared, length: int, cells: int):
-    """Runs in frequent cells, equal ones of a batch in one row: digest, the bytes, least
-    rank, and where they are (row, rank, start, row, rank, start, ...)."""
+def same_windows(text: np.ndarray, place: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """The first of each set of equal windows at the places, the number of its set for every
+    window, and the hashes of the first ones. Different windows with one hash are sets of one."""
+    h, first, number = np.unique(
+        window_hashes(text, place, length), return_index=True, return_inverse=True
+    )
+    different = np.zeros(len(place), bool)
+    for at in range(length):
+        different |= text[place + at] != text[place[first[number]] + at]
+    odd = np.flatnonzero(different)
+    of_odd = h[number[odd]]
+    number[odd] = len(first) + np.arange(len(odd))
+    return np.r_[first, odd], number, np.r_[h, of_odd]
+
+
+def deal_windows(shared, length: int, buckets: int, cells: int):
+    """Of each batch one row per bucket, with the batch's distinct windows in frequent cells whose
+    hash falls into it and their least ranks, and one row of bucket -1 that says where they are."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = shared.value
+        squeeze = zstandard.ZstdCompressor(level=1)
+        mine = TaskContext.get().partitionId() << 32
         for got in batches:
             batch = Batch(got["text"].to_pylist(), length)
-            mine = np.isin(cells_of(batch.key, cells), hot)
-            low, high, doc = batch.low[mine], batch.high[mine], batch.doc[mine]
+            chosen = np.isin(cells_of(batch.key, cells), hot)
+            if not chosen.any():
+                continue
+            low, doc = batch.low[chosen], batch.doc[chosen]
+            windows = batch.high[chosen] - low
             row, rank = (got[c].to_numpy(zero_copy_only=False)[doc] for c in ("row", "rank"))
-            place = np.stack([row, rank, low - batch.start[doc]], 1)
-            raw = batch.bytes.tobytes()
-            found: dict[bytes, list[int]] = {}
-            for i, (x, y) in enumerate(zip(low.tolist(), high.tolist(), strict=True)):
-                found.setdefault(raw[x : y + length - 1], []).append(i)
-            if found:
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "digest": pa.array(
-                            [hashlib.blake2b(s, digest_size=16).digest() for s in found],
-                            pa.binary(),
-                        ),
-                        "bytes": pa.array(list(found), pa.binary()),
-                        "rank": pa.array([int(rank[i].min()) for i in found.values()], pa.int64()),
-                        "places": pa.array(
-                            [place[i].reshape(-1) for i in found.values()], pa.list_(pa.int64())
-                        ),
-                    }
-                )
-
-    return deal
-
-
-def cut_windows(length: int):
-    """The windows of distinct runs, each with its run's digest and its place in there."""
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for got in batches:
-            segments = got["bytes"].to_pylist()
-            n = np.array([len(s) - length + 1 for s in segments], np.int64)
-            which = pa.array(np.repeat(np.arange(len(n)), n))
-            windows = [s[i : i + length] for s in segments for i in range(len(s) - length + 1)]
+            place = places_of(low, windows)
+            first, number, h = same_windows(batch.bytes, place, length)
+            least = np.full(len(first), LAST, np.int64)
+            np.minimum.at(least, number, np.repeat(rank, windows))
+            where = [
+                np.array([len(low), len(place)], "<i8").tobytes(),
+                planes(np.diff(row, prepend=0), 8),
+                planes(rank - row, 8),
+                planes(low - batch.start[doc], 5),
+                planes(windows, 4),
+                planes(number, 4),
+            ]
+            numbers, payloads = [-1], [squeeze.compress(b"".join(where))]
+            bucket = ((h >> U64(8)) % U64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            cut = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0])
+            for one in np.split(order, cut[1:]):
+                one.sort()
+                raw = [
+                    np.array([len(one)], "<i8").tobytes(),
+                    planes(one, 4),
+                    planes(np.diff(least[one], prepend=0), 8),
+                    batch.pieces(place[first[one]], np.full(len(one), length)).tobytes(),
+                ]
+                numbers.append(int(bucket[one[0]]))
+                payloads.append(squeeze.compress(b"".join(raw)))
             yield pa.RecordBatch.from_pydict(
                 {
-                    "digest": got["digest"].take(which),
-                    "offset": pa.array(places_of(np.zeros(len(n), np.int64), n)),
-                    "bytes": pa.array(windows, pa.binary()),
-                    "rank": got["rank"].take(which),
+                    "batch": pa.array([mine] * len(numbers), pa.int64()),
+                    "bucket": pa.array(numbers, pa.int64()),
+                    "payload": pa.array(payloads, pa.binary()),
                 }
             )
+            mine += 1
 
-    return cut
+    return deal
 
 
-def starts_of_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for got in batches:
-        rows, starts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for places, least in zip(got["places"], got["least"], strict=True):
-            place = places.values.to_numpy().reshape(-1, 3)
-            repeat = least.values.to_numpy()[None, :] < place[:, 1:2]
-            owner, offset = np.nonzero(repeat)
-            rows.append(place[owner, 0])
-            starts.append(place[owner, 2] + offset)
-        found = spans_of(np.concatenate(rows), np.concatenate(starts))
-        yield pa.RecordBatch.from_pydict(
+#: Windows that a frequent cells' bucket sorts at once.
+LOT = 1 << 15
+
+
+def later_windows(length: int, most: int = LOT):
+    """In a bucket, which windows of a batch also start in a text of lower rank than all the
+    batch's texts with them: ``batch, later``, where later lists the windows' numbers."""
+
+    def find(part: pa.Table) -> pa.Table:
+        numbers, ranks, texts = [], [], []
+        for payload in part["payload"].to_pylist():
+            raw = memoryview(zstandard.ZstdDecompressor().decompress(payload))
+            n = int(np.frombuffer(raw, "<i8", 1)[0])
+            numbers.append(from_planes(raw[8:], n, 4))
+            ranks.append(np.cumsum(from_planes(raw[8 + 4 * n :], n, 8)))
+            texts.append(np.frombuffer(raw, np.uint8, offset=8 + 12 * n))
+        batch = np.repeat(part["batch"].to_numpy(), [len(x) for x in numbers])
+        number, rank, text = (np.concatenate(x) for x in (numbers, ranks, texts))
+        del numbers, ranks, texts
+        h = window_hashes(text, np.arange(len(number)) * length, length)
+        some = np.flatnonzero(hopeful(h, np.unique(rank, return_inverse=True)[1].astype(U64)))
+        some = some[np.argsort(h[some])]
+        h = h[some]
+        later = np.zeros(len(number), bool)
+        a = 0
+        while a < len(some):  # equal windows have one hash and so are in one lot
+            b = int(np.searchsorted(h, h[min(a + most, len(some)) - 1], "right"))
+            lot = some[a:b]
+            found: dict[bytes, int] = {}
+            segment = np.array(
+                [
+                    found.setdefault(text[i : i + length].tobytes(), len(found))
+                    for i in (lot * length).tolist()
+                ]
+            )
+            own = np.full(len(found), LAST, np.int64)
+            np.minimum.at(own, segment, rank[lot])
+            later[lot] = least_ranks(list(found), own, length)[segment] < rank[lot]
+            a = b
+        batch, number = batch[later], number[later].astype("<i4")
+        order = np.argsort(batch, kind="stable")
+        found_in, first = np.unique(batch[order], return_index=True)
+        lists = np.split(number[order], first[1:]) if len(first) else []
+        return pa.table(
             {
-                "row": pa.array(found["row"].to_numpy(), pa.int64()),
-                "spans": pa.array(found["spans"].tolist(), pa.list_(pa.int64())),
+                "batch": pa.array(found_in, pa.int64()),
+                "later": pa.array([x.tobytes() for x in lists], pa.binary()),
             }
         )
 
+    return find
+
+
+def starts_of_batch(part: pa.Table) -> pa.Table:
+    """The windows of a batch that also start in a text of lower rank, as ``row, spans``."""
+    later = part["later"].drop_null().to_pylist()
+    raw = memoryview(
+        zstandard.ZstdDecompressor().decompress(part["payload"].drop_null().to_pylist()[0])
+    )
+    runs, n = np.frombuffer(raw, "<i8", 2).tolist()
+    at, fields = 16, []
+    for width in (8, 8, 5, 4):
+        fields.append(from_planes(raw[at:], runs, width))
+        at += width * runs
+    row, rank, position, windows = fields
+    row = np.cumsum(row)
+    rank = np.repeat(row + rank, windows)
+    number = from_planes(raw[at:], n, 4)
+    least = np.full(number.max() + 1, LAST, np.int64)
+    np.minimum.at(least, number, rank)
+    elsewhere = np.zeros(len(least), bool)
+    elsewhere[np.frombuffer(b"".join(later), "<i4")] = True
+    repeat = elsewhere[number] | (least[number] < rank)
+    found = spans_of(np.repeat(row, windows)[repeat], places_of(position, windows)[repeat])
+    return pa.table(
+        {
+            "row": pa.array(found["row"].to_numpy(), pa.int64()),
+            "spans": pa.array(found["spans"].tolist(), pa.list_(pa.int64())),
+        }
+    )
+
 
 # --- the operator --------------------------------------------------------------------------
 
@@ -449,17 +583,25 @@ def cut_texts(length: int, carry: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for got in batches:
             sizes, removed, runs, digests, kept_texts = [], [], [], [], []
-            for text, spans in zip(got["text"].to_pylist(), got["spans"].to_pylist(), strict=True):
+            lists = pc.fill_null(pc.list_value_length(got["spans"]), 0).to_numpy()
+            pairs = got["spans"].flatten()
+            ends = np.r_[0, np.cumsum(pc.list_value_length(pairs).to_numpy())]
+            ends = ends[np.r_[0, np.cumsum(lists)]].tolist()
+            pairs = pairs.flatten().to_numpy()
+            for i, text in enumerate(got["text"].to_pylist()):
                 raw = (text or "").encode("utf-8", "replace")
-                steps = np.zeros(len(raw) + 1, np.int64)
-                for pair in spans or ():
-                    np.add.at(steps, pair[::2], 1)
-                    np.add.at(steps, np.add(pair[::2], pair[1::2]) + length - 1, -1)
-                gone = np.cumsum(steps)[:-1] > 0
-                kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
+                first, windows = pairs[ends[i] : ends[i + 1]].reshape(-1, 2).T
+                gone, cuts, kept = 0, 0, raw
+                if len(first):
+                    steps = np.bincount(first, minlength=len(raw) + 1)
+                    steps -= np.bincount(first + windows + length - 1, minlength=len(raw) + 1)
+                    cut_out = np.cumsum(steps)[:-1] > 0
+                    kept = np.frombuffer(raw, np.uint8)[~cut_out].tobytes()
+                    gone = len(raw) - len(kept)
+                    cuts = int(cut_out[0]) + int((cut_out[1:] > cut_out[:-1]).sum())
                 sizes.append(len(raw))
-                removed.append(int(gone.sum()))
-                runs.append(int(np.diff(gone.astype(np.int8), prepend=0).clip(0).sum()))
+                removed.append(gone)
+                runs.append(cuts)
                 digests.append(hashlib.sha256(kept).hexdigest())
                 if carry:
                     kept_texts.append(kept.decode("utf-8", "ignore") if text is not None else None)
@@ -516,18 +658,19 @@ def remove_repeats(
     one key travelling as one run of bytes, so equal windows meet. A bucket drops windows whose
     hash one document only has, and sorts the rotations of the others' distinct bytes; intervals
     of common prefixes then tell which windows are equal. Buckets hold about
-    ``bytes_per_bucket`` of text. Keys are also counted in 16 cells per bucket. Cells with more
+    ``bytes_per_bucket`` of text. Keys are also counted in 64 cells per bucket. Cells with more
     than a quarter of ``bytes_per_bucket``, or in small tables half of 1/``share`` of all runs'
-    bytes, do not go to buckets: equal runs of a batch become one row, distinct runs are cut into
-    windows, Spark aggregates the least rank of each distinct window, and the least ranks of a
-    run's windows are joined back to the rows, which Spark splits if skewed.
+    bytes, do not go to buckets as runs: their windows, equal ones of a batch once with their least
+    rank, go packed to buckets by a hash of the window, so that however many texts share a passage,
+    each batch sends it once. What a bucket's intervals tell goes back, packed too, to the batches,
+    which know where their windows are.
     """
     spark = ready(df.sparkSession)
     docs = numbered(df, id_col, text_col, carry or ())
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = ceil_div(size, bytes_per_bucket) or 1
     texts = docs.select("row", "rank", "text").where(F.octet_length("text") >= length)
-    cells = max(16 * buckets, 8 * share)
+    cells = max(64 * buckets, 8 * share)
     counts = stage(
         texts.select("text")
         .mapInArrow(cell_bytes(length, cells), "cell long, n long")
@@ -537,8 +680,8 @@ def remove_repeats(
     )
     total = counts.agg(F.sum("n")).first()[0] or 0
     least = min(total / (2 * share), bytes_per_bucket / 4)
-    hot = [r[0] for r in counts.where(F.col("n") >= least).collect()]
-    shared = spark.sparkContext.broadcast(np.array(hot, np.int64))
+    hot = counts.where(F.col("n") >= least).select("cell", "n").collect()
+    shared = spark.sparkContext.broadcast(np.array([r[0] for r in hot], np.int64))
     spans = stage(
         texts.mapInArrow(deal_runs(shared, length, buckets, cells), "bucket long, runs binary")
         .repartition(buckets, "bucket")
@@ -547,40 +690,29 @@ def remove_repeats(
         "passage-spans",
     )
     if hot:
+        parts = ceil_div(sum(r[1] for r in hot), ceil_div(bytes_per_bucket, 4))
         segments = stage(
             texts.mapInArrow(
-                deal_segments(shared, length, cells),
-                "digest binary, bytes binary, rank long, places array<long>",
+                deal_windows(shared, length, parts, cells),
+                "batch long, bucket long, payload binary",
             ),
             "passage-segments",
         )
-        distinct = stage(
-            segments.groupBy("digest", "bytes").agg(F.min("rank").alias("rank")),
-            "passage-distinct",
-        )
-        windows = distinct.mapInArrow(
-            cut_windows(length), "digest binary, offset long, bytes binary, rank long"
-        )
-        # A window of one run only has that run's rank. Written, so that the join can be split.
-        shared_windows = stage(
-            windows.groupBy("bytes")
-            .agg(F.min("rank").alias("least"), F.count("*").alias("n"))
-            .where("n > 1")
-            .select("bytes", "least"),
-            "passage-windows",
+        later = (
+            segments.where("bucket >= 0")
+            .repartition(parts, "bucket")
+            .groupBy("bucket")
+            .applyInArrow(later_windows(length), "batch long, later binary")
         )
-        least = (
-            windows.join(shared_windows, "bytes", "left")
-            .select("digest", "offset", F.coalesce("least", "rank").alias("least"))
-            .groupBy("digest")
-            .agg(F.sort_array(F.collect_list(F.struct("offset", "least"))).alias("found"))
-            .select("digest", F.col("found.least").alias("least"))
+        places = segments.where("bucket < 0").select(
+            "batch", F.lit(None).cast("binary").alias("later"), "payload"
         )
         more = (
-            segments.select("digest", "places")
-            .join(least, "digest")
-            .select("places", "least")
-            .mapInArrow(starts_of_segments, "row long, spans array<long>")
+            later.withColumn("payload", F.lit(None).cast("binary"))
+            .unionByName(places)
+            .repartition(parts, "batch")
+            .groupBy("batch")
+            .applyInArrow(starts_of_batch, "row long, spans array<long>")
         )
         spans = spans.unionByName(stage(more, "passage-spans"))
     of_row = spans.groupBy("row").agg(F.collect_list("spans").alias("spans"))

@@ -2,13 +2,24 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from cases import corpus, frame, nameless, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from starmill.llm import suffixes
-from starmill.llm.suffixes import least_ranks, remove_repeats
+from starmill.llm.suffixes import (
+    hopeful,
+    later_windows,
+    least_ranks,
+    order_of,
+    planes,
+    remove_repeats,
+    same_windows,
+    scramble,
+)
 
 
 def plain(rows, length):
@@ -49,6 +60,67 @@ def test_least_ranks(segments, length):
     assert least_ranks(raw, ranks, length).tolist() == want
 
 
+@pytest.mark.parametrize("length", [20, 37, 50])
+def test_least_ranks_of_long_strings(length):
+    """Longer than what the sort begins with, so intervals are extended over many levels."""
+    rng = random.Random(length)
+    blocks = [prose(i, 9)[: rng.randint(5, 30)] for i in range(6)]
+    raw = ["".join(rng.choices(blocks, k=9)).encode() for _ in range(30)]
+    raw = [s for s in raw if len(s) >= length]
+    ranks = np.array(rng.sample(range(100), len(raw)))
+    least = {}
+    for r, s in zip(ranks.tolist(), raw, strict=True):
+        for p in range(len(s) - length + 1):
+            w = s[p : p + length]
+            least[w] = min(least.get(w, r), r)
+    want = [least[s[p : p + length]] for s in raw for p in range(len(s) - length + 1)]
+    assert least_ranks(raw, ranks, length).tolist() == want
+
+
+def test_order_of_keys_with_and_without_room_for_places():
+    key = np.array([7, 3, 1 << 50, 0, 5], np.uint64)
+    assert order_of(key, 51).tolist() == order_of(key, 64).tolist() == [3, 1, 4, 0, 2]
+
+
+def test_hopeful_windows_have_several_ranks():
+    h = scramble(np.array([9, 5, 9, 7, 7, 3], np.uint64) * suffixes.FACTORS[0])
+    rank = np.array([0, 1, 2, 1, 1, 0], np.uint64)
+    assert np.flatnonzero(hopeful(h, rank)).tolist() == [0, 2]
+    assert hopeful(h[:0], h[:0]).tolist() == []
+
+
+def test_different_windows_with_one_hash_stay_apart(monkeypatch):
+    text = np.frombuffer(b"abcdabcxabcd", np.uint8)
+    place = np.array([0, 4, 8])
+    first, number, h = same_windows(text, place, 4)
+    assert number[0] == number[2] != number[1] and len(first) == len(h) == 2
+    monkeypatch.setattr(suffixes, "window_hashes", lambda t, p, n: np.zeros(len(p), np.uint64))
+    first, number, h = same_windows(text, place, 4)
+    assert number.tolist() == [0, 1, 0] and first.tolist() == [0, 1] and len(h) == 2
+
+
+def test_windows_of_batches_meet_in_lots():
+    """Ten windows of three batches, sorted two at a time; each batch hears of those that a text
+    of lower rank has, wherever that is."""
+    words = [f"w{i:03}" for i in range(10)]
+    ranks = {7: 5, 8: 2, 9: 5}
+    held = {7: [0, 1, 2, 3, 4, 5], 8: [4, 5, 6, 7, 9], 9: [0, 4, 6, 8]}
+    payloads = []
+    for batch, of in held.items():
+        raw = [
+            np.array([len(of)], "<i8").tobytes(),
+            planes(np.array(of), 4),
+            planes(np.diff(np.full(len(of), ranks[batch]), prepend=0), 8),
+            "".join(words[i] for i in of).encode(),
+        ]
+        payloads.append(zstandard.ZstdCompressor().compress(b"".join(raw)))
+    part = pa.table({"batch": list(held), "payload": pa.array(payloads, pa.binary())})
+    for most in (2, 100):
+        got = later_windows(4, most)(part).to_pylist()
+        later = {r["batch"]: np.frombuffer(r["later"], "<i4").tolist() for r in got}
+        assert later == {7: [4, 5], 9: [4, 6]}
+
+
 @pytest.mark.parametrize("share", [2000, 3])  # few or many keys dealt window by window
 @pytest.mark.parametrize("change", [lambda r: r, nameless])
 def test_removed_bytes(spark, share, change):
@@ -96,3 +168,24 @@ def test_a_frequent_passage_is_aggregated_by_window(spark, monkeypatch):
     grouped = [p for p in staged["passage-spans"] if "FlatMapGroupsInPandas" in p]
     assert len(grouped) == 1 and len(staged["passage-spans"]) == 2
     assert sorted((str(r[0]), *r[1:]) for r in got) == plain(rows, 50)
+
+
+def test_a_frequent_passage_sends_a_row_per_batch_and_bucket(spark, monkeypatch):
+    """Not one per run, window or join of the two: 300 texts of one batch hold a passage, each
+    with other text around it."""
+    staged = {}
+
+    def spy(df, label, *rest, keep=suffixes.stage):
+        staged.setdefault(label, []).append(keep(df, label, *rest))
+        return staged[label][-1]
+
+    monkeypatch.setattr(suffixes, "stage", spy)
+    passage = prose(1000, 2)
+    texts = [f"{prose(i, 1)} {passage} {prose(i + 500, 1)}" for i in range(300)]
+    rows = [(i, t, "en", "src0", 1) for i, t in enumerate(texts)]
+    got = remove_repeats(frame(spark, rows).coalesce(1), share=20).collect()
+    counts = {label: [df.count() for df in dfs] for label, dfs in staged.items()}
+    assert counts.pop("passage-cells") and counts.pop("passage-segments") == [2]
+    assert [n <= 300 for n in counts.pop("passage-spans")] == [True, True]
+    assert not counts
+    assert sorted((str(r[0]), *r[1:]) for r in got) == plain(rows, 50)
