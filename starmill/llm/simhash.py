@@ -126,13 +126,16 @@ def links_of(fps: DataFrame, distance: int, shared: int, block: int, per_bucket:
 
     Entries with one fingerprint are dropped. An entry with more than ``block`` is cut into
     blocks, and every pair of its blocks is a unit of work, so no task gets a whole hot entry.
+
+    Entries are sized like the fingerprints they are exploded from, of which they are many times
+    as many, so their join must not be left to a choice by size, which may be a broadcast.
     """
     entries = fps.select(F.explode(postings(F.col("fp"), distance, shared)).alias("entry"), "fp")
     counts = entries.groupBy("entry").agg(F.count("*").alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / block).cast("long")
     own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
     shared_ = (
-        entries.join(counts, "entry")
+        entries.join(counts.hint("merge"), "entry")
         .withColumn("blocks", blocks)
         .select(
             "entry",

@@ -5,9 +5,11 @@ import numpy as np
 import pytest
 import xxhash
 from cases import corpus, frame, nameless
+from pyspark.sql import functions as F
 
+from starmill.llm import simhash as module
 from starmill.llm.links import components
-from starmill.llm.simhash import near, near_duplicates, simhash, spanning_links
+from starmill.llm.simhash import links_of, near, near_duplicates, simhash, spanning_links
 
 
 def plain(text, shingle=3):
@@ -80,3 +82,24 @@ def test_three_bits_link_and_four_do_not():
 
 def test_empty_table(spark):
     assert near_duplicates(frame(spark, [])).collect() == []
+
+
+def test_index_entries_are_not_broadcast(spark, conf, monkeypatch):
+    """However small the fingerprints are said to be: there are many times as many entries."""
+    conf(spark__sql__autoBroadcastJoinThreshold="10MB")
+    plans = []
+
+    def watched(df, label):
+        rows = df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return spark.createDataFrame(rows, df.schema)
+
+    monkeypatch.setattr(module, "stage", watched)
+    base = F.xxhash64(F.floor(F.col("id") / 2))
+    fps = spark.range(200).select(base.bitwiseXOR(F.col("id") % 2).alias("fp"))
+    links = links_of(fps, 3, 4, 20_000, 200_000).distinct().collect()
+    assert len(links) == 100
+    assert all((r.a ^ r.b) == 1 for r in links)
+    assert len(plans) == 1
+    assert "SortMergeJoin" in plans[0]
+    assert "Broadcast" not in plans[0]
