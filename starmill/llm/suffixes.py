@@ -718,7 +718,9 @@ def remove_repeats(
     of_row = spans.groupBy("row").agg(F.collect_list("spans").alias("spans"))
     kind = df.schema[id_col].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    joined = docs.join(of_row, "row", "left").select("doc_id", "text", "spans", "carried")
+    # Spans that repeat take far less room in files, by which they are sized, than in a broadcast.
+    joined = docs.join(of_row.hint("merge"), "row", "left")
+    joined = joined.select("doc_id", "text", "spans", "carried")
     if carry is None:
         joined = joined.drop("carried")
     else:

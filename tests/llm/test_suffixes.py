@@ -189,3 +189,17 @@ def test_a_frequent_passage_sends_a_row_per_batch_and_bucket(spark, monkeypatch)
     assert [n <= 300 for n in counts.pop("passage-spans")] == [True, True]
     assert not counts
     assert sorted((str(r[0]), *r[1:]) for r in got) == plain(rows, 50)
+
+
+def test_spans_are_not_broadcast(spark, conf):
+    """However small their files are: equal spans of many texts take little room there."""
+    conf(spark__sql__autoBroadcastJoinThreshold="10MB")
+    passage = prose(3)
+    rows = [(i, f"{i} {passage}") for i in range(20)]
+    df = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: r.n_removed for r in df.collect()}
+    assert got[0] == 0
+    assert all(got[i] >= len(passage) for i in range(1, 20))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
+    assert "Broadcast" not in plan
